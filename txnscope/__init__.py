@@ -10,3 +10,18 @@ Sub-packages:
 """
 
 __all__ = ["session"]
+
+
+def _pickle_by_value() -> None:
+    """Ship txnscope's own functions to Python workers by value, so pandas UDFs
+    work on executors that do not have the package installed."""
+    try:
+        import sys
+
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle
+        pass
+
+
+_pickle_by_value()
