@@ -51,10 +51,12 @@ def _network(n) -> F.Column:
     return F.when(n == 0, "4G").when(n == 1, "5G").otherwise("WiFi")
 
 
-def events_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions from ``events`` (see module docstring)."""
-    ev = (read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type",
-                     "value", "props")
+def events_transactions(spark: SparkSession, sf_dir: str,
+                        events: DataFrame | None = None) -> DataFrame:
+    """Transactions from ``events`` (see module docstring). ``events`` may be a
+    streaming DataFrame of the same table (stream-static joins)."""
+    ev = (events if events is not None else read_table(spark, sf_dir, "events"))
+    ev = (ev.select("event_id", "ts", "user_id", "event_type", "value", "props")
           .withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
           .withColumn("supp", F.col("k") % SUPPLIER_KEYS))
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
