@@ -27,9 +27,16 @@ from ..functions.columns import (TS, count_if, first_match, in_lookback, minus,
                                  ratio, sum_if, ts_literal)
 from .ranking import global_row_number
 
-AMT = F.col("amount_inr")
-IS_SUCCESS = F.col("transaction_status") == fixed.SUCCESS
-IS_FRAUD = F.col("fraud_flag") == 1
+def _amt() -> F.Column:
+    return F.col("amount_inr")
+
+
+def _is_success() -> F.Column:
+    return F.col("transaction_status") == fixed.SUCCESS
+
+
+def _is_fraud() -> F.Column:
+    return F.col("fraud_flag") == 1
 
 
 def _window(t: DataFrame, as_of, days: int = 0, hours: int = 0) -> DataFrame:
@@ -52,7 +59,7 @@ def market_position(t: DataFrame, as_of) -> DataFrame:
     up, as the SQL does on DECIMAL)."""
     monthly = (t.where(F.col(TS) < ts_literal(as_of))
                .groupBy(_month().alias("month"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(AMT).alias("v")))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(_amt()).alias("v")))
     platforms = [(fixed.OWN_PLATFORM, Decimal("1"))] + [
         (p, Decimal(str(fixed.MARKET_POSITION_FACTORS[p]))) for p in fixed.COMPETITORS]
     table = F.array(*[F.struct(F.lit(p).alias("platform"),
@@ -77,12 +84,12 @@ def market_position(t: DataFrame, as_of) -> DataFrame:
 # --- Q2 -------------------------------------------------------------------------
 def performance_kpis(t: DataFrame, as_of, days: int = 30) -> DataFrame:
     """One-row 30-day KPI card with success and fraud grades."""
-    succ = F.avg(F.when(IS_SUCCESS, 1.0).otherwise(0.0))
-    fraud = F.avg(F.when(IS_FRAUD, 1.0).otherwise(0.0))
+    succ = F.avg(F.when(_is_success(), 1.0).otherwise(0.0))
+    fraud = F.avg(F.when(_is_fraud(), 1.0).otherwise(0.0))
     agg = _window(t, as_of, days).agg(
         (succ * 100).alias("_succ_pct"), (fraud * 100).alias("_fraud_pct"),
         succ.alias("_succ"), fraud.alias("_fraud"),
-        F.avg(AMT).alias("_avg"),
+        F.avg(_amt()).alias("_avg"),
         ratio(F.count(F.lit(1)), F.countDistinct(_day())).alias("daily_avg_transactions"))
     return agg.select(
         F.lit("PhonePe Performance").alias("metric_category"),
@@ -105,7 +112,7 @@ def risk_points(night_wrap: bool = False) -> F.Column:
     """
     hour = F.hour(TS)
     night = ((hour >= 22) | (hour <= 6)) if night_wrap else hour.between(22, 6)
-    amount_pts = F.when(AMT > 10000, 2.0).when(AMT > 5000, 1.0).otherwise(0.0)
+    amount_pts = F.when(_amt() > 10000, 2.0).when(_amt() > 5000, 1.0).otherwise(0.0)
     network_pts = (F.when(F.col("network_type") == "5G", 1.0)
                    .when(F.col("network_type") == "WiFi", 0.0).otherwise(0.5))
     night_pts = F.when(night, 1.0).otherwise(0.0)
@@ -114,7 +121,7 @@ def risk_points(night_wrap: bool = False) -> F.Column:
 
 
 def risk_category_rule(score: F.Column) -> F.Column:
-    return first_match([(IS_FRAUD, "CONFIRMED_FRAUD"), (score >= 3, "HIGH_RISK"),
+    return first_match([(_is_fraud(), "CONFIRMED_FRAUD"), (score >= 3, "HIGH_RISK"),
                         (score >= 2, "MEDIUM_RISK")], "LOW_RISK")
 
 
@@ -142,9 +149,9 @@ def fraud_bank_networks(t: DataFrame, as_of, days: int = 7, min_connections: int
     volume rule, ordered by fraud rate only.
     """
     aggs = [F.count(F.lit(1)).alias("connection_count"),
-            sum_if(IS_FRAUD).alias("fraud_count")]
+            sum_if(_is_fraud()).alias("fraud_count")]
     if not basic:
-        aggs.append(F.sum(AMT).alias("total_amount"))
+        aggs.append(F.sum(_amt()).alias("total_amount"))
     aggs.append(F.countDistinct("sender_age_group").alias("age_group_diversity"))
     if not basic:
         aggs.append(F.countDistinct("device_type").alias("device_diversity"))
@@ -174,7 +181,7 @@ def device_profile(t: DataFrame, as_of, days: int = 30) -> DataFrame:
     g = _window(t, as_of, days).groupBy("device_type").agg(
         F.countDistinct("transaction_id").alias("unique_devices"),
         F.count(F.lit(1)).alias("total_transactions"),
-        sum_if(IS_FRAUD).alias("_fraud"), F.avg(AMT).alias("_avg"))
+        sum_if(_is_fraud()).alias("_fraud"), F.avg(_amt()).alias("_avg"))
     per_id = ratio("total_transactions", "unique_devices")
     fraud_pct = pct("_fraud", "total_transactions")
     return (g.select(
@@ -196,12 +203,12 @@ def merchant_metrics(t: DataFrame, as_of, days: int = 30) -> DataFrame:
     return _window(t, as_of, days).groupBy("merchant_category", "sender_state").agg(
         F.count(F.lit(1)).alias("transaction_volume"),
         F.countDistinct(_day()).alias("active_days"),
-        F.sum(AMT).alias("total_revenue"),
-        F.avg(AMT).alias("avg_ticket_size"),
+        F.sum(_amt()).alias("total_revenue"),
+        F.avg(_amt()).alias("avg_ticket_size"),
         F.round(ratio(F.count(F.lit(1)), F.countDistinct(_day())), 0)
         .alias("daily_avg_transactions"),
-        F.round(pct(sum_if(IS_SUCCESS), F.count(F.lit(1))), 2).alias("success_rate"),
-        F.round(pct(sum_if(IS_FRAUD), F.count(F.lit(1))), 4).alias("fraud_rate"),
+        F.round(pct(sum_if(_is_success()), F.count(F.lit(1))), 2).alias("success_rate"),
+        F.round(pct(sum_if(_is_fraud()), F.count(F.lit(1))), 4).alias("fraud_rate"),
         F.countDistinct("sender_age_group").alias("customer_age_diversity"),
         count_if(F.col(TS) >= w7).alias("last_7_days_txns"),
         count_if((F.col(TS) >= w14) & (F.col(TS) < w7)).alias("prev_7_days_txns"))
@@ -268,9 +275,9 @@ def user_classification(t: DataFrame, as_of, days: int = 90) -> DataFrame:
         F.count(F.lit(1)).alias("total_transactions"),
         F.countDistinct("merchant_category").alias("merchant_diversity"),
         F.countDistinct(_day()).alias("active_days"),
-        F.sum(AMT).alias("total_spent"),
-        F.avg(AMT).alias("avg_transaction_value"),
-        F.max(AMT).alias("max_transaction_value"),
+        F.sum(_amt()).alias("total_spent"),
+        F.avg(_amt()).alias("avg_transaction_value"),
+        F.max(_amt()).alias("max_transaction_value"),
         count_if(F.col("transaction_type") == fixed.P2P).alias("p2p_transactions"),
         count_if(F.col("transaction_type") == fixed.P2M).alias("p2m_transactions"),
         count_if(hour.between(9, 17)).alias("business_hours_txns"),
@@ -315,7 +322,7 @@ def ltv_detail(t: DataFrame, as_of, days: int = 365, min_transactions: int = 10)
         F.max(_day()).alias("last_transaction_date"),
         (F.datediff(F.max(_day()), F.min(_day())) + 1).alias("customer_lifespan_days"),
         F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(AMT).alias("total_value"),
+        F.sum(_amt()).alias("total_value"),
         F.countDistinct("merchant_category").alias("unique_merchants"),
         F.countDistinct(_day()).alias("active_days"))
         .where(F.col("total_transactions") >= min_transactions))
@@ -360,10 +367,10 @@ def health_monitor(t: DataFrame, as_of, volume_floors=(1000, 50000)) -> DataFram
     for tag, cond in periods.items():
         aggs += [
             count_if(cond).alias(f"{tag}_n"),
-            F.sum(F.when(cond, AMT)).alias(f"{tag}_v"),
-            F.avg(F.when(cond, AMT)).alias(f"{tag}_avg"),
-            count_if(cond & IS_SUCCESS).alias(f"{tag}_ok"),
-            count_if(cond & IS_FRAUD).alias(f"{tag}_fraud"),
+            F.sum(F.when(cond, _amt())).alias(f"{tag}_v"),
+            F.avg(F.when(cond, _amt())).alias(f"{tag}_avg"),
+            count_if(cond & _is_success()).alias(f"{tag}_ok"),
+            count_if(cond & _is_fraud()).alias(f"{tag}_fraud"),
             F.countDistinct(F.when(cond, F.col("sender_bank"))).alias(f"{tag}_banks"),
             F.countDistinct(F.when(cond, F.col("merchant_category"))).alias(f"{tag}_cats")]
     one = _window(t, as_of, hours=24).agg(*aggs)
@@ -394,9 +401,9 @@ def competitive_landscape(t: DataFrame, as_of, days: int = 30) -> DataFrame:
     fallback of the share lookup.
     """
     own = _window(t, as_of, days).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(AMT).alias("v"),
-        F.round(F.avg(AMT), 2).alias("a"),
-        F.round(pct(count_if(IS_SUCCESS), F.count(F.lit(1))), 2).alias("s"))
+        F.count(F.lit(1)).alias("n"), F.sum(_amt()).alias("v"),
+        F.round(F.avg(_amt()), 2).alias("a"),
+        F.round(pct(count_if(_is_success()), F.count(F.lit(1))), 2).alias("s"))
     rows = [(fixed.OWN_PLATFORM, (1, 1, 1, 1))] + [
         (p, fixed.LANDSCAPE_FACTORS[p]) for p in fixed.COMPETITORS]
 
@@ -427,6 +434,6 @@ def state_category_topk(t: DataFrame, as_of, days: int = 7, k: int = 100) -> Dat
     """Top-k non-fraud revenue by state x category (TakeOrderedAndProject)."""
     return (_window(t, as_of, days).where(F.col("fraud_flag") == 0)
             .groupBy("sender_state", "merchant_category")
-            .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum(AMT).alias("total_value"))
+            .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum(_amt()).alias("total_value"))
             .orderBy(F.desc("total_value"), "sender_state", "merchant_category")
             .limit(k))

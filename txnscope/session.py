@@ -47,16 +47,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create a private scratch folder.
+    (local tests) is a private scratch folder created.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="txnscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
