@@ -18,29 +18,35 @@ from .registry import Registered, frame_query, load_transactions, txn_query
 
 
 def dashboard_queries() -> list[Registered]:
+    """The reports with their look-back (days) for pruning; bounded by as_of."""
     return [
         txn_query("market_position", "lineitem", d.market_position, od.MARKET_POSITION),
-        txn_query("performance_kpis", "events", d.performance_kpis, od.PERFORMANCE_KPIS),
-        txn_query("fraud_risk_score", "events", d.fraud_risk_score, od.FRAUD_RISK_SCORE),
-        txn_query("fraud_bank_networks", "events", d.fraud_bank_networks, od.FRAUD_BANK_NETWORKS),
+        txn_query("performance_kpis", "events", d.performance_kpis, od.PERFORMANCE_KPIS,
+                  lookback_days=30),
+        txn_query("fraud_risk_score", "events", d.fraud_risk_score, od.FRAUD_RISK_SCORE,
+                  lookback_days=1),
+        txn_query("fraud_bank_networks", "events", d.fraud_bank_networks, od.FRAUD_BANK_NETWORKS,
+                  lookback_days=7),
         txn_query("fraud_bank_networks_basic", "events", d.fraud_bank_networks,
-                  od.FRAUD_BANK_NETWORKS_BASIC, basic=True),
-        txn_query("device_profile", "events", d.device_profile, od.DEVICE_PROFILE),
+                  od.FRAUD_BANK_NETWORKS_BASIC, lookback_days=7, basic=True),
+        txn_query("device_profile", "events", d.device_profile, od.DEVICE_PROFILE,
+                  lookback_days=30),
         txn_query("merchant_intelligence", "events", d.merchant_intelligence,
-                  od.MERCHANT_INTELLIGENCE),
+                  od.MERCHANT_INTELLIGENCE, lookback_days=30),
         txn_query("merchant_churn", "lineitem", d.merchant_churn, od.MERCHANT_CHURN,
                   lookback_days=60),
         txn_query("user_segments", "lineitem", d.user_segments, od.USER_SEGMENTS,
                   lookback_days=90),
         txn_query("user_classification", "lineitem", d.user_classification,
                   od.USER_CLASSIFICATION, lookback_days=90),
-        txn_query("customer_ltv", "events", d.customer_ltv, od.CUSTOMER_LTV),
+        txn_query("customer_ltv", "events", d.customer_ltv, od.CUSTOMER_LTV, lookback_days=365),
         txn_query("ltv_detail", "lineitem", d.ltv_detail, od.LTV_DETAIL, lookback_days=365),
-        txn_query("health_monitor", "events", d.health_monitor, od.HEALTH_MONITOR),
+        txn_query("health_monitor", "events", d.health_monitor, od.HEALTH_MONITOR,
+                  lookback_days=1),
         txn_query("competitive_landscape", "events", d.competitive_landscape,
-                  od.COMPETITIVE_LANDSCAPE),
+                  od.COMPETITIVE_LANDSCAPE, lookback_days=30),
         txn_query("state_category_topk", "events", d.state_category_topk,
-                  od.STATE_CATEGORY_TOPK),
+                  od.STATE_CATEGORY_TOPK, lookback_days=7),
     ]
 
 
