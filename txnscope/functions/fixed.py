@@ -6,6 +6,7 @@ to agree; they are stated here once, in their natural order.
 
 # --- Fixed values: platform names and market constants --------------------------
 OWN_PLATFORM = "PhonePe"
+OWN_PERFORMANCE_LABEL = "PhonePe Performance"
 COMPETITORS = ("Google Pay", "Paytm")
 # monthly-volume competitor factors (market position report)
 MARKET_POSITION_FACTORS = {"Google Pay": 0.75, "Paytm": 0.15}

@@ -92,7 +92,7 @@ def performance_kpis(t: DataFrame, as_of, days: int = 30) -> DataFrame:
         F.avg(_amt()).alias("_avg"),
         ratio(F.count(F.lit(1)), F.countDistinct(_day())).alias("daily_avg_transactions"))
     return agg.select(
-        F.lit("PhonePe Performance").alias("metric_category"),
+        F.lit(fixed.OWN_PERFORMANCE_LABEL).alias("metric_category"),
         F.round("_succ_pct", 2).alias("success_rate"),
         F.round("_fraud_pct", 4).alias("fraud_rate"),
         F.round("_avg", 2).alias("avg_transaction_value"),

@@ -49,6 +49,13 @@ def drop_nulls(df: DataFrame) -> DataFrame:
     return df.dropna(how="any")
 
 
+def head_n(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
+    """First ``n`` rows in an explicit order (Spark keeps no file order), e.g. the
+    preview of a loaded file or a first-rows scoring batch. Planned as a
+    top-k (TakeOrderedAndProject): each task keeps n rows, so no full sort."""
+    return df.orderBy(*(order or [df.columns[0]])).limit(n)
+
+
 def shape_report(df: DataFrame, sub: DataFrame | None = None) -> DataFrame:
     """Row and column counts of a frame (and of an optional sub-frame)."""
     rows = df.agg(F.count(F.lit(1)).alias("n_rows")).select(

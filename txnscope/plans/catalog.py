@@ -135,6 +135,8 @@ def profiling_queries() -> list[Registered]:
         frame_query("schema_info", "events", profiling.schema_info, op.SCHEMA_INFO),
         frame_query("null_counts", "events", profiling.null_counts, op.NULL_COUNTS),
         frame_query("drop_nulls", "events", profiling.drop_nulls, op.DROP_NULLS),
+        frame_query("head_n", "events", lambda t: profiling.head_n(t, 5, ["transaction_id"]),
+                    op.HEAD_N),
         frame_query("shape_report", "events", _shape, op.SHAPE_REPORT),
         frame_query("describe_numeric", "events", _describe, op.DESCRIBE_NUMERIC),
         frame_query("temporal_features", "events", _temporal, op.TEMPORAL_FEATURES),

@@ -221,3 +221,5 @@ SELECT sender_bank, receiver_bank, fraud_flag,
        CASE WHEN sender_bank IN (SELECT bank FROM fb) THEN 'fraud_related' ELSE 'neighbour' END AS sender_class,
        CASE WHEN receiver_bank IN (SELECT bank FROM fb) THEN 'fraud_related' ELSE 'neighbour' END AS receiver_class
 FROM last"""
+
+HEAD_N = """SELECT * FROM transactions ORDER BY transaction_id LIMIT 5"""
