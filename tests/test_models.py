@@ -78,7 +78,8 @@ def _brute_dbscan(x, eps, min_samples):
     return core, label, border
 
 
-def test_dbscan_matches_brute_force(spark):
+@pytest.mark.parametrize("edge_limit", [1_000_000, 10])
+def test_dbscan_matches_brute_force(spark, edge_limit):
     rng = np.random.default_rng(11)
     blobs = [rng.normal(loc=c, scale=0.25, size=(60, 4)) for c in ((0, 0, 0, 0), (2, 2, 0, 1))]
     x = np.vstack(blobs + [rng.uniform(-3, 5, size=(40, 4))])
@@ -86,7 +87,8 @@ def test_dbscan_matches_brute_force(spark):
     ids = [f"p{i:04d}" for i in range(len(x))]
     df = spark.createDataFrame([(k, *map(float, r)) for k, r in zip(ids, x)],
                                "transaction_id STRING, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
-    m = dbscan.fit_dbscan(df, ["a", "b", "c", "d"], eps=0.5, min_samples=5, grid_dims=2)
+    m = dbscan.fit_dbscan(df, ["a", "b", "c", "d"], eps=0.5, min_samples=5, grid_dims=2,
+                          block_edge_limit=edge_limit)  # 10: large blocks take the iterative path
     got = {r["_id"]: r for r in m.labels.collect()}
     core, label, border = _brute_dbscan(x, 0.5, 5)
     mapping = {}

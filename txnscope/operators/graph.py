@@ -97,6 +97,8 @@ def shortest_paths(edges: DataFrame, distance: str = "weight", max_rounds: int |
                    .where(~F.col("dist").eqNullSafe(F.col("_d0"))
                           | ~F.col("sigma").eqNullSafe(F.col("_s0")))
                    .limit(1).count())
+        if i > 0:
+            cur.unpersist()
         cur = nxt
         if changed == 0:
             break
