@@ -214,6 +214,19 @@ def fitted_model(spark, sf_dir):
     return _MODELS[key]
 
 
+_SCORES: dict = {}
+
+
+def scored(spark, sf_dir):
+    """The score table of the fitted model, written once to the shared
+    checkpoint folder (a scoring job's output table); later reads reuse it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORES:
+        m = fitted_model(spark, sf_dir)
+        _SCORES[key] = m.score(load_transactions(spark, sf_dir, "events")).checkpoint(eager=True)
+    return _SCORES[key]
+
+
 def _model_query(name, fn):
     def build(spark, sf_dir):
         return fn(fitted_model(spark, sf_dir), load_transactions(spark, sf_dir, "events"))
@@ -235,8 +248,12 @@ def _cluster_rates(m, t):
     return round_doubles(dbscan.cluster_fraud_rates(m.dbscan.labels, x), 9)
 
 
-def _scores(m, t):
-    return round_doubles(m.score(t), 9)
+def _scores_query(spark, sf_dir):
+    return round_doubles(scored(spark, sf_dir), 9)
+
+
+def _topk_query(spark, sf_dir):
+    return ensemble.top_risky(scored(spark, sf_dir), 10)
 
 
 def model_queries() -> list[Registered]:
@@ -251,8 +268,8 @@ def model_queries() -> list[Registered]:
         _model_query("dbscan_clusters", _dbscan_labels),
         _model_query("cluster_fraud_rates", _cluster_rates),
         _model_query("anomaly_clusters", lambda m, t: round_doubles(m.anomaly_clusters, 9)),
-        _model_query("fraud_scores", _scores),
-        _model_query("topk_risky_txns", lambda m, t: ensemble.top_risky(m.score(t), 10)),
+        Registered("fraud_scores", _scores_query, None),
+        Registered("topk_risky_txns", _topk_query, None),
         _model_query("insight_model_summary", lambda m, t: insights.model_summary(m)),
     ]
 
