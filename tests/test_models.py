@@ -84,6 +84,8 @@ def test_dbscan_matches_brute_force(spark, edge_limit):
     blobs = [rng.normal(loc=c, scale=0.25, size=(60, 4)) for c in ((0, 0, 0, 0), (2, 2, 0, 1))]
     x = np.vstack(blobs + [rng.uniform(-3, 5, size=(40, 4))])
     x[:, 3] = np.round(x[:, 3])  # a coarse feature that becomes a blocking key
+    # duplicates: 4 copies of one isolated point make it core only through weights
+    x = np.vstack([x, np.repeat([[4.5, -2.5, 4.5, 3.0]], 5, axis=0), x[:3]])
     ids = [f"p{i:04d}" for i in range(len(x))]
     df = spark.createDataFrame([(k, *map(float, r)) for k, r in zip(ids, x)],
                                "transaction_id STRING, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")

@@ -238,14 +238,26 @@ class DbscanModel:
 def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
                eps: float = fixed.DBSCAN_EPS, min_samples: int = fixed.DBSCAN_MIN_SAMPLES,
                grid_dims: int = 3, block_edge_limit: int = BLOCK_EDGE_LIMIT) -> DbscanModel:
+    """DBSCAN over the rows of ``df`` (see module docstring).
+
+    Identical feature vectors are first collapsed into one weighted point
+    (weight = number of rows, id = smallest row id): a pile-up of duplicates,
+    e.g. a third of the table on one vector, then costs one point instead of a
+    quadratic number of pairs. Neighbour counts sum the weights, so the result
+    is exactly that of DBSCAN on the rows.
+    """
     feats = list(feature_cols)
     spark = df.sparkSession
     checkpoint_dir(spark)
-    pts = df.select(F.col(key).cast("string").alias("_id"),
-                    *[F.col(c).cast("double").alias(c) for c in feats]).checkpoint(eager=True)
+    rows = df.select(F.col(key).cast("string").alias("_id"),
+                     *[F.col(c).cast("double").alias(c) for c in feats])
+    pts = (rows.groupBy(*feats).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w"))
+           .checkpoint(eager=True))
     spec = plan_blocking(pts, feats, eps, grid_dims)
     pairs = neighbour_pairs(pts, spec).select("a", "b", "_blk").checkpoint(eager=True)
-    counts = pairs.groupBy(F.col("a").alias("_id")).agg(F.count(F.lit(1)).alias("_nb"))
+    weights = pts.select(F.col("_id").alias("b"), "_w")
+    counts = pairs.join(weights, "b").groupBy(F.col("a").alias("_id")).agg(
+        F.sum("_w").alias("_nb"))
     core = counts.where(F.col("_nb") >= min_samples).select(F.col("_id").alias("node"))
     core = core.checkpoint(eager=True)
     core_edges = (pairs.where(F.col("a") != F.col("b"))
@@ -262,11 +274,12 @@ def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
               .groupBy(F.col("a").alias("_id")).agg(F.min("cluster").alias("cluster")))
     assigned = core_cl.withColumn("is_core", F.lit(True)).unionByName(
         border.withColumn("is_core", F.lit(False)))
-    labels = (pts.select("_id").join(assigned, "_id", "left")
-              .select("_id", F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
-                      F.coalesce("is_core", F.lit(False)).alias("is_core"))
+    vec_labels = (pts.join(assigned, "_id", "left")
+                  .select(*feats, F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
+                          F.coalesce("is_core", F.lit(False)).alias("is_core")))
+    labels = (rows.join(vec_labels, feats).select("_id", "cluster", "is_core")
               .checkpoint(eager=True))
-    core_points = pts.join(core_cl, "_id").checkpoint(eager=True)
+    core_points = pts.join(core_cl, "_id").drop("_w").checkpoint(eager=True)
     return DbscanModel(spec, labels, core_points)
 
 
