@@ -13,14 +13,19 @@ from txnscope.operators import dbscan, features, iforest, profiles, supervised
 from txnscope.sources.adapters import events_transactions
 
 
-def test_split_is_exact_per_class(spark):
+@pytest.mark.parametrize("band_rows", [1_000_000, 40])
+def test_split_is_exact_per_class(spark, duck, band_rows):
     t = events_transactions(spark, SF_SMALL)
-    s = supervised.stratified_split(t)
+    s = supervised.stratified_split(t, band_rows=band_rows)  # 40: sketch bracket path
     counts = {(r[0], r[1]): r[2] for r in s.groupBy("fraud_flag", "split").count().collect()}
     n = {k: counts.get((k, "train"), 0) + counts.get((k, "test"), 0) for k in (0, 1)}
     for k in (0, 1):
         assert counts.get((k, "test"), 0) == -(-3 * n[k] // 10)
     assert s.count() == t.count()
+    import __spark_entry__ as E
+    want = {r[0]: r[2] for r in duck(SF_SMALL).sql(E.oracle_sql()["split_stratified"]).fetchall()}
+    got = {r["transaction_id"]: r["split"] for r in s.select("transaction_id", "split").collect()}
+    assert got == want
 
 
 def test_auc_matches_evaluator(spark):
