@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Attach a ONE-row aggregate (global statistics) to every row of ``df``.
 
-    The statistics frame is a global aggregate, so it has exactly one row: its
-    broadcast size is bounded by construction. It is joined on a constant key,
-    which Spark plans as a broadcast hash join (no nested-loop / cross join).
+    The statistics row is a bounded result (a few numbers), so it is fetched
+    to the driver and added as typed literals, which Catalyst folds into the
+    expressions that use them. No join of any kind is planned, and ``df``
+    itself is never collected.
     """
-    key = "_scalar_key"
-    return (df.withColumn(key, F.lit(0))
-            .join(F.broadcast(scalars.withColumn(key, F.lit(0))), key)
-            .drop(key))
+    rows = scalars.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"expected a one-row statistics frame, got {len(rows)} rows")
+    row = rows[0]
+    return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType)
+                           for f in scalars.schema.fields})
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
