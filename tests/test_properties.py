@@ -43,3 +43,21 @@ def test_normalise_name_rule(name):
     assert out == out.strip("_")
     assert all(c.isascii() and (c.isalnum() or c == "_") for c in out)
     assert normalise_name(out) == out
+
+
+def test_quantile_switch_agrees(spark):
+    """The sketch path (used above 10 M rows) stays close to the exact path."""
+    from conftest import SF_SMALL
+    from txnscope.operators import features, profiling
+    from txnscope.sources.adapters import events_transactions
+    t = events_transactions(spark, SF_SMALL)
+    ex = {r["column_name"]: r for r in profiling.describe_numeric(t, ["amount_inr"], exact=True).collect()}
+    ap = {r["column_name"]: r for r in profiling.describe_numeric(t, ["amount_inr"], exact=False).collect()}
+    spread = ex["amount_inr"]["max"] - ex["amount_inr"]["min"]
+    for q in ("p25", "p50", "p75"):
+        assert abs(ex["amount_inr"][q] - ap["amount_inr"][q]) <= 0.01 * spread
+    p_ex = features.amount_stats(t, exact=True).first()["_amt_p95"]
+    p_ap = features.amount_stats(t, exact=False).first()["_amt_p95"]
+    assert abs(p_ex - p_ap) <= 0.01 * spread
+    box = profiling.amount_boxstats_by_fraud(t, exact=False).collect()
+    assert {r["fraud_flag"] for r in box} <= {0, 1}

@@ -29,6 +29,26 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 EXACT_QUANTILE_LIMIT = 10_000_000
+APPROX_ACCURACY = 100_000
+
+
+def exact_quantiles_ok(df: DataFrame, limit: int = EXACT_QUANTILE_LIMIT) -> bool:
+    """True when ``df`` has at most ``limit`` rows. ``limit`` stops the count
+    early, so the check reads at most ``limit + 1`` rows."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def quantile_col(x, qs, exact: bool):
+    """Quantile(s) of ``x`` with linear interpolation.
+
+    ``exact=True`` uses ``percentile``, which keeps a value->count map (memory
+    grows with the distinct values of a group); otherwise the GK sketch
+    ``percentile_approx`` (bounded memory, rank error n / 100,000).
+    """
+    if exact:
+        return F.percentile(x, qs)
+    approx = F.percentile_approx(x, qs, APPROX_ACCURACY)
+    return approx.cast("array<double>" if isinstance(qs, (list, tuple)) else "double")
 
 
 def quantile_value(df: DataFrame, col: str, q: float, n_rows: int | None = None,

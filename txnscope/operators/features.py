@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .common import with_scalars
+from .common import exact_quantiles_ok, quantile_col, with_scalars
 
 TS = "timestamp"
 
@@ -38,11 +38,12 @@ def fit_encoders(df: DataFrame, columns=fixed.CATEGORICAL_COLUMNS) -> StringInde
                          stringOrderType="alphabetAsc", handleInvalid="error").fit(df)
 
 
-def amount_stats(df: DataFrame) -> DataFrame:
-    """One-row batch statistics of the amount."""
+def amount_stats(df: DataFrame, exact: bool | None = None) -> DataFrame:
+    """One-row batch statistics of the amount (exact quantile up to 10 M rows)."""
+    exact = exact_quantiles_ok(df) if exact is None else exact
     a = F.col("amount_inr").cast("double")
     return df.agg(F.avg(a).alias("_amt_mean"), F.stddev_samp(a).alias("_amt_std"),
-                   F.percentile(a, 0.95).alias("_amt_p95"))
+                   quantile_col(a, 0.95, exact).alias("_amt_p95"))
 
 
 def cross_state(df: DataFrame) -> F.Column:
@@ -89,9 +90,11 @@ def prepare_features(df: DataFrame, encoders: StringIndexerModel | None = None,
     return out, encoders
 
 
-def median_values(df: DataFrame, columns) -> DataFrame:
-    """One-row frame of exact medians (linear interpolation) of ``columns``."""
-    return df.agg(*[F.median(F.col(c).cast("double")).alias(f"_med_{c}") for c in columns])
+def median_values(df: DataFrame, columns, exact: bool | None = None) -> DataFrame:
+    """One-row frame of medians (linear interpolation; exact up to 10 M rows)."""
+    exact = exact_quantiles_ok(df) if exact is None else exact
+    return df.agg(*[quantile_col(F.col(c).cast("double"), 0.5, exact).alias(f"_med_{c}")
+                    for c in columns])
 
 
 def impute_median(df: DataFrame, columns, medians: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_scalars
+from .common import exact_quantiles_ok, quantile_col, with_scalars
 
 
 def overview(t: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def risky_hours(t: DataFrame) -> DataFrame:
 def high_amount(t: DataFrame) -> DataFrame:
     """p50/p95/p99 of the amount and the fraud mean above p95 vs overall."""
     a = F.col("amount_inr").cast("double")
-    q = t.agg(F.percentile(a, [0.5, 0.95, 0.99]).alias("_q"),
+    q = t.agg(quantile_col(a, [0.5, 0.95, 0.99], exact_quantiles_ok(t)).alias("_q"),
               F.avg(F.col("fraud_flag").cast("double")).alias("overall_fraud_rate"))
     q = q.select(F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"),
                  F.col("_q")[2].alias("p99"), "overall_fraud_rate")

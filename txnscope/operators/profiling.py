@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_scalars
+from .common import exact_quantiles_ok, quantile_col, with_scalars
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -66,19 +66,23 @@ def shape_report(df: DataFrame, sub: DataFrame | None = None) -> DataFrame:
     return rows
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str] | None = None,
+                     exact: bool | None = None) -> DataFrame:
     """count/mean/std/min/25%/50%/75%/max per numeric column (``describe()``).
 
     Quantiles are exact with linear interpolation (``percentile``), as pandas
-    computes them; ``summary()`` is approximate and is not used.
+    computes them, up to 10 M rows, and the GK sketch beyond (bounded memory);
+    ``summary()`` is approximate and is not used.
     """
     cols = columns or [c for c, t in df.dtypes if t in NUMERIC]
+    exact = exact_quantiles_ok(df) if exact is None else exact
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+                 quantile_col(x, [0.25, 0.5, 0.75], exact).alias(f"q{i}"),
+                 F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs).select(*[e for i in range(len(cols)) for e in (
         F.col(f"c{i}"), F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}"),
         F.col(f"q{i}")[0].alias(f"p25_{i}"), F.col(f"q{i}")[1].alias(f"p50_{i}"),
@@ -164,7 +168,7 @@ def device_fraud_counts(df: DataFrame) -> DataFrame:
 
 
 def amount_boxstats_by_fraud(df: DataFrame, col: str = "amount_inr",
-                             by: str = "fraud_flag") -> DataFrame:
+                             by: str = "fraud_flag", exact: bool | None = None) -> DataFrame:
     """Box-plot statistics per group: quartiles, 1.5*IQR whiskers (most extreme
     points inside the fences) and the number of points outside them.
 
@@ -172,8 +176,9 @@ def amount_boxstats_by_fraud(df: DataFrame, col: str = "amount_inr",
     group value) are joined back to the rows to find whiskers and outliers.
     """
     x = F.col(col).cast("double")
+    exact = exact_quantiles_ok(df) if exact is None else exact
     q = (df.where(F.col(by).isNotNull()).groupBy(by)
-         .agg(F.percentile(x, [0.25, 0.5, 0.75]).alias("_q"))
+         .agg(quantile_col(x, [0.25, 0.5, 0.75], exact).alias("_q"))
          .select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3")))
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
