@@ -55,7 +55,9 @@ class FraudModel:
 
     def score(self, t: DataFrame, stats="batch") -> DataFrame:
         x = self.features(t, stats)
-        x = self.iso.decision_function(x, "iso_decision")
+        # checkpointed: the batch min/max below and the blend both read the
+        # forest scores, which would otherwise be computed twice in Python
+        x = self.iso.decision_function(x, "iso_decision").checkpoint(eager=True)
         mm = x.agg(F.min("iso_decision").alias("_imin"), F.max("iso_decision").alias("_imax"))
         x = with_scalars(x, mm).withColumn(
             "iso_score", 1 - F.try_divide(F.col("iso_decision") - F.col("_imin"),

@@ -130,11 +130,36 @@ def _graph_risk(t, **kw):
 LOW_FLOORS = dict(min_betweenness=-1.0, min_closeness=0.01, fraud_threshold=0.005)
 
 
+def _csv_path(t):
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import intake
+    return intake.export_csv(t, scratch_path(t.sparkSession, f"csv-{uuid.uuid4().hex[:10]}"))
+
+
+def _csv_intake(t):
+    """Transactions -> CSV extract -> read with inference -> normalised names ->
+    canonical types -> rows with nulls dropped."""
+    from ..sources import intake
+    spark = t.sparkSession
+    raw = intake.read_csv(spark, _csv_path(t))
+    return profiling.drop_nulls(intake.conform(intake.normalise_columns(raw)))
+
+
+def _rename_report(t):
+    from ..sources import intake
+    return intake.column_rename_report(t.sparkSession, intake.read_csv(t.sparkSession,
+                                                                      _csv_path(t)))
+
+
 def profiling_queries() -> list[Registered]:
     return [
         frame_query("schema_info", "events", profiling.schema_info, op.SCHEMA_INFO),
         frame_query("null_counts", "events", profiling.null_counts, op.NULL_COUNTS),
         frame_query("drop_nulls", "events", profiling.drop_nulls, op.DROP_NULLS),
+        frame_query("csv_intake", "events", _csv_intake, op.DROP_NULLS),
+        frame_query("column_rename_report", "events", _rename_report, op.RENAME_REPORT),
         frame_query("head_n", "events", lambda t: profiling.head_n(t, 5, ["transaction_id"]),
                     op.HEAD_N),
         frame_query("shape_report", "events", _shape, op.SHAPE_REPORT),

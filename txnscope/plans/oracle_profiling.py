@@ -223,3 +223,8 @@ SELECT sender_bank, receiver_bank, fraud_flag,
 FROM last"""
 
 HEAD_N = """SELECT * FROM transactions ORDER BY transaction_id LIMIT 5"""
+
+# header of the CSV extract (spreadsheet style) -> normalised name
+RENAME_REPORT = "SELECT * FROM (VALUES " + ", ".join(
+    "('" + " ".join({"id": "ID", "inr": "(INR)"}.get(w, w.capitalize()) for w in c.split("_"))
+    + "', '" + c + "')" for c, _ in TXN_TYPES) + ") AS r(original, new)"
