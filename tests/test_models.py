@@ -137,3 +137,19 @@ def test_unseen_category_raises(spark):
     out, _ = features.prepare_features(new, enc)
     with pytest.raises(Exception):
         out.collect()
+
+
+def test_ensemble_train_stats_equal_batch_stats_on_training_data(spark):
+    """Scoring the training batch with fitted statistics equals scoring it with
+    its own batch statistics (they are the same numbers)."""
+    from txnscope.operators import ensemble
+    t = events_transactions(spark, SF_SMALL)
+    m = ensemble.fit(t, n_trees=20, rf_trees=10, dbscan_eps=1.0,
+                     graph_floors=dict(min_betweenness=-1.0, min_closeness=0.0, fraud_threshold=0.0))
+    a = {r["transaction_id"]: r for r in m.score(t, "batch").collect()}
+    b = {r["transaction_id"]: r for r in m.score(t, "train").collect()}
+    assert a.keys() == b.keys() and len(a) == t.count()
+    for k in a:
+        assert abs(a[k]["fraud_score"] - b[k]["fraud_score"]) < 1e-9
+        assert a[k]["risk_category"] == b[k]["risk_category"]
+        assert 0 <= a[k]["fraud_score"] <= 1.0

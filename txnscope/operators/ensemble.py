@@ -47,18 +47,32 @@ class FraudModel:
     suspicious: DataFrame
     report: DataFrame = field(default=None)
     auc: DataFrame = field(default=None)
+    # training-time statistics for stats="train" (decision D8)
+    feature_stats: feat.FeatureStats = field(default=None)
+    medians: DataFrame = field(default=None)
+    iso_range: DataFrame = field(default=None)
 
     def features(self, t: DataFrame, stats="batch") -> DataFrame:
-        f, _ = feat.prepare_features(t, self.encoders, stats)
-        x = feat.impute_median(f.select(*CARRY, *FEATURES), FEATURES)
+        """Scaled model features. ``stats="batch"`` recomputes the amount
+        statistics and medians on ``t`` (as the original scoring does);
+        ``stats="train"`` uses the fitted ones (stable for small batches and
+        usable on a stream)."""
+        train = stats == "train"
+        f, _ = feat.prepare_features(t, self.encoders, self.feature_stats if train else "batch")
+        x = feat.impute_median(f.select(*CARRY, *FEATURES), FEATURES,
+                               self.medians if train else None)
         return feat.standard_scale(x, FEATURES, self.scaler)
 
     def score(self, t: DataFrame, stats="batch") -> DataFrame:
         x = self.features(t, stats)
-        # checkpointed: the batch min/max below and the blend both read the
-        # forest scores, which would otherwise be computed twice in Python
-        x = self.iso.decision_function(x, "iso_decision").checkpoint(eager=True)
-        mm = x.agg(F.min("iso_decision").alias("_imin"), F.max("iso_decision").alias("_imax"))
+        x = self.iso.decision_function(x, "iso_decision")
+        if stats == "train":
+            mm = self.iso_range
+        else:
+            # checkpointed: the batch min/max and the blend both read the
+            # forest scores, which would otherwise be computed twice in Python
+            x = x.checkpoint(eager=True)
+            mm = x.agg(F.min("iso_decision").alias("_imin"), F.max("iso_decision").alias("_imax"))
         x = with_scalars(x, mm).withColumn(
             "iso_score", 1 - F.try_divide(F.col("iso_decision") - F.col("_imin"),
                                           F.col("_imax") - F.col("_imin"))).drop("_imin", "_imax")
@@ -84,11 +98,18 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     """Train every component on ``t`` (transaction ids must be unique)."""
     spark = t.sparkSession
     checkpoint_dir(spark)
-    f, enc = feat.prepare_features(t)
-    x = feat.impute_median(f.select(*CARRY, *FEATURES), FEATURES)
+    amount = feat.amount_stats(t).first()
+    fstats = feat.FeatureStats(amount["_amt_mean"], amount["_amt_std"], amount["_amt_p95"])
+    f, enc = feat.prepare_features(t, stats=fstats)
+    base = f.select(*CARRY, *FEATURES)
+    medians = feat.median_values(base, FEATURES).checkpoint(eager=True)
+    x = feat.impute_median(base, FEATURES, medians)
     scaler = feat.fit_scaler(x, FEATURES).checkpoint(eager=True)
     xs = feat.standard_scale(x, FEATURES, scaler).checkpoint(eager=True)
     iso = iforest.fit_isolation_forest(xs, FEATURES, KEY, n_trees=n_trees)
+    iso_range = (iso.decision_function(xs, "_d")
+                 .agg(F.min("_d").alias("_imin"), F.max("_d").alias("_imax"))
+                 .checkpoint(eager=True))
     split = supervised.stratified_split(xs).checkpoint(eager=True)
     data = feat.assemble(split)
     rf = supervised.fit_random_forest(data.where(F.col("split") == "train"), n_trees=rf_trees)
@@ -100,7 +121,8 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     anomalies = db.anomaly_clusters(rates).checkpoint(eager=True)
     edges = g.bank_edges(t).checkpoint(eager=True)
     suspicious = g.suspicious_nodes(edges, **(graph_floors or {})).checkpoint(eager=True)
-    return FraudModel(enc, scaler, iso, rf, dbm, anomalies, edges, suspicious, report, auc)
+    return FraudModel(enc, scaler, iso, rf, dbm, anomalies, edges, suspicious, report, auc,
+                      fstats, medians, iso_range)
 
 
 def top_risky(scores: DataFrame, k: int = 10) -> DataFrame:
