@@ -26,13 +26,22 @@ from ..session import checkpoint_dir
 PARTITION = "txn_month"
 
 
-def materialize(t: DataFrame, name: str, spark: SparkSession | None = None) -> str:
-    """Write the transaction table partitioned by month; return its path."""
+def materialize(t: DataFrame, name: str, spark: SparkSession | None = None,
+                partitions: int | None = None) -> str:
+    """Write the transaction table partitioned by month; return its path.
+
+    Rows are range-partitioned on (month, timestamp): a month is spread over
+    many write tasks (hash-partitioning on the month alone would send a whole
+    month, terabytes at scale, to one task), and each task writes
+    time-sorted files of one or two months, so row-group statistics on
+    ``timestamp`` stay tight.
+    """
     spark = spark or t.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = os.path.join(checkpoint_dir(spark), "warehouse", f"{name}-{uuid.uuid4().hex[:10]}")
     (t.withColumn(PARTITION, F.trunc(F.to_date(TS), "month"))
-     .repartition(PARTITION)
-     .sortWithinPartitions(TS)
+     .repartitionByRange(n, PARTITION, TS)
+     .sortWithinPartitions(PARTITION, TS)
      .write.mode("overwrite").partitionBy(PARTITION).parquet(path))
     return path
 
