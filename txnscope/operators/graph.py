@@ -164,7 +164,13 @@ def suspicious_nodes(edges: DataFrame, fraud_threshold: float = fixed.FRAUD_THRE
                      distance: str = "weight") -> DataFrame:
     """Nodes central on both measures whose incident fraud rate exceeds the
     threshold, highest rate first."""
-    c = centrality_table(edges, distance)
+    return select_suspicious(centrality_table(edges, distance), fraud_threshold,
+                             min_betweenness, min_closeness)
+
+
+def select_suspicious(c: DataFrame, fraud_threshold: float = fixed.FRAUD_THRESHOLD,
+                      min_betweenness: float = 0.1, min_closeness: float = 0.1) -> DataFrame:
+    """The suspicious-node filter over a centrality table."""
     return (c.where((F.col("betweenness_centrality") > min_betweenness)
                     & (F.col("closeness_centrality") > min_closeness)
                     & (F.col("total_transactions") > 0)

@@ -108,17 +108,32 @@ def _incident(t):
         "node_fraud_rate", F.round("node_fraud_rate", 6))
 
 
-def _centrality(t):
-    return round_doubles(g.centrality_table(g.bank_edges(t)), 9)
+_GRAPHS: dict = {}
 
 
-def _suspicious(t, **kw):
-    return round_doubles(g.suspicious_nodes(g.bank_edges(t), **kw), 9)
+def bank_graph(spark, sf_dir):
+    """(edges, centrality table) of the events graph, built once per session
+    and data folder (checkpointed), as the graph is built once and then used
+    for both cluster detection and risk scoring."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GRAPHS:
+        edges = g.bank_edges(load_transactions(spark, sf_dir, "events")).checkpoint(eager=True)
+        _GRAPHS[key] = (edges, g.centrality_table(edges).checkpoint(eager=True))
+    return _GRAPHS[key]
+
+
+def _centrality(spark, sf_dir):
+    return round_doubles(bank_graph(spark, sf_dir)[1], 9)
+
+
+def _suspicious(spark, sf_dir):
+    return round_doubles(g.select_suspicious(bank_graph(spark, sf_dir)[1], **LOW_FLOORS), 9)
 
 
-def _graph_risk(t, **kw):
-    edges = g.bank_edges(t).cache()
-    sus = g.suspicious_nodes(edges, **kw)
+def _graph_risk(spark, sf_dir):
+    edges, table = bank_graph(spark, sf_dir)
+    sus = g.select_suspicious(table, **LOW_FLOORS)
+    t = load_transactions(spark, sf_dir, "events")
     return g.graph_risk_scores(t, edges, sus).select(
         "transaction_id", "sender_bank", "receiver_bank", F.round("graph_risk_score", 9)
         .alias("graph_risk_score"))
@@ -189,9 +204,9 @@ def graph_queries() -> list[Registered]:
         frame_query("graph_size", "events", lambda t: g.graph_size(g.bank_edges(t)),
                     op.GRAPH_SIZE),
         frame_query("node_incident_edges", "events", _incident, op.NODE_INCIDENT),
-        frame_query("graph_centrality", "events", _centrality, None),
-        frame_query("suspicious_nodes", "events", _suspicious, None, **LOW_FLOORS),
-        frame_query("graph_risk_scores", "events", _graph_risk, None, **LOW_FLOORS),
+        Registered("graph_centrality", _centrality, None),
+        Registered("suspicious_nodes", _suspicious, None),
+        Registered("graph_risk_scores", _graph_risk, None),
         frame_query("fraud_related_banks", "events", g.fraud_related_banks,
                     op.FRAUD_RELATED_BANKS),
         frame_query("fraud_subgraph", "events", g.fraud_subgraph, op.FRAUD_SUBGRAPH),
