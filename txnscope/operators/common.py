@@ -49,20 +49,3 @@ def quantile_col(x, qs, exact: bool):
         return F.percentile(x, qs)
     approx = F.percentile_approx(x, qs, APPROX_ACCURACY)
     return approx.cast("array<double>" if isinstance(qs, (list, tuple)) else "double")
-
-
-def quantile_value(df: DataFrame, col: str, q: float, n_rows: int | None = None,
-                   exact_limit: int = EXACT_QUANTILE_LIMIT) -> float | None:
-    """One quantile of a column as a Python float (linear interpolation).
-
-    The exact ``percentile`` aggregate keeps a value->count map, i.e. memory
-    grows with the number of distinct values; above ``exact_limit`` rows the
-    GK sketch ``percentile_approx`` (bounded memory, rank error n/accuracy)
-    is used instead. Only the scalar result reaches the driver.
-    """
-    n = n_rows if n_rows is not None else df.count()
-    if n <= exact_limit:
-        row = df.agg(F.percentile(F.col(col), q).alias("q")).first()
-    else:
-        row = df.agg(F.percentile_approx(F.col(col), q, 100_000).alias("q")).first()
-    return None if row is None or row["q"] is None else float(row["q"])

@@ -107,9 +107,8 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     scaler = feat.fit_scaler(x, FEATURES).checkpoint(eager=True)
     xs = feat.standard_scale(x, FEATURES, scaler).checkpoint(eager=True)
     iso = iforest.fit_isolation_forest(xs, FEATURES, KEY, n_trees=n_trees)
-    iso_range = (iso.decision_function(xs, "_d")
-                 .agg(F.min("_d").alias("_imin"), F.max("_d").alias("_imax"))
-                 .checkpoint(eager=True))
+    iso_range = spark.createDataFrame(
+        [(iso.train_min - iso.offset, iso.train_max - iso.offset)], "_imin DOUBLE, _imax DOUBLE")
     split = supervised.stratified_split(xs).checkpoint(eager=True)
     data = feat.assemble(split)
     rf = supervised.fit_random_forest(data.where(F.col("split") == "train"), n_trees=rf_trees)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
-from .common import quantile_value
+from .common import EXACT_QUANTILE_LIMIT, quantile_col
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -110,6 +110,8 @@ class IsolationForestModel:
     feature_cols: list
     psi: int
     offset: float = 0.0
+    train_min: float = 0.0       # range of the training score_samples
+    train_max: float = 0.0
 
     def _arrays(self):
         trees = []
@@ -176,6 +178,13 @@ def fit_isolation_forest(df: DataFrame, feature_cols, key: str = "transaction_id
              .applyInPandas(_tree_builder(cols, psi, max_depth, seed), out_schema)
              .toPandas())
     model = IsolationForestModel(nodes, cols, psi)
-    train_scores = model.score_samples(data, "_s")
-    model.offset = quantile_value(train_scores, "_s", contamination, n_rows=n) or 0.0
+    # one scoring pass over the training rows gives the offset (contamination
+    # quantile) and the score range
+    exact = n <= EXACT_QUANTILE_LIMIT
+    row = (model.score_samples(data, "_s")
+           .agg(quantile_col(F.col("_s"), contamination, exact).alias("q"),
+                F.min("_s").alias("lo"), F.max("_s").alias("hi")).first())
+    model.offset = float(row["q"]) if row["q"] is not None else 0.0
+    model.train_min = float(row["lo"]) if row["lo"] is not None else 0.0
+    model.train_max = float(row["hi"]) if row["hi"] is not None else 0.0
     return model
