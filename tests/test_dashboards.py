@@ -92,3 +92,15 @@ def test_churn_labels(spark):
     out = _rows(d.merchant_churn(txn_frame(spark, rows), dt.datetime(2024, 2, 20)))
     assert out[0]["churn_risk_level"] == "HIGH_CHURN_RISK"
     assert out[0]["month_over_month_change"] == -60.0
+
+
+def test_churned_needs_the_calendar_spine(spark):
+    rows = ([dict(timestamp=dt.datetime(2024, 1, 5), merchant_category="M")] * 10
+            + [dict(timestamp=dt.datetime(2024, 1, 6), merchant_category="N")] * 10
+            + [dict(timestamp=dt.datetime(2024, 2, 6), merchant_category="N")] * 10)
+    as_of = dt.datetime(2024, 2, 20)
+    assert d.merchant_churn(txn_frame(spark, rows), as_of).count() == 0  # faithful: no CHURNED
+    out = _rows(d.merchant_churn(txn_frame(spark, rows), as_of, calendar_spine=True))
+    assert [(r["merchant_category"], r["month"], r["churn_risk_level"]) for r in out] == [
+        ("M", "2024-02", "CHURNED")]
+    assert out[0]["current_month_txns"] == 0 and out[0]["prev_month_txns"] == 10

@@ -244,12 +244,28 @@ def merchant_intelligence(t: DataFrame, as_of, days: int = 30) -> DataFrame:
 
 
 # --- Q7 -------------------------------------------------------------------------
-def merchant_churn(t: DataFrame, as_of, days: int = 60) -> DataFrame:
-    """Month-over-month change per category (previous *present* month, D12);
-    keeps the at-risk labels only."""
+def merchant_churn(t: DataFrame, as_of, days: int = 60, calendar_spine: bool = False) -> DataFrame:
+    """Month-over-month change per category; keeps the at-risk labels only.
+
+    Faithful default (D12): the previous month is the previous month *with
+    transactions*, and a group always has rows, so CHURNED cannot occur.
+    ``calendar_spine=True`` lists every calendar month from a category's first
+    month in the window to the month of ``as_of`` (a month sequence exploded
+    per category, no join of categories x months), counting 0 where a month
+    has no transactions; a category that stops trading is then CHURNED.
+    """
     monthly = (_window(t, as_of, days)
-               .groupBy("merchant_category", _month().alias("month"))
+               .groupBy("merchant_category", F.trunc(F.to_date(TS), "month").alias("_m"))
                .agg(F.count(F.lit(1)).alias("current_month_txns")))
+    if calendar_spine:
+        last = F.trunc(F.to_date(ts_literal(as_of)), "month")
+        spine = (monthly.groupBy("merchant_category").agg(F.min("_m").alias("_first"))
+                 .select("merchant_category",
+                         F.explode(F.sequence("_first", last, F.expr("INTERVAL 1 MONTH")))
+                         .alias("_m")))
+        monthly = (spine.join(monthly, ["merchant_category", "_m"], "left")
+                   .fillna({"current_month_txns": 0}))
+    monthly = monthly.withColumn("month", F.date_format("_m", "yyyy-MM")).drop("_m")
     prev = F.lag("current_month_txns").over(
         Window.partitionBy("merchant_category").orderBy("month"))
     m = monthly.withColumn("prev_month_txns", prev).where(F.col("prev_month_txns").isNotNull())
