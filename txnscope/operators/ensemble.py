@@ -94,8 +94,12 @@ class FraudModel:
 
 
 def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREES,
-        dbscan_eps: float = fixed.DBSCAN_EPS, graph_floors: dict | None = None) -> FraudModel:
-    """Train every component on ``t`` (transaction ids must be unique)."""
+        dbscan_eps: float = fixed.DBSCAN_EPS, graph_floors: dict | None = None,
+        graph: tuple | None = None) -> FraudModel:
+    """Train every component on ``t`` (transaction ids must be unique).
+
+    ``graph`` may pass an already built (edges, centrality table) of ``t``.
+    """
     spark = t.sparkSession
     checkpoint_dir(spark)
     amount = feat.amount_stats(t).first()
@@ -118,8 +122,12 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     dbm = db.fit_dbscan(xs, FEATURES, KEY, eps=dbscan_eps)
     rates = db.cluster_fraud_rates(dbm.labels, xs, KEY)
     anomalies = db.anomaly_clusters(rates).checkpoint(eager=True)
-    edges = g.bank_edges(t).checkpoint(eager=True)
-    suspicious = g.suspicious_nodes(edges, **(graph_floors or {})).checkpoint(eager=True)
+    if graph is None:
+        edges = g.bank_edges(t).checkpoint(eager=True)
+        table = g.centrality_table(edges)
+    else:
+        edges, table = graph
+    suspicious = g.select_suspicious(table, **(graph_floors or {})).checkpoint(eager=True)
     return FraudModel(enc, scaler, iso, rf, dbm, anomalies, edges, suspicious, report, auc,
                       fstats, medians, iso_range)
 

@@ -250,7 +250,8 @@ def fitted_model(spark, sf_dir):
     """Fit once per (session, data folder); later queries reuse the model."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = ensemble.fit(load_transactions(spark, sf_dir, "events"), **ENSEMBLE_ARGS)
+        _MODELS[key] = ensemble.fit(load_transactions(spark, sf_dir, "events"),
+                                    graph=bank_graph(spark, sf_dir), **ENSEMBLE_ARGS)
     return _MODELS[key]
 
 
