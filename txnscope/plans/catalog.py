@@ -293,6 +293,19 @@ def _scores_query(spark, sf_dir):
     return round_doubles(scored(spark, sf_dir), 9)
 
 
+def _sink_query(spark, sf_dir):
+    """Scores written as a parquet table partitioned by risk category in the
+    shared folder (the sink of a scoring job), read back."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import intake
+    path = scratch_path(spark, f"fraud-scores-{uuid.uuid4().hex[:10]}")
+    cols = ["transaction_id", "amount_inr", "fraud_score", "risk_category"]
+    intake.write_sink(scored(spark, sf_dir).select(*cols), path, partition_by=["risk_category"])
+    return round_doubles(spark.read.parquet(path).select(*cols), 9)
+
+
 def _topk_query(spark, sf_dir):
     return ensemble.top_risky(scored(spark, sf_dir), 10)
 
@@ -311,6 +324,7 @@ def model_queries() -> list[Registered]:
         _model_query("anomaly_clusters", lambda m, t: round_doubles(m.anomaly_clusters, 9)),
         Registered("fraud_scores", _scores_query, None),
         Registered("topk_risky_txns", _topk_query, None),
+        Registered("risk_sink", _sink_query, None),
         _model_query("insight_model_summary", lambda m, t: insights.model_summary(m)),
     ]
 
