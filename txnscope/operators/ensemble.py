@@ -16,6 +16,7 @@ training core point within eps; 1.0 if that cluster is an anomaly cluster
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -110,18 +111,30 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     x = feat.impute_median(base, FEATURES, medians)
     scaler = feat.fit_scaler(x, FEATURES).checkpoint(eager=True)
     xs = feat.standard_scale(x, FEATURES, scaler).checkpoint(eager=True)
-    iso = iforest.fit_isolation_forest(xs, FEATURES, KEY, n_trees=n_trees)
+    # the three models are independent: submit them as concurrent Spark jobs
+    # (driver threads), so one model's small stages do not leave cores idle
+    def fit_forest():
+        split = supervised.stratified_split(xs).checkpoint(eager=True)
+        data = feat.assemble(split)
+        rf = supervised.fit_random_forest(data.where(F.col("split") == "train"), n_trees=rf_trees)
+        test = supervised.rf_scores(rf, data.where(F.col("split") == "test")).checkpoint(eager=True)
+        return (rf, supervised.classification_report(test, "fraud_flag", "rf_prediction"),
+                supervised.roc_auc(test, "rf_probability", "fraud_flag"))
+
+    def fit_clusters():
+        dbm = db.fit_dbscan(xs, FEATURES, KEY, eps=dbscan_eps)
+        rates = db.cluster_fraud_rates(dbm.labels, xs, KEY)
+        return dbm, db.anomaly_clusters(rates).checkpoint(eager=True)
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_iso = pool.submit(iforest.fit_isolation_forest, xs, FEATURES, KEY, n_trees=n_trees)
+        f_rf = pool.submit(fit_forest)
+        f_db = pool.submit(fit_clusters)
+        iso = f_iso.result()
+        rf, report, auc = f_rf.result()
+        dbm, anomalies = f_db.result()
     iso_range = spark.createDataFrame(
         [(iso.train_min - iso.offset, iso.train_max - iso.offset)], "_imin DOUBLE, _imax DOUBLE")
-    split = supervised.stratified_split(xs).checkpoint(eager=True)
-    data = feat.assemble(split)
-    rf = supervised.fit_random_forest(data.where(F.col("split") == "train"), n_trees=rf_trees)
-    test = supervised.rf_scores(rf, data.where(F.col("split") == "test"))
-    report = supervised.classification_report(test, "fraud_flag", "rf_prediction")
-    auc = supervised.roc_auc(test, "rf_probability", "fraud_flag")
-    dbm = db.fit_dbscan(xs, FEATURES, KEY, eps=dbscan_eps)
-    rates = db.cluster_fraud_rates(dbm.labels, xs, KEY)
-    anomalies = db.anomaly_clusters(rates).checkpoint(eager=True)
     if graph is None:
         edges = g.bank_edges(t).checkpoint(eager=True)
         table = g.centrality_table(edges)
