@@ -249,7 +249,7 @@ def block_components(edges: DataFrame, nodes: DataFrame,
 @dataclass
 class DbscanModel:
     spec: BlockingSpec
-    labels: DataFrame        # (_id, cluster, is_core) for every training point
+    labels: DataFrame        # (_id, cluster, is_core, n_neighbours) per training row
     core_points: DataFrame   # (_id, features..., cluster) of core points
 
     def assign(self, df: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -305,10 +305,11 @@ def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
               .groupBy(F.col("a").alias("_id")).agg(F.min("cluster").alias("cluster")))
     assigned = core_cl.withColumn("is_core", F.lit(True)).unionByName(
         border.withColumn("is_core", F.lit(False)))
-    vec_labels = (pts.join(assigned, "_id", "left")
+    vec_labels = (pts.join(assigned, "_id", "left").join(counts, "_id", "left")
                   .select(*feats, F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
-                          F.coalesce("is_core", F.lit(False)).alias("is_core")))
-    labels = (rows.join(vec_labels, feats).select("_id", "cluster", "is_core")
+                          F.coalesce("is_core", F.lit(False)).alias("is_core"),
+                          F.coalesce("_nb", F.lit(0)).cast("bigint").alias("n_neighbours")))
+    labels = (rows.join(vec_labels, feats).select("_id", "cluster", "is_core", "n_neighbours")
               .checkpoint(eager=True))
     core_points = pts.join(core_cl, "_id").drop("_w").checkpoint(eager=True)
     return DbscanModel(spec, labels, core_points)

@@ -14,7 +14,7 @@ from ..operators.common import round_doubles
 from . import oracle_dashboards as od
 from . import oracle_models as om
 from . import oracle_profiling as op
-from .registry import Registered, frame_query, load_transactions, txn_query
+from .registry import Registered, frame_query, load_transactions, txn_query, with_transactions
 
 
 def dashboard_queries() -> list[Registered]:
@@ -283,6 +283,11 @@ def _dbscan_labels(m, t):
     return m.dbscan.labels.select(F.col("_id").alias("transaction_id"), "cluster", "is_core")
 
 
+def _core_points(spark, sf_dir):
+    m = fitted_model(spark, sf_dir)
+    return m.dbscan.labels.select(F.col("_id").alias("transaction_id"), "n_neighbours", "is_core")
+
+
 def _cluster_rates(m, t):
     from ..operators import dbscan
     x = m.features(t)
@@ -320,6 +325,8 @@ def model_queries() -> list[Registered]:
         _model_query("random_forest_auc", lambda m, t: round_doubles(m.auc, 9)),
         _model_query("isolation_forest_scores", _iso_scores),
         _model_query("dbscan_clusters", _dbscan_labels),
+        Registered("dbscan_core_points", _core_points,
+                   with_transactions("events", op.DBSCAN_CORE_POINTS)),
         _model_query("cluster_fraud_rates", _cluster_rates),
         _model_query("anomaly_clusters", lambda m, t: round_doubles(m.anomaly_clusters, 9)),
         Registered("fraud_scores", _scores_query, None),

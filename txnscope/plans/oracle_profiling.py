@@ -228,3 +228,12 @@ HEAD_N = """SELECT * FROM transactions ORDER BY transaction_id LIMIT 5"""
 RENAME_REPORT = "SELECT * FROM (VALUES " + ", ".join(
     "('" + " ".join({"id": "ID", "inr": "(INR)"}.get(w, w.capitalize()) for w in c.split("_"))
     + "', '" + c + "')" for c, _ in TXN_TYPES) + ") AS r(original, new)"
+
+# DBSCAN neighbour counts (self included) by brute force over all pairs of
+# scaled feature vectors, eps 1.0 as registered
+_Z = SCALED_FEATURES[:SCALED_FEATURES.index("SELECT transaction_id, ROUND(")]
+DBSCAN_CORE_POINTS = _Z + """,
+z AS (SELECT transaction_id, """ + ", ".join(f"({c} - mu_{c}) / sd_{c} AS {c}" for c in _F) + """ FROM imp, sc),
+nb AS (SELECT a.transaction_id, COUNT(*) AS n_neighbours FROM z a JOIN z b ON (""" + " + ".join(
+    f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _F) + """) <= 1.0 * 1.0 GROUP BY a.transaction_id)
+SELECT transaction_id, n_neighbours, n_neighbours >= 5 AS is_core FROM nb"""
