@@ -115,3 +115,24 @@ def test_graph_risk_self_loop_counted_once(spark):
     t2 = txn_frame(spark, [dict(sender_bank="A", receiver_bank="A", fraud_flag=0)] * 3)
     r2 = g.graph_risk_scores(t2, g.bank_edges(t2), sus2).select("graph_risk_score").first()[0]
     assert abs(r2 - 0.3) < 1e-12  # .1 + .2 once + edge rate 0
+
+
+def test_sql_centrality_oracle_on_multi_path_graph():
+    """The DuckDB oracle of graph_centrality agrees with Dijkstra where
+    betweenness is not zero (several shortest paths, a self-loop)."""
+    import duckdb
+
+    from txnscope.plans.oracle_profiling import GRAPH_CENTRALITY
+    triples = [("a", "b", 1, 0), ("a", "c", 1, 0), ("b", "d", 1, 0), ("c", "d", 1, 1),
+               ("d", "a", 5, 0), ("b", "b", 4, 2), ("c", "b", 7, 0)]
+    con = duckdb.connect()
+    rows = [(s, t, 1 if i < f else 0) for s, t, w, f in triples for i in range(w)]
+    con.execute("CREATE TABLE transactions (sender_bank VARCHAR, receiver_bank VARCHAR, fraud_flag INTEGER)")
+    con.executemany("INSERT INTO transactions VALUES (?, ?, ?)", rows)
+    got = {r[0]: r for r in con.sql("WITH RECURSIVE " + GRAPH_CENTRALITY.strip()).fetchall()}
+    bet, clo = _brute([(f"bank_{s}", f"bank_{t}", w, f) for s, t, w, f in triples])
+    assert set(got) == set(bet)
+    assert any(b > 0 for b in bet.values())
+    for v in bet:
+        assert abs(got[v][1] - round(bet[v], 9)) < 1e-12, v
+        assert abs(got[v][2] - round(clo[v], 9)) < 1e-12, v

@@ -204,7 +204,9 @@ def graph_queries() -> list[Registered]:
         frame_query("graph_size", "events", lambda t: g.graph_size(g.bank_edges(t)),
                     op.GRAPH_SIZE),
         frame_query("node_incident_edges", "events", _incident, op.NODE_INCIDENT),
-        Registered("graph_centrality", _centrality, None),
+        Registered("graph_centrality", _centrality,
+                   with_transactions("events", op.GRAPH_CENTRALITY).replace(
+                       "WITH ", "WITH RECURSIVE ", 1)),
         Registered("suspicious_nodes", _suspicious, None),
         Registered("graph_risk_scores", _graph_risk, None),
         frame_query("fraud_related_banks", "events", g.fraud_related_banks,

@@ -237,3 +237,48 @@ z AS (SELECT transaction_id, """ + ", ".join(f"({c} - mu_{c}) / sd_{c} AS {c}" f
 nb AS (SELECT a.transaction_id, COUNT(*) AS n_neighbours FROM z a JOIN z b ON (""" + " + ".join(
     f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _F) + """) <= 1.0 * 1.0 GROUP BY a.transaction_id)
 SELECT transaction_id, n_neighbours, n_neighbours >= 5 AS is_core FROM nb"""
+
+# Centralities: shortest distances by keyed recursion (a pair's row is replaced
+# only by a shorter distance), shortest-path counts by enumerating the
+# shortest-path DAG (every edge adds positive distance, so it terminates).
+# Needs WITH RECURSIVE (see catalog).
+GRAPH_CENTRALITY = """
+e0 AS (SELECT 'bank_' || sender_bank AS src, 'bank_' || receiver_bank AS dst, COUNT(*) AS weight,
+              CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count FROM transactions GROUP BY 1, 2),
+nodes AS (SELECT src AS node FROM e0 UNION SELECT dst FROM e0),
+e AS (SELECT src AS u, dst AS v, CAST(weight AS DOUBLE) AS w FROM e0 WHERE src <> dst),
+d(src, dst, dist) USING KEY (src, dst) AS (
+  SELECT node, node, CAST(0.0 AS DOUBLE) FROM nodes
+  UNION
+  (SELECT d.src, e.v, min(d.dist + e.w)
+   FROM d JOIN e ON d.dst = e.u
+   LEFT JOIN recurring.d AS r ON r.src = d.src AND r.dst = e.v
+   GROUP BY d.src, e.v, r.dist
+   HAVING r.dist IS NULL OR min(d.dist + e.w) < r.dist)
+),
+dag AS (SELECT d1.src AS s, e.u, e.v FROM d d1 JOIN e ON d1.dst = e.u
+        JOIN d d2 ON d2.src = d1.src AND d2.dst = e.v WHERE d1.dist + e.w = d2.dist),
+paths(s, t) AS (SELECT node, node FROM nodes
+                UNION ALL SELECT p.s, dag.v FROM paths p JOIN dag ON dag.s = p.s AND dag.u = p.t),
+sigma AS (SELECT s, t, COUNT(*) AS sigma FROM paths GROUP BY s, t),
+sp AS (SELECT d.src AS s, d.dst AS t, d.dist, CAST(sigma.sigma AS DOUBLE) AS sigma
+       FROM d JOIN sigma ON sigma.s = d.src AND sigma.t = d.dst WHERE d.src <> d.dst),
+bt AS (SELECT sv.t AS node, SUM(sv.sigma * vt.sigma / st.sigma) AS b
+       FROM sp sv JOIN sp vt ON vt.s = sv.t JOIN sp st ON st.s = sv.s AND st.t = vt.t
+       WHERE sv.s <> vt.t AND sv.dist + vt.dist = st.dist GROUP BY sv.t),
+n AS (SELECT COUNT(*) AS n FROM nodes),
+cl AS (SELECT dst AS node, COUNT(*) AS r, SUM(dist) AS tot FROM d WHERE src <> dst GROUP BY dst),
+inc AS (SELECT node, CAST(SUM(fraud_count) AS BIGINT) AS total_fraud, CAST(SUM(weight) AS BIGINT) AS total_transactions,
+               CAST(SUM(fraud_count) AS DOUBLE) / NULLIF(SUM(weight), 0) AS node_fraud_rate
+        FROM (SELECT dst AS node, fraud_count, weight FROM e0 UNION ALL SELECT src, fraud_count, weight FROM e0)
+        GROUP BY node)
+SELECT nodes.node,
+       ROUND(COALESCE(bt.b * CASE WHEN n.n > 2 THEN 1.0 / ((n.n - 1) * (n.n - 2)) END, 0.0), 9) AS betweenness_centrality,
+       ROUND(COALESCE(CASE WHEN cl.tot > 0 AND n.n > 1
+                           THEN (CAST(cl.r AS DOUBLE) / cl.tot) * (CAST(cl.r AS DOUBLE) / (n.n - 1)) END, 0.0), 9)
+         AS closeness_centrality,
+       inc.total_fraud, inc.total_transactions, ROUND(inc.node_fraud_rate, 9) AS node_fraud_rate
+FROM nodes CROSS JOIN n
+LEFT JOIN bt ON bt.node = nodes.node
+LEFT JOIN cl ON cl.node = nodes.node
+LEFT JOIN inc ON inc.node = nodes.node"""
