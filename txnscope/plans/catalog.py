@@ -196,6 +196,11 @@ def profiling_queries() -> list[Registered]:
     ]
 
 
+def _recursive(body: str) -> str:
+    """Oracle SQL on the events fixture whose CTE list holds a recursive CTE."""
+    return with_transactions("events", body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def graph_queries() -> list[Registered]:
     return [
         frame_query("bank_edges", "events", _edges, op.BANK_EDGES),
@@ -204,11 +209,9 @@ def graph_queries() -> list[Registered]:
         frame_query("graph_size", "events", lambda t: g.graph_size(g.bank_edges(t)),
                     op.GRAPH_SIZE),
         frame_query("node_incident_edges", "events", _incident, op.NODE_INCIDENT),
-        Registered("graph_centrality", _centrality,
-                   with_transactions("events", op.GRAPH_CENTRALITY).replace(
-                       "WITH ", "WITH RECURSIVE ", 1)),
-        Registered("suspicious_nodes", _suspicious, None),
-        Registered("graph_risk_scores", _graph_risk, None),
+        Registered("graph_centrality", _centrality, _recursive(op.GRAPH_CENTRALITY)),
+        Registered("suspicious_nodes", _suspicious, _recursive(op.SUSPICIOUS_NODES)),
+        Registered("graph_risk_scores", _graph_risk, _recursive(op.GRAPH_RISK_SCORES)),
         frame_query("fraud_related_banks", "events", g.fraud_related_banks,
                     op.FRAUD_RELATED_BANKS),
         frame_query("fraud_subgraph", "events", g.fraud_subgraph, op.FRAUD_SUBGRAPH),

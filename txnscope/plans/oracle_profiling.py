@@ -242,7 +242,7 @@ SELECT transaction_id, n_neighbours, n_neighbours >= 5 AS is_core FROM nb"""
 # only by a shorter distance), shortest-path counts by enumerating the
 # shortest-path DAG (every edge adds positive distance, so it terminates).
 # Needs WITH RECURSIVE (see catalog).
-GRAPH_CENTRALITY = """
+_CENTRALITY_CTES = """
 e0 AS (SELECT 'bank_' || sender_bank AS src, 'bank_' || receiver_bank AS dst, COUNT(*) AS weight,
               CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count FROM transactions GROUP BY 1, 2),
 nodes AS (SELECT src AS node FROM e0 UNION SELECT dst FROM e0),
@@ -271,14 +271,46 @@ cl AS (SELECT dst AS node, COUNT(*) AS r, SUM(dist) AS tot FROM d WHERE src <> d
 inc AS (SELECT node, CAST(SUM(fraud_count) AS BIGINT) AS total_fraud, CAST(SUM(weight) AS BIGINT) AS total_transactions,
                CAST(SUM(fraud_count) AS DOUBLE) / NULLIF(SUM(weight), 0) AS node_fraud_rate
         FROM (SELECT dst AS node, fraud_count, weight FROM e0 UNION ALL SELECT src, fraud_count, weight FROM e0)
-        GROUP BY node)
-SELECT nodes.node,
-       ROUND(COALESCE(bt.b * CASE WHEN n.n > 2 THEN 1.0 / ((n.n - 1) * (n.n - 2)) END, 0.0), 9) AS betweenness_centrality,
-       ROUND(COALESCE(CASE WHEN cl.tot > 0 AND n.n > 1
-                           THEN (CAST(cl.r AS DOUBLE) / cl.tot) * (CAST(cl.r AS DOUBLE) / (n.n - 1)) END, 0.0), 9)
-         AS closeness_centrality,
-       inc.total_fraud, inc.total_transactions, ROUND(inc.node_fraud_rate, 9) AS node_fraud_rate
-FROM nodes CROSS JOIN n
-LEFT JOIN bt ON bt.node = nodes.node
-LEFT JOIN cl ON cl.node = nodes.node
-LEFT JOIN inc ON inc.node = nodes.node"""
+        GROUP BY node),
+cent AS (
+  SELECT nodes.node,
+         COALESCE(bt.b * CASE WHEN n.n > 2 THEN 1.0 / ((n.n - 1) * (n.n - 2)) END, 0.0) AS betweenness_centrality,
+         COALESCE(CASE WHEN cl.tot > 0 AND n.n > 1
+                       THEN (CAST(cl.r AS DOUBLE) / cl.tot) * (CAST(cl.r AS DOUBLE) / (n.n - 1)) END, 0.0)
+           AS closeness_centrality,
+         inc.total_fraud, inc.total_transactions, inc.node_fraud_rate
+  FROM nodes CROSS JOIN n
+  LEFT JOIN bt ON bt.node = nodes.node
+  LEFT JOIN cl ON cl.node = nodes.node
+  LEFT JOIN inc ON inc.node = nodes.node
+)"""
+
+GRAPH_CENTRALITY = _CENTRALITY_CTES + """
+SELECT node, ROUND(betweenness_centrality, 9) AS betweenness_centrality,
+       ROUND(closeness_centrality, 9) AS closeness_centrality, total_fraud, total_transactions,
+       ROUND(node_fraud_rate, 9) AS node_fraud_rate
+FROM cent"""
+
+# registered with the lowered floors of the catalog (betweenness > -1,
+# closeness > 0.01, incident fraud rate > 0.005)
+_SUSPICIOUS_CTE = """,
+sus AS (SELECT node, node_fraud_rate AS fraud_rate, betweenness_centrality, closeness_centrality,
+               total_transactions
+        FROM cent WHERE betweenness_centrality > -1.0 AND closeness_centrality > 0.01
+                    AND total_transactions > 0 AND node_fraud_rate > 0.005)"""
+
+SUSPICIOUS_NODES = _CENTRALITY_CTES + _SUSPICIOUS_CTE + """
+SELECT node, ROUND(fraud_rate, 9) AS fraud_rate, ROUND(betweenness_centrality, 9) AS betweenness_centrality,
+       ROUND(closeness_centrality, 9) AS closeness_centrality, total_transactions
+FROM sus ORDER BY fraud_rate DESC, node"""
+
+GRAPH_RISK_SCORES = _CENTRALITY_CTES + _SUSPICIOUS_CTE + """
+SELECT t.transaction_id, t.sender_bank, t.receiver_bank,
+       ROUND(LEAST(1.0, (0.1 + (COALESCE(s1.fraud_rate, 0.0)
+                                 + CASE WHEN t.sender_bank = t.receiver_bank THEN 0.0
+                                        ELSE COALESCE(s2.fraud_rate, 0.0) END))
+                        + COALESCE(CAST(e0.fraud_count AS DOUBLE) / e0.weight, 0.0)), 9) AS graph_risk_score
+FROM transactions t
+LEFT JOIN sus s1 ON s1.node = 'bank_' || t.sender_bank
+LEFT JOIN sus s2 ON s2.node = 'bank_' || t.receiver_bank
+LEFT JOIN e0 ON e0.src = 'bank_' || t.sender_bank AND e0.dst = 'bank_' || t.receiver_bank"""
