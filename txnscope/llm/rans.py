@@ -22,10 +22,13 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,54 +41,122 @@ LOW = np.uint64(1 << 31)
 LANES = 1024
 BLOCK_TOKENS = 256 * LANES
 TOKENS_PER_SHARD = 8_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+ROWS_AT_ONCE = 2500
 MAGIC, CIGAM = b"RANS1", b"1SNAR"
 
 
 # --- tokenising ---------------------------------------------------------------------------
 
-def word_encoder(path: str, max_words: int = CACHED_WORDS):
-    """Encode whole texts with a tokenizer file that drops white space, one
-    white-space separated word at a time: no piece of such a tokenizer crosses white
-    space, so each distinct word is encoded once and then looked up."""
-    import os
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
-
-    def encode(texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > max_words:
-            known.clear()
-            new = {w for words in split for w in words}
-        new = list(new)
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            done = tokenizer.encode_batch_fast([w.decode() for w in part],
-                                               add_special_tokens=False)
-            for w, e in zip(part, done):
-                known[w] = np.array(e.ids, "<u2").tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u2")
-                for words in split]
-    return encode
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable
+    Latin-1 for itself, the others for 256, 257, ... in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+class WordEncoder:
+    """Encodes whole texts with a tokenizer file that drops white space and lower-cases.
+
+    No piece of such a tokenizer crosses white space, so each distinct word is encoded
+    once and then looked up. Of a new word, closing ASCII punctuation is split off (the
+    tokenizer never joins letters and punctuation) and ASCII capitals are lowered first,
+    so that fewer words are new; words of lower-case Latin letters alone are one piece
+    and go straight to the tokenizer's model. Recently used words stay known: when half
+    of ``max_words`` were added, the other half is forgotten."""
+
+    TAIL = ".,!?;:%$#&*|"
+
+    def __init__(self, path: str, max_words: int = CACHED_WORDS):
+        import os
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        self.tokenizer, self.half = Tokenizer.from_file(path), max_words // 2
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def _encode_whole(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self.known[w] = array("H", e.ids).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        known, split, odd = self.known, [], set()
+        tokenize, letter = self.model.tokenize, self.letters.__getitem__
+        for w in words:
+            stem = w.rstrip(self.TAIL)
+            ascii_only = stem.isascii()
+            low = stem.lower() if ascii_only else stem
+            if not (low.isalpha() and low.islower() and (ascii_only or max(low) < "\u0180")):
+                odd.add(w)
+                continue
+            if low not in known:
+                piece = low if ascii_only else "".join(map(letter, low.encode()))
+                known[low] = array("H", [t.id for t in tokenize(piece)]).tobytes()
+            if low != w:
+                split.append((w, low, w[len(stem):]))
+        odd |= {tail for _, _, tail in split if tail and tail not in known}
+        odd = list(odd)
+        for lo in range(0, len(odd), 2000):
+            self._encode_whole(odd[lo:lo + 2000])
+        for w, stem, tail in split:
+            known[w] = known[stem] + known[tail] if tail else known[stem]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]]. The split into words
+        and the numbering of distinct words are Arrow kernels, the assembly is numpy;
+        Python sees each distinct word of the batch once."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        known, old = self.known, self.old
+        new = []
+        for w in words:
+            if w not in known:
+                if w in old:
+                    known[w] = old[w]
+                else:
+                    new.append(w)
+        self._learn(new)
+        parts = list(map(known.__getitem__, words))
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+        flat, first = np.frombuffer(b"".join(parts), "<u2"), np.cumsum(size) - size
+        index = coded.indices.to_numpy()
+        n = size[index]
+        stop = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(first[index] - stop[:-1], n) + np.arange(stop[-1])]
+        if len(known) > self.half:
+            self.old, self.known = known, {"": b""}
+        return ids, stop[split.offsets.to_numpy() - split.offsets[0].as_py()]
+
+
+def task_state(name: str, make):
+    """State that the tasks of one Python worker share (a worker serves many tasks)."""
+    import sys
+    import types
+    kept = sys.modules.setdefault("_task_state", types.ModuleType("_task_state")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, ids): every whole text, the end id appended, ids packed."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = word_encoder(tokenizer_path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = task_state(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
         end = np.array([end_id], "<u2")
         for b in batches:
-            texts = b["text"].tolist()
-            for lo in range(0, len(texts), 500):
-                ids = [np.concatenate([x, end]) for x in encode(texts[lo:lo + 500])]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[lo:lo + 500].astype("Int64"),
-                                    "n_tokens": [len(x) for x in ids],
-                                    "ids": [pack_u16(x) for x in ids]})
+            for lo in range(0, b.num_rows, ROWS_AT_ONCE):
+                part = b.slice(lo, ROWS_AT_ONCE)
+                ids, bounds = encoder.encode(pa.concat_arrays([part.column("text")]))
+                each = [np.concatenate([ids[x:y], end]) for x, y in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([len(x) for x in each], pa.int64()),
+                     pa.array([pack_u16(x) for x in each], pa.binary())],
+                    ["doc_id", "n_tokens", "ids"])
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInPandas(run, "doc_id long, n_tokens long, ids binary"))
+            .mapInArrow(run, "doc_id long, n_tokens long, ids binary"))
 
 
 # --- frequency table ----------------------------------------------------------------------
