@@ -80,7 +80,7 @@ def task_file(folder: str, suffix: str) -> str:
 def create_file(uri: str):
     filesystem, path = open_fs(uri)
     filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return filesystem.open_output_stream(path)
+    return filesystem.open_output_stream(path, compression=None)
 
 
 def open_file(uri: str):

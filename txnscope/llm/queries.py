@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import rans
+from . import mixing, order_minhash, quality, rans, separators, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op3_rans_token_shards": rans.op3_rans_token_shards,
-    }
+    return {f.__name__: f for f in (
+        separators.op1_separator_scan,
+        rans.op3_rans_token_shards,
+        mixing.op4_pivotal_mix,
+        toxicity.op5_toxicity_grammar,
+        warc.op8_warc_transactions,
+        quality.op9_pu_quality,
+        order_minhash.op10_order_minhash,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
