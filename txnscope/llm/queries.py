@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, order_minhash, quality, rans, separators, toxicity, warc
+from . import (decontaminate, mixing, order_minhash, quality, rans, separators, toxicity, warc,
+               weighted_sampling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         separators.op1_separator_scan,
+        weighted_sampling.op2_weighted_sampling,
         rans.op3_rans_token_shards,
         mixing.op4_pivotal_mix,
         toxicity.op5_toxicity_grammar,
+        decontaminate.op6_simhash_decontamination,
         warc.op8_warc_transactions,
         quality.op9_pu_quality,
         order_minhash.op10_order_minhash,
