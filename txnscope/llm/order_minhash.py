@@ -10,11 +10,11 @@ allows, is at most (1 - 0.8) of the longer text. Classes are connected component
 Exact copies are one text throughout, so a group of copies costs one text. A bucket of
 colliding texts never emits all its pairs:
 
-1. every text meets the smallest text over all its buckets, then the smallest of each
-   of its buckets; links join texts into components;
-2. only texts of a bucket in different components still have open pairs. They meet
-   under two lossless conditions: lengths, and a histogram of word hashes whose
-   distance is at most the edit distance.
+1. every text meets the smallest text of each of its buckets, and in a few turns a
+   drawn text of the buckets that are not one component yet; links join components;
+2. the pairs of a bucket that are still in different components all meet, under two
+   lossless conditions: lengths, and a histogram of word hashes whose distance is at
+   most the edit distance.
 
 So no link between different classes is lost that the sketches propose, whatever the
 size of a bucket; pairs within a component need no test.
@@ -43,6 +43,9 @@ SKETCHES = 16
 PICKED = 3
 SIMILARITY = 0.8
 BINS = 64
+#: Turns in which contested buckets meet a drawn text before all open pairs are tested;
+#: they change the work, not the classes.
+CENTER_TURNS = 3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = (np.random.default_rng(10).integers(1, 1 << 62, SKETCHES, np.uint64)
                 * np.uint64(2) + np.uint64(1))
@@ -215,9 +218,9 @@ def components(links: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, text_id, class_id) of every row of ``docs``: text_id names
     equal texts, class_id near-duplicates, both by the smallest document id."""
-    rows = written(sketched(docs), "near-sketches")
+    rows_of_texts = written(sketched(docs), "near-sketches")
     bare = -F.shiftrightunsigned(F.xxhash64("text_key"), 2) - 2
-    texts = written(rows.groupBy("text_key").agg(
+    texts = written(rows_of_texts.groupBy("text_key").agg(
         F.min("doc_id").alias("rep"), F.first("n_words").alias("n"),
         F.first("sketches").alias("sketches"), F.first("bins").alias("bins"))
         .withColumn("id", F.coalesce("rep", bare)), "near-texts")
@@ -225,17 +228,22 @@ def near_classes(docs: DataFrame) -> DataFrame:
     centers = (buckets.groupBy("sketch").agg(F.min("id").alias("center"), F.count("*").alias("size"))
                .where("size > 1").drop("size"))
     stars = written(buckets.join(centers, "sketch"), "near-stars")
-    met = stars.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b"))
     words = written(candidate_words(docs, texts.join(stars.select("id").distinct(), "id")),
                     "near-words")
-    links = written(linked(met.groupBy("a").agg(F.min("b").alias("b")), words), "near-links")
-    # the smallest texts of the other buckets, unless they are joined already
-    rest = across(met.distinct(), components(links))
-    links = written(links.unionByName(linked(rest, words)), "near-links")
-    links = links.unionByName(linked(open_pairs(stars, texts, components(links)), words))
+    met = stars.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b"))
+    links = written(linked(met.distinct(), words), "near-links")
+    known = components(links)
+    for turn in range(CENTER_TURNS):      # other centres join most of what is left
+        rows = contested(stars, texts, known)
+        found = written(linked(center_pairs(rows, turn), words), "near-links")
+        if not found.limit(1).count():
+            break
+        links = links.unionByName(found)
+        known = components(links)
+    links = links.unionByName(linked(open_pairs(contested(stars, texts, known)), words))
     named = texts.select("text_key", "id").join(components(links), "id", "left").select(
         "text_key", F.col("id").alias("text_id"), F.coalesce("component", "id").alias("class_id"))
-    return rows.select("doc_id", "text_key").join(named, "text_key")
+    return rows_of_texts.select("doc_id", "text_key").join(named, "text_key")
 
 
 def candidate_words(docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -253,42 +261,54 @@ def candidate_words(docs: DataFrame, texts: DataFrame) -> DataFrame:
             .select("id", "text").mapInPandas(run, "id long, words binary"))
 
 
-def component_of(frame: DataFrame, column: str, known: DataFrame, name: str) -> DataFrame:
-    return (frame.join(known.select(F.col("id").alias(column), F.col("component").alias("_c")),
-                       column, "left")
-            .withColumn(name, F.coalesce("_c", column)).drop("_c"))
-
+def contested(stars: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(sketch, id, c, main, n, bins): the texts of buckets that hold more than one
+    component. c is the text's component, main the bucket's most frequent one."""
+    rows = (stars.select("sketch", "id").join(known, "id", "left")
+            .select("sketch", "id", F.coalesce("component", "id").alias("c")))
+    counts = rows.groupBy("sketch", "c").agg(F.count("*").alias("k"))
+    mixed = (counts.groupBy("sketch").agg(F.max(F.struct("k", "c")).alias("m"),
+                                          F.count("*").alias("kinds"))
+             .where("kinds > 1").select("sketch", F.col("m.c").alias("main")))
+    return written(rows.join(mixed, "sketch").join(texts.select("id", "n", "bins"), "id"),
+                   "near-contested")
 
-def across(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    both = component_of(component_of(pairs, "a", known, "ca"), "b", known, "cb")
-    return both.where("ca <> cb").select("a", "b")
 
+def _side(rows: DataFrame, s: str) -> DataFrame:
+    return rows.select("sketch", *[F.col(x).alias(f"{x}_{s}") for x in ("id", "c", "n", "bins")])
 
-def open_pairs(stars: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of a bucket whose texts are still in different components. The members of
-    a bucket's component that its smallest text belongs to meet the others, and the
-    others meet each other; the tests of length and histogram lose no link."""
-    member = component_of(component_of(stars.select("sketch", "id", "center"), "id", known, "c"),
-                          "center", known, "main")
-    contested = member.where("c <> main").select("sketch").distinct()
-    rows = written(member.join(contested, "sketch", "left_semi")
-                   .join(texts.select("id", "n", "bins"), "id"), "near-contested")
-    others = rows.where("c <> main")
 
-    def side(frame, s):
-        return frame.select("sketch", *[F.col(x).alias(f"{x}_{s}") for x in ("id", "c", "n", "bins")])
+def _possible() -> F.Column:
+    """Lossless: the lengths, and the larger surplus of either word histogram, which is
+    at most the edit distance, stay within the bound."""
     limit = F.floor(F.greatest("n_a", "n_b") * F.lit(1.0 - SIMILARITY) + F.lit(1e-9))
     surplus = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.greatest(x - y, F.lit(0))),
                           F.lit(0), lambda acc, x: acc + x)
-    # the larger surplus of either side is at most the edit distance
-    possible = ((F.abs(F.col("n_a") - F.col("n_b")) <= limit)
-                & (surplus <= limit) & (surplus - F.col("n_a") + F.col("n_b") <= limit))
-    first = side(rows.where("c = main"), "a").join(side(others, "b"), "sketch").where(possible)
-    second = (side(others, "a").join(side(others, "b"), "sketch")
-              .where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & possible))
-    return (first.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-            .unionByName(second.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
-            .distinct())
+    return ((F.col("c_a") != F.col("c_b")) & (F.abs(F.col("n_a") - F.col("n_b")) <= limit)
+            & (surplus <= limit) & (surplus - F.col("n_a") + F.col("n_b") <= limit))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.greatest("id_a", "id_b").alias("a"),
+                         F.least("id_a", "id_b").alias("b")).distinct()
+
+
+def center_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """The texts of each contested bucket against one text, drawn anew each turn."""
+    centers = rows.groupBy("sketch").agg(
+        F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("id"))
+    centers = rows.join(centers, ["sketch", "id"], "left_semi")
+    return _pairs(_side(rows, "a").join(_side(centers, "b"), "sketch").where(_possible()))
+
+
+def open_pairs(rows: DataFrame) -> DataFrame:
+    """Every pair of a bucket whose texts are in different components: the bucket's main
+    component meets the others, and the others meet each other."""
+    others = rows.where("c <> main")
+    first = _side(rows.where("c = main"), "a").join(_side(others, "b"), "sketch").where(_possible())
+    second = (_side(others, "a").join(_side(others, "b"), "sketch")
+              .where((F.col("id_a") < F.col("id_b")) & _possible()))
+    return _pairs(first.select("id_a", "id_b").unionByName(second.select("id_a", "id_b")))
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
