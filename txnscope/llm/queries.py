@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, mixing, order_minhash, quality, rans, separators, toxicity, warc,
-               weighted_sampling)
+from . import (decontaminate, maxent, mixing, order_minhash, quality, rans, separators,
+               toxicity, warc, weighted_sampling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         mixing.op4_pivotal_mix,
         toxicity.op5_toxicity_grammar,
         decontaminate.op6_simhash_decontamination,
+        maxent.op7_hashed_maxent,
         warc.op8_warc_transactions,
         quality.op9_pu_quality,
         order_minhash.op10_order_minhash,
