@@ -42,7 +42,11 @@ K = 5
 SKETCHES = 16
 PICKED = 3
 SIMILARITY = 0.8
-BINS = 64
+BINS = 256
+#: Edits up to which the diagonals are followed one by one.
+NARROW = 16
+#: Rows of a contested bucket that one task compares with as many others.
+BLOCK_ROWS = 1000
 #: Turns in which contested buckets meet a drawn text before all open pairs are tested;
 #: they change the work, not the classes.
 CENTER_TURNS = 3
@@ -111,8 +115,9 @@ def order_sketches(grams: np.ndarray) -> np.ndarray:
     return (value ^ np.arange(SKETCHES, dtype=np.uint64) * _MIX).view(np.int64)
 
 
-def histogram(h: np.ndarray, bins: int = BINS) -> list[int]:
-    return np.bincount((h >> np.uint64(40)).astype(np.int64) % bins, minlength=bins).tolist()
+def histogram(h: np.ndarray, bins: int = BINS) -> np.ndarray:
+    return np.bincount((h >> np.uint64(40)).astype(np.int64) % bins,
+                       minlength=bins).astype(np.int32)
 
 
 def text_key(text) -> F.Column:
@@ -120,19 +125,16 @@ def text_key(text) -> F.Column:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_words, sketches, bins) of every row."""
+    """(doc_id, text_key, sketches) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
         for b in batches:
-            hashes = [word_hashes(t, known) for t in b["text"]]
             yield pd.DataFrame({
                 "doc_id": b["doc_id"].astype("Int64"), "text_key": b["text_key"],
-                "n_words": [len(h) for h in hashes],
-                "sketches": [order_sketches(kmers(h)).tolist() for h in hashes],
-                "bins": [histogram(h) for h in hashes]})
+                "sketches": [order_sketches(kmers(word_hashes(t, known))) for t in b["text"]]})
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                        text_key(F.col("text")).alias("text_key")).mapInPandas(
-        run, "doc_id long, text_key string, n_words int, sketches array<long>, bins array<int>")
+        run, "doc_id long, text_key string, sketches array<long>")
 
 
 # --- alignment ----------------------------------------------------------------------------
@@ -142,8 +144,9 @@ def edit_limit(n: int, m: int, similarity: float = SIMILARITY) -> int:
 
 
 def within_distance(a: list[int], b: list[int], limit: int) -> bool:
-    """Whether the edit distance of two sequences is at most ``limit``: furthest
-    reaching points on the diagonals of a band that widens by one per edit."""
+    """Whether the edit distance of two sequences is at most ``limit``, by banded
+    alignment. The first edits follow the furthest reaching points of the diagonals of a
+    band that widens by one per edit; texts that need more go on in columns."""
     n, m = len(a), len(b)
     if abs(n - m) > limit:
         return False
@@ -151,7 +154,7 @@ def within_distance(a: list[int], b: list[int], limit: int) -> bool:
     if max(sum((ca - cb).values()), sum((cb - ca).values())) > limit:   # a lower bound
         return False
     goal, reach = m - n, {}
-    for e in range(limit + 1):
+    for e in range(min(limit, NARROW) + 1):
         new = {}
         # diagonals from which the goal can still be reached with the edits left
         lo, hi = max(-e, goal - (limit - e)), min(e, goal + (limit - e))
@@ -169,7 +172,32 @@ def within_distance(a: list[int], b: list[int], limit: int) -> bool:
                 return True
             new[d] = i
         reach = new
-    return False
+    return limit > NARROW and _within_columns(a, b, limit)
+
+
+def _within_columns(a: list[int], b: list[int], limit: int) -> bool:
+    """The same test column by column, the rises and falls of a column held as the bits
+    of two integers; it ends where the band's edge can no longer be met."""
+    n, m = len(a), len(b)
+    places: dict[int, int] = {}
+    for i, w in enumerate(a):
+        places[w] = places.get(w, 0) | (1 << i)
+    whole, last = (1 << n) - 1, 1 << (n - 1) if n else 0
+    rise, fall, score = whole, 0, n
+    for j, w in enumerate(b, 1):
+        same = places.get(w, 0)
+        diagonal = (((same & rise) + rise) ^ rise) | same | fall
+        up, down = fall | (whole & ~(diagonal | rise)), diagonal & rise
+        if up & last:
+            score += 1
+        elif down & last:
+            score -= 1
+        up = (up << 1 | 1) & whole
+        rise = (down << 1 & whole) | (whole & ~(diagonal | up))
+        fall = up & diagonal
+        if score - (m - j) > limit:
+            return False
+    return score <= limit
 
 
 def linked(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -221,8 +249,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     rows_of_texts = written(sketched(docs), "near-sketches")
     bare = -F.shiftrightunsigned(F.xxhash64("text_key"), 2) - 2
     texts = written(rows_of_texts.groupBy("text_key").agg(
-        F.min("doc_id").alias("rep"), F.first("n_words").alias("n"),
-        F.first("sketches").alias("sketches"), F.first("bins").alias("bins"))
+        F.min("doc_id").alias("rep"), F.first("sketches").alias("sketches"))
         .withColumn("id", F.coalesce("rep", bare)), "near-texts")
     buckets = texts.select("id", F.explode(F.array_distinct("sketches")).alias("sketch"))
     centers = (buckets.groupBy("sketch").agg(F.min("id").alias("center"), F.count("*").alias("size"))
@@ -234,43 +261,45 @@ def near_classes(docs: DataFrame) -> DataFrame:
     links = written(linked(met.distinct(), words), "near-links")
     known = components(links)
     for turn in range(CENTER_TURNS):      # other centres join most of what is left
-        rows = contested(stars, texts, known)
+        rows = contested(stars, words, known)
         found = written(linked(center_pairs(rows, turn), words), "near-links")
         if not found.limit(1).count():
             break
         links = links.unionByName(found)
         known = components(links)
-    links = links.unionByName(linked(open_pairs(contested(stars, texts, known)), words))
+    links = links.unionByName(linked(open_pairs(contested(stars, words, known)), words))
     named = texts.select("text_key", "id").join(components(links), "id", "left").select(
         "text_key", F.col("id").alias("text_id"), F.coalesce("component", "id").alias("class_id"))
     return rows_of_texts.select("doc_id", "text_key").join(named, "text_key")
 
 
 def candidate_words(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, words): the word hashes of the given texts, each read from the row that
-    names it, so copies of one text do not meet."""
+    """(id, n, bins, words): length, histogram and word hashes of the given texts, each
+    read from the row that names it, so copies of one text do not meet."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "words": [
-                word_hashes(t, known).astype("<u4").tobytes() for t in b["text"]]})
+            hashes = [word_hashes(t, known) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "n": [len(h) for h in hashes],
+                                "bins": [histogram(h) for h in hashes],
+                                "words": [h.astype("<u4").tobytes() for h in hashes]})
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                         text_key(F.col("text")).alias("key"))
     return (keyed.join(texts.select("id", "rep", "text_key"),
                        (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-            .select("id", "text").mapInPandas(run, "id long, words binary"))
+            .select("id", "text")
+            .mapInPandas(run, "id long, n int, bins array<int>, words binary"))
 
 
-def contested(stars: DataFrame, texts: DataFrame, known: DataFrame) -> DataFrame:
-    """(sketch, id, c, main, n, bins): the texts of buckets that hold more than one
-    component. c is the text's component, main the bucket's most frequent one."""
+def contested(stars: DataFrame, words: DataFrame, known: DataFrame) -> DataFrame:
+    """(sketch, id, c, size, n, bins): the texts of buckets that hold more than one
+    component. c is the text's component, size the bucket's number of texts."""
     rows = (stars.select("sketch", "id").join(known, "id", "left")
             .select("sketch", "id", F.coalesce("component", "id").alias("c")))
-    counts = rows.groupBy("sketch", "c").agg(F.count("*").alias("k"))
-    mixed = (counts.groupBy("sketch").agg(F.max(F.struct("k", "c")).alias("m"),
-                                          F.count("*").alias("kinds"))
-             .where("kinds > 1").select("sketch", F.col("m.c").alias("main")))
-    return written(rows.join(mixed, "sketch").join(texts.select("id", "n", "bins"), "id"),
+    mixed = (rows.groupBy("sketch").agg(F.min("c").alias("least"), F.max("c").alias("most"),
+                                        F.count("*").alias("size"))
+             .where("least < most").select("sketch", "size"))
+    return written(rows.join(mixed, "sketch").join(words.select("id", "n", "bins"), "id"),
                    "near-contested")
 
 
@@ -302,13 +331,31 @@ def center_pairs(rows: DataFrame, turn: int) -> DataFrame:
 
 
 def open_pairs(rows: DataFrame) -> DataFrame:
-    """Every pair of a bucket whose texts are in different components: the bucket's main
-    component meets the others, and the others meet each other."""
-    others = rows.where("c <> main")
-    first = _side(rows.where("c = main"), "a").join(_side(others, "b"), "sketch").where(_possible())
-    second = (_side(others, "a").join(_side(others, "b"), "sketch")
-              .where((F.col("id_a") < F.col("id_b")) & _possible()))
-    return _pairs(first.select("id_a", "id_b").unionByName(second.select("id_a", "id_b")))
+    """Every pair of a bucket whose texts are in different components and may be within
+    the bound. Buckets are cut into blocks, so a task holds two blocks at most."""
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        left, right = g[g["block"] == key[1]], g[g["block"] == key[2]]
+        ids, c, n = (right[x].to_numpy() for x in ("id", "c", "n"))
+        bins = np.stack(right["bins"].to_numpy()) if len(right) else np.zeros((0, BINS), np.int32)
+        found = []
+        for i, (a, ca, na, ba) in enumerate(zip(left["id"], left["c"], left["n"], left["bins"])):
+            limit = np.floor((1.0 - SIMILARITY) * np.maximum(n, na) + 1e-9)
+            at = np.flatnonzero((c != ca) & (np.abs(n - na) <= limit)
+                                & ((ids > a) | (key[1] != key[2])))
+            if len(at):
+                more = np.maximum(ba - bins[at], 0).sum(axis=1)
+                at = at[np.maximum(more, more - na + n[at]) <= limit[at]]
+                found.append(np.stack([np.maximum(ids[at], a), np.minimum(ids[at], a)], axis=1))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pd.DataFrame(pairs, columns=["a", "b"])
+    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = (rows.withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+             .select("sketch", "id", "c", "n", "bins", "block", other)
+             .withColumn("low", F.least("block", "other"))
+             .withColumn("high", F.greatest("block", "other")))
+    return dealt.groupBy("sketch", "low", "high").applyInPandas(run, "a long, b long").distinct()
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
