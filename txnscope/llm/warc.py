@@ -225,7 +225,9 @@ def assemble(records: DataFrame) -> DataFrame:
 
 def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(read_table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
-    captures = written(assemble(read_records(manifest, with_blocks=False)).select(
+    # written first: the join is then planned by the records' size, not the manifest's
+    records = written(read_records(manifest, with_blocks=False), "warc-records")
+    captures = written(assemble(records).select(
         F.col("metadata.fields")["page-id"].cast("bigint").alias("page_id"),
         F.coalesce(F.col("main.payload_bytes"),
                    F.col("metadata.fields")["payload-bytes"].cast("bigint")).alias("payload_bytes"),
