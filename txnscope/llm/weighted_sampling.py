@@ -21,6 +21,8 @@ a lone document follows itself; an empty table gives no row; other columns are i
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from .common import read_table, shuffle_partitions
 
 SAMPLES = 32
 PER_ROW = 8          # samples taken in one row of the sampling pass
-RANGES_PER_PARTITION = 2
+RANGES_PER_PARTITION = 8
 
 
 def ranges(docs: DataFrame, n: int) -> tuple[Column, list, list]:
@@ -37,8 +39,14 @@ def ranges(docs: DataFrame, n: int) -> tuple[Column, list, list]:
     cuts = docs.agg(F.percentile_approx(
         "doc_id", [i / n for i in range(1, n)] or [0.5], 10_000).alias("q")).first()["q"] or []
     cuts = sorted(set(cuts))
-    of = F.when(F.col("doc_id").isNull(), 0).otherwise(
-        F.size(F.filter(F.lit(cuts), lambda x: x <= F.col("doc_id"))) if cuts else F.lit(0))
+    # how many cuts are at most the id: first among every m-th cut, then among the next m
+    m = max(1, math.isqrt(len(cuts)))
+    upto = lambda a: F.size(F.filter(a, lambda x: x <= F.col("doc_id")))
+    coarse = upto(F.lit(cuts[::m])) if cuts else F.lit(0)
+    fine = (F.lit(0) if not cuts else
+            upto(F.slice(F.lit(cuts), F.greatest(coarse - 1, F.lit(0)) * m + 1, F.lit(m))))
+    of = (F.when(F.col("doc_id").isNull() | (coarse == 0), 0)
+          .otherwise((coarse - 1) * m + fine))
     first = {r.range: r.first for r in docs.groupBy(of.alias("range"))
              .agg(F.max("doc_id").alias("first")).collect()}
     heads = [first.get(i) for i in range(len(cuts) + 1)]
@@ -81,7 +89,7 @@ def weights(rows: DataFrame, first: str, second: str) -> DataFrame:
     texts = rows.select("range", "row", F.explode(both).alias("x")).select("range", "row", "x.*")
     words = texts.where("t IS NOT NULL").select(
         "range", "row", "which",
-        F.explode_outer(F.split(F.trim(F.lower("t")), r"\s+")).alias("w"))
+        F.explode_outer(F.split(F.btrim(F.lower("t"), F.lit(" \t\n\x0b\f\r")), r"\s+")).alias("w"))
     return (words.select("range", "row", F.xxhash64("w").alias("word"),
                          (F.lit(1) - F.col("which")).alias("c0"), F.col("which").alias("c1"))
             .groupBy("range", "row", "word")
