@@ -47,7 +47,6 @@ def source_targets(sizes: DataFrame, cycle=CYCLE, most=MOST_COPIES) -> DataFrame
     target stops at ``most`` times the source's size and the excess is shared again by
     weight. Each round is one aggregate over the source table; it ends when no target
     is above its limit."""
-    spark = sizes.sparkSession
     per = (sizes.groupBy("_mix_source").agg(F.count("*").alias("rows"),
                                             F.sum("_mix_size").alias("source_size")))
     weights = F.array(*[F.lit(float(w)) for w in cycle])
@@ -121,8 +120,8 @@ def _round_group(group: pa.Table) -> pa.Table:
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", size: str | None = None,
         seed: int = 0) -> DataFrame:
-    """``df`` plus size, source_size, target and copies (whole number of times the
-    row is taken). ``size`` names a column of word counts; else ``text`` is counted."""
+    """``df`` plus _mix_size, _mix_total (its source's size), _mix_target and
+    _mix_copies (whole number of times the row is taken). ``size`` names a column of word counts; else ``text`` is counted."""
     if not df.columns:
         raise ValueError("mix needs columns")
     original = df.columns
@@ -135,15 +134,15 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", size: str | N
     targets = written(source_targets(rows.select("_mix_source", "_mix_size")), "mix-targets")
     stats = targets.agg(F.count("*").alias("n"), F.max("rows").alias("rows")).collect()[0]
     buckets = F.greatest(F.lit(1), F.ceil(F.col("rows") / BUCKET_ROWS))
-    side = targets.select(F.col("_mix_source").alias("_mix_s"), "source_size", "target",
-                          buckets.alias("_mix_buckets"))
+    side = targets.select(F.col("_mix_source").alias("_mix_s"),
+                          F.col("source_size").alias("_mix_total"),
+                          F.col("target").alias("_mix_target"), buckets.alias("_mix_buckets"))
     side = F.broadcast(side) if stats.n <= BROADCAST_SOURCES else side
     names = [f"_mix_c{i}" for i in range(len(original))]   # apart even where names clash
     ready = (rows.join(side, F.col("_mix_source").eqNullSafe(F.col("_mix_s")))
              .select(*[F.col(f"`{c}`").alias(n) for c, n in zip(original, names)],
-                     "_mix_source", "_mix_size", "_mix_key",
-                     F.col("source_size").alias("_mix_total"), F.col("target").alias("_mix_target"),
-                     F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
+                     "_mix_source", "_mix_size", "_mix_key", "_mix_total", "_mix_target",
+                     F.when(F.col("_mix_total") > 0, F.col("_mix_target") / F.col("_mix_total"))
                      .otherwise(0.0).alias("_mix_expected"),
                      F.pmod(F.xxhash64("_mix_key", F.lit(seed)), F.col("_mix_buckets"))
                      .alias("_mix_bucket"))
@@ -172,8 +171,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", size: str | N
     final = done.unionByName(last).unionByName(weightless)
     return final.select(
         *[F.col(n).alias(c) for c, n in zip(original, names)],
-        F.col("_mix_size").alias("_mix_size"), F.col("_mix_total").alias("_mix_total"),
-        F.col("_mix_target").alias("_mix_target"),
+        "_mix_size", "_mix_total", "_mix_target",
         (F.col("_mix_whole") + F.col("_mix_p").cast("bigint")).alias("_mix_copies"))
 
 

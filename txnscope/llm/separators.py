@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import create_file, open_file, read_table, shared_folder, task_file, written
+from .common import create_file, open_file, open_fs, read_table, shared_folder, task_file, written
 
 BLOCK_TOKENS = 1 << 20
 #: Blocks whose prefix sums are taken in one task; the next level has one row for each.
@@ -60,6 +60,8 @@ def write_token_files(docs: DataFrame, folder: str, ranks_path: str, end_id: int
             ordinal += len(b)
         if out:
             out.close()
+    filesystem, path = open_fs(folder)
+    filesystem.create_dir(path, recursive=True)       # an empty table writes no file
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
             .mapInPandas(run, "file string, ordinal long, doc_id long"))
     return written(rows, "token-file-documents")
