@@ -31,6 +31,19 @@ def test_lineitem_adapter_counts(spark):
     assert (s["n"], s["ids"], s["fraud"], s["failed"]) == (35107, 29892, 134, 1001)
 
 
+def test_lineitem_adapter_keeps_every_row(spark):
+    t = lineitem_transactions(spark, SF_MID)
+    assert t.count() == spark.read.parquet(f"{SF_MID}/lineitem.parquet").count()
+
+
+def test_events_beyond_the_usual_keys_are_kept(spark):
+    """A part key of 100 or more is a key like any other."""
+    events = spark.read.parquet(f"{SF_MID}/events.parquet").limit(3).withColumn(
+        "props", F.lit('{"k": 150}'))
+    t = events_transactions(spark, SF_MID, events=events)
+    assert t.count() == 3
+
+
 def test_schema_types(spark):
     t = events_transactions(spark, SF_MID)
     types = dict(t.dtypes)

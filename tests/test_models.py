@@ -16,7 +16,7 @@ from txnscope.sources.adapters import events_transactions
 @pytest.mark.parametrize("band_rows", [1_000_000, 40])
 def test_split_is_exact_per_class(spark, duck, band_rows):
     t = events_transactions(spark, SF_SMALL)
-    s = supervised.stratified_split(t, band_rows=band_rows)  # 40: sketch bracket path
+    s = supervised.stratified_split(t, band_rows=band_rows)  # 40: a narrow bracket
     counts = {(r[0], r[1]): r[2] for r in s.groupBy("fraud_flag", "split").count().collect()}
     n = {k: counts.get((k, "train"), 0) + counts.get((k, "test"), 0) for k in (0, 1)}
     for k in (0, 1):
@@ -83,8 +83,7 @@ def _brute_dbscan(x, eps, min_samples):
     return core, label, border
 
 
-@pytest.mark.parametrize("edge_limit", [1_000_000, 10])
-def test_dbscan_matches_brute_force(spark, edge_limit):
+def test_dbscan_matches_brute_force(spark):
     rng = np.random.default_rng(11)
     blobs = [rng.normal(loc=c, scale=0.25, size=(60, 4)) for c in ((0, 0, 0, 0), (2, 2, 0, 1))]
     x = np.vstack(blobs + [rng.uniform(-3, 5, size=(40, 4))])
@@ -94,8 +93,7 @@ def test_dbscan_matches_brute_force(spark, edge_limit):
     ids = [f"p{i:04d}" for i in range(len(x))]
     df = spark.createDataFrame([(k, *map(float, r)) for k, r in zip(ids, x)],
                                "transaction_id STRING, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
-    m = dbscan.fit_dbscan(df, ["a", "b", "c", "d"], eps=0.5, min_samples=5, grid_dims=2,
-                          block_edge_limit=edge_limit)  # 10: large blocks take the iterative path
+    m = dbscan.fit_dbscan(df, ["a", "b", "c", "d"], eps=0.5, min_samples=5, grid_dims=2)
     got = {r["_id"]: r for r in m.labels.collect()}
     core, label, border = _brute_dbscan(x, 0.5, 5)
     mapping = {}

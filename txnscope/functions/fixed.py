@@ -46,3 +46,10 @@ ENSEMBLE_WEIGHTS = {"iso": 0.3, "rf": 0.5, "dbscan": 0.2}
 GRAPH_BLEND = 0.2
 RISK_BINS = (0.0, 0.2, 0.5, 0.8, 1.0)
 RISK_LABELS = ("Low", "Medium", "High", "Critical")
+
+# --- Fixed values: network view and pattern messages ------------------------------
+FRAUD_EDGE = {"color": "red", "width": 2.5, "alpha": 1.0}
+PLAIN_EDGE = {"color": "lightgray", "width": 0.5, "alpha": 0.3}
+RISKY_HOURS_MESSAGE = "High fraud risk during hours: ["
+HIGH_AMOUNT_MESSAGE = "High-value transactions (>₹%.0f) show elevated fraud risk"
+RISKY_STATES_MESSAGE = "States with elevated fraud risk: "

@@ -28,24 +28,12 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
                        for c, t in df.dtypes])
 
 
-EXACT_QUANTILE_LIMIT = 10_000_000
-APPROX_ACCURACY = 100_000
+#: Rows up to which a side whose growth is known (banks, bank pairs, flags, clusters)
+#: is sent to every task; a larger one is joined by shuffle.
+BROADCAST_ROWS = 200_000
 
 
-def exact_quantiles_ok(df: DataFrame, limit: int = EXACT_QUANTILE_LIMIT) -> bool:
-    """True when ``df`` has at most ``limit`` rows. ``limit`` stops the count
-    early, so the check reads at most ``limit + 1`` rows."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def quantile_col(x, qs, exact: bool):
-    """Quantile(s) of ``x`` with linear interpolation.
-
-    ``exact=True`` uses ``percentile``, which keeps a value->count map (memory
-    grows with the distinct values of a group); otherwise the GK sketch
-    ``percentile_approx`` (bounded memory, rank error n / 100,000).
-    """
-    if exact:
-        return F.percentile(x, qs)
-    approx = F.percentile_approx(x, qs, APPROX_ACCURACY)
-    return approx.cast("array<double>" if isinstance(qs, (list, tuple)) else "double")
+def bounded_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``most`` rows. ``df`` should be
+    small to count (checkpointed, or an aggregate over a checkpointed table)."""
+    return F.broadcast(df) if df.count() <= most else df

@@ -52,13 +52,12 @@ def _day() -> F.Column:
 
 
 # --- Q1 -------------------------------------------------------------------------
-def market_position(t: DataFrame, as_of) -> DataFrame:
+def market_position(t: DataFrame) -> DataFrame:
     """Monthly volume/value of the own platform plus two scaled competitors, with
     each platform's share of the month. The monthly aggregate runs once; the
     competitor rows are derived from it with exact decimal factors (ROUND half
     up, as the SQL does on DECIMAL)."""
-    monthly = (t.where(F.col(TS) < ts_literal(as_of))
-               .groupBy(_month().alias("month"))
+    monthly = (t.groupBy(_month().alias("month"))
                .agg(F.count(F.lit(1)).alias("n"), F.sum(_amt()).alias("v")))
     platforms = [(fixed.OWN_PLATFORM, Decimal("1"))] + [
         (p, Decimal(str(fixed.MARKET_POSITION_FACTORS[p]))) for p in fixed.COMPETITORS]

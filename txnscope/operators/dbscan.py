@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import itertools
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,58 +196,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: i
             return labels
 
 
-def _union_find(pdf):
-    """Components of one block's edge list: label = smallest node id.
-
-    Min-label propagation with pointer jumping on integer codes (codes follow
-    the sorted node ids, so the smallest code is the smallest id).
-    """
-    import numpy as np
-    import pandas as pd
-    m = len(pdf)
-    codes, uniq = pd.factorize(pd.concat([pdf["src"], pdf["dst"]], ignore_index=True), sort=True)
-    s, d = codes[:m], codes[m:]
-    label = np.arange(len(uniq))
-    while True:
-        new = label.copy()
-        np.minimum.at(new, s, label[d])
-        np.minimum.at(new, d, label[s])
-        new = new[new]
-        if np.array_equal(new, label):
-            break
-        label = new
-    return pd.DataFrame({"node": uniq, "label": uniq[label]})
-
-
-BLOCK_EDGE_LIMIT = 1_000_000
-
-
-def block_components(edges: DataFrame, nodes: DataFrame,
-                     edge_limit: int = BLOCK_EDGE_LIMIT) -> DataFrame:
-    """Connected components when every edge lies inside one block (``_blk``).
-
-    Blocks with at most ``edge_limit`` edges are solved in one pass, one
-    ``applyInPandas`` group each (group size bounded by the limit); larger
-    blocks (a hot block may hold a third of the data) go through the
-    distributed label propagation. Nodes without edges are their own
-    component. The result is exact either way.
-    """
-    sizes = edges.groupBy("_blk").agg(F.count(F.lit(1)).alias("_m"))
-    small = sizes.where(F.col("_m") <= edge_limit).select("_blk")
-    e_small = edges.join(small, "_blk", "left_semi")
-    e_big = edges.join(small, "_blk", "left_anti").select("src", "dst").checkpoint(eager=True)
-    parts = [e_small.select("_blk", "src", "dst").groupBy("_blk")
-             .applyInPandas(_union_find, "node string, label string")]
-    if e_big.limit(1).count():
-        big_nodes = e_big.select(F.col("src").alias("node")).distinct()
-        parts.append(connected_components(e_big, big_nodes))
-    linked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    linked = linked.checkpoint(eager=True)
-    alone = nodes.join(linked.select("node"), "node", "left_anti").select(
-        "node", F.col("node").alias("label"))
-    return linked.unionByName(alone)
-
-
 @dataclass
 class DbscanModel:
     spec: BlockingSpec
@@ -254,21 +204,24 @@ class DbscanModel:
 
     def assign(self, df: DataFrame, key: str = "transaction_id") -> DataFrame:
         """Cluster of the nearest training core point within eps (else -1)."""
-        pts = df.select(F.col(key).cast("string").alias("_id"),
-                        *[F.col(c).cast("double") for c in self.spec.features])
+        feats = [F.col(c).cast("double").alias(c) for c in self.spec.features]
+        # equal feature vectors are placed once
+        pts = df.groupBy(*feats).agg(F.min(F.col(key).cast("string")).alias("_id"))
         core = self.core_points.select("_id", *self.spec.features)
         pairs = neighbour_pairs(pts, self.spec, core)
         cl = self.core_points.select(F.col("_id").alias("b"), "cluster")
         best = (pairs.join(cl, "b").groupBy("a")
                 .agg(F.min_by("cluster", F.struct("d2", "b")).alias("cluster")))
-        return (df.join(best.withColumnRenamed("a", "_id"),
-                        F.col(key).cast("string") == F.col("_id"), "left")
-                .drop("_id").fillna({"cluster": -1}))
+        placed = pts.join(best.withColumnRenamed("a", "_id"), "_id").select(
+            "cluster", *[F.col(c).alias(f"_v_{c}") for c in self.spec.features])
+        same = [F.col(c).cast("double").eqNullSafe(F.col(f"_v_{c}")) for c in self.spec.features]
+        return (df.join(placed, reduce(and_, same), "left")
+                .drop(*[f"_v_{c}" for c in self.spec.features]).fillna({"cluster": -1}))
 
 
 def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
                eps: float = fixed.DBSCAN_EPS, min_samples: int = fixed.DBSCAN_MIN_SAMPLES,
-               grid_dims: int = 3, block_edge_limit: int = BLOCK_EDGE_LIMIT) -> DbscanModel:
+               grid_dims: int = 3) -> DbscanModel:
     """DBSCAN over the rows of ``df`` (see module docstring).
 
     Identical feature vectors are first collapsed into one weighted point
@@ -285,7 +238,7 @@ def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
     pts = (rows.groupBy(*feats).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w"))
            .checkpoint(eager=True))
     spec = plan_blocking(pts, feats, eps, grid_dims)
-    pairs = neighbour_pairs(pts, spec).select("a", "b", "_blk").checkpoint(eager=True)
+    pairs = neighbour_pairs(pts, spec).select("a", "b").checkpoint(eager=True)
     weights = pts.select(F.col("_id").alias("b"), "_w")
     counts = pairs.join(weights, "b").groupBy(F.col("a").alias("_id")).agg(
         F.sum("_w").alias("_nb"))
@@ -294,9 +247,9 @@ def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
     core_edges = (pairs.where(F.col("a") != F.col("b"))
                   .join(core.withColumnRenamed("node", "a"), "a")
                   .join(core.withColumnRenamed("node", "b"), "b")
-                  .select("_blk", F.col("a").alias("src"), F.col("b").alias("dst"))
+                  .select(F.col("a").alias("src"), F.col("b").alias("dst"))
                   .checkpoint(eager=True))
-    comp = block_components(core_edges, core, block_edge_limit)
+    comp = connected_components(core_edges, core)
     numbered = global_row_number(comp.select("label").distinct(), [F.col("label")], "_cno")
     core_cl = (comp.join(numbered, "label")
                .select(F.col("node").alias("_id"), (F.col("_cno") - 1).alias("cluster")))

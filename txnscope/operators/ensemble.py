@@ -29,7 +29,7 @@ from . import dbscan as db
 from . import features as feat
 from . import graph as g
 from . import iforest, supervised
-from .common import with_scalars
+from .common import bounded_side, with_scalars
 
 KEY = "transaction_id"
 FEATURES = list(fixed.FEATURE_COLUMNS)
@@ -80,7 +80,7 @@ class FraudModel:
         x = supervised.rf_scores(self.rf, feat.assemble(x)).drop("features", "rf_prediction")
         x = self.dbscan.assign(x, KEY)
         anomalous = self.anomaly_clusters.select("cluster", F.lit(1.0).alias("_anom"))
-        x = (x.join(anomalous, "cluster", "left")
+        x = (x.join(bounded_side(anomalous), "cluster", "left")
              .withColumn("dbscan_score", F.coalesce("_anom", F.lit(0.1))).drop("_anom"))
         x = g.graph_risk_scores(x, self.edges, self.suspicious)
         w = fixed.ENSEMBLE_WEIGHTS
@@ -103,6 +103,7 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     """
     spark = t.sparkSession
     checkpoint_dir(spark)
+    t = t.checkpoint(eager=True)          # statistics, encoders and models all read it
     amount = feat.amount_stats(t).first()
     fstats = feat.FeatureStats(amount["_amt_mean"], amount["_amt_std"], amount["_amt_p95"])
     f, enc = feat.prepare_features(t, stats=fstats)

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .common import exact_quantiles_ok, quantile_col, with_scalars
+from .common import with_scalars
+from .quantiles import exact_quantiles
 
 TS = "timestamp"
 
@@ -38,12 +39,16 @@ def fit_encoders(df: DataFrame, columns=fixed.CATEGORICAL_COLUMNS) -> StringInde
                          stringOrderType="alphabetAsc", handleInvalid="error").fit(df)
 
 
-def amount_stats(df: DataFrame, exact: bool | None = None) -> DataFrame:
-    """One-row batch statistics of the amount (exact quantile up to 10 M rows)."""
-    exact = exact_quantiles_ok(df) if exact is None else exact
+def amount_stats(df: DataFrame) -> DataFrame:
+    """One-row batch statistics of the amount."""
     a = F.col("amount_inr").cast("double")
-    return df.agg(F.avg(a).alias("_amt_mean"), F.stddev_samp(a).alias("_amt_std"),
-                   quantile_col(a, 0.95, exact).alias("_amt_p95"))
+    p95 = _quantile(exact_quantiles(df, {"a": a}, [0.95]), "a")
+    return df.agg(F.avg(a).alias("_amt_mean"), F.stddev_samp(a).alias("_amt_std")).withColumn(
+        "_amt_p95", F.lit(p95).cast("double"))
+
+
+def _quantile(found: dict, name: str) -> float | None:
+    return found[None, name].at[0] if (None, name) in found else None
 
 
 def cross_state(df: DataFrame) -> F.Column:
@@ -90,11 +95,12 @@ def prepare_features(df: DataFrame, encoders: StringIndexerModel | None = None,
     return out, encoders
 
 
-def median_values(df: DataFrame, columns, exact: bool | None = None) -> DataFrame:
-    """One-row frame of medians (linear interpolation; exact up to 10 M rows)."""
-    exact = exact_quantiles_ok(df) if exact is None else exact
-    return df.agg(*[quantile_col(F.col(c).cast("double"), 0.5, exact).alias(f"_med_{c}")
-                    for c in columns])
+def median_values(df: DataFrame, columns) -> DataFrame:
+    """One-row frame of medians (linear interpolation), all columns in one pass."""
+    found = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5])
+    return df.sparkSession.createDataFrame(
+        [tuple(_quantile(found, c) for c in columns)],
+        ", ".join(f"_med_{c} DOUBLE" for c in columns))
 
 
 def impute_median(df: DataFrame, columns, medians: DataFrame | None = None) -> DataFrame:

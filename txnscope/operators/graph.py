@@ -15,7 +15,8 @@ weight = transaction count, used as a *distance*, decision D9):
     where d(s,v) + d(v,t) = d(s,t), normalised by 1/((n-1)(n-2));
   * closeness(u) uses incoming distances: r/sum(d) * r/(n-1) where r is the
     number of nodes that reach u (Wasserman-Faust scaling).
-Integer weights make the equality tests exact.
+Distances are decimals, so sums do not depend on their order and the equality
+tests are exact, also for ``distance="inverse"`` (1 / weight).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import checkpoint_dir
-from .common import with_scalars
+from .common import bounded_side, with_scalars
 
 NODE_PREFIX = "bank_"
 
@@ -61,30 +62,43 @@ def graph_size(edges: DataFrame) -> DataFrame:
     return with_scalars(n, e)
 
 
-def shortest_paths(edges: DataFrame, distance: str = "weight", max_rounds: int | None = None,
+DISTANCE_TYPE = "decimal(38,18)"
+#: The all-pairs tables grow with the square of the banks, betweenness with the cube.
+MOST_BANKS = 2000
+
+
+def edge_length(distance: str) -> F.Column:
+    """Length of an edge: a column's value, or ``inverse`` of the transaction count
+    (busy links are short)."""
+    length = F.lit(1.0) / F.col("weight") if distance == "inverse" else F.col(distance)
+    return length.cast(DISTANCE_TYPE)
+
+
+def shortest_paths(edges: DataFrame, distance: str = "weight",
                    checkpoint_every: int = 4) -> DataFrame:
     """All-pairs shortest distances and shortest-path counts.
 
     Returns (src, dst, dist, sigma) for every reachable pair, including
     (v, v, 0, 1). ``distance`` names the edge column used as length (must be
-    positive). Each round recomputes, for every pair, the best path whose last
-    edge is u->dst from the previous round's table; it stops when a round
-    changes nothing (at most the number of nodes rounds).
+    positive), or is ``inverse``. Each round recomputes, for every pair, the best
+    path whose last edge is u->dst from the previous round's table; it stops when a
+    round changes nothing, which takes at most as many rounds as there are nodes.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"),
-                     F.col(distance).cast("double").alias("w")).where(F.col("src") != F.col("dst"))
+                     edge_length(distance).alias("w")).where(F.col("src") != F.col("dst"))
     nodes = graph_nodes(edges)
     base = nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"),
-                        F.lit(0.0).alias("dist"), F.lit(1).cast("decimal(38,0)").alias("sigma"))
+                        F.lit(0).cast(DISTANCE_TYPE).alias("dist"), F.lit(1).cast("decimal(38,0)").alias("sigma"))
     cur = base.checkpoint(eager=True)
     n_nodes = nodes.count()
-    rounds = max_rounds or max(n_nodes, 1)
-    for i in range(rounds):
+    if n_nodes > MOST_BANKS:
+        raise ValueError(f"{n_nodes} banks: all-pairs distances are bounded to {MOST_BANKS}")
+    for i in range(n_nodes + 2):
         ext = (cur.join(e, cur.dst == e.u)
-               .select("src", F.col("v").alias("dst"), (F.col("dist") + F.col("w")).alias("dist"),
-                       "sigma"))
+               .select("src", F.col("v").alias("dst"), (F.col("dist") + F.col("w")).cast(DISTANCE_TYPE)
+                       .alias("dist"), "sigma"))
         cand = base.unionByName(ext)
         best = Window.partitionBy("src", "dst")
         nxt = (cand.withColumn("_min", F.min("dist").over(best))
@@ -101,8 +115,8 @@ def shortest_paths(edges: DataFrame, distance: str = "weight", max_rounds: int |
             cur.unpersist()
         cur = nxt
         if changed == 0:
-            break
-    return cur.withColumn("sigma", F.col("sigma").cast("double"))
+            return cur.withColumn("sigma", F.col("sigma").cast("double"))
+    raise RuntimeError("distances still changed after as many rounds as there are banks")
 
 
 def betweenness(paths: DataFrame, n_nodes: DataFrame | None = None) -> DataFrame:
@@ -116,7 +130,8 @@ def betweenness(paths: DataFrame, n_nodes: DataFrame | None = None) -> DataFrame
                   F.col("dist").alias("d_st"), F.col("sigma").alias("sig_st"))
     through = (sv.join(vt, "v").where(F.col("s") != F.col("t"))
                .join(st, ["s", "t"])
-               .where(F.col("d_sv") + F.col("d_vt") == F.col("d_st"))
+               .where((F.col("d_sv") < F.col("d_st"))
+                      & ((F.col("d_sv") + F.col("d_vt")).cast(DISTANCE_TYPE) == F.col("d_st")))
                .groupBy("v").agg(F.sum(F.col("sig_sv") * F.col("sig_vt") / F.col("sig_st"))
                                  .alias("_b")))
     nodes = paths.select(F.col("src").alias("node")).distinct()
@@ -131,7 +146,7 @@ def betweenness(paths: DataFrame, n_nodes: DataFrame | None = None) -> DataFrame
 def closeness(paths: DataFrame) -> DataFrame:
     """Closeness per node over incoming shortest distances (Wasserman-Faust)."""
     inc = (paths.where(F.col("src") != F.col("dst")).groupBy(F.col("dst").alias("node"))
-           .agg(F.count(F.lit(1)).alias("_r"), F.sum("dist").alias("_tot")))
+           .agg(F.count(F.lit(1)).alias("_r"), F.sum("dist").cast("double").alias("_tot")))
     nodes = paths.select(F.col("src").alias("node")).distinct()
     n = nodes.agg(F.count(F.lit(1)).alias("_n"))
     c = F.when((F.col("_tot") > 0) & (F.col("_n") > 1),
@@ -183,10 +198,13 @@ def select_suspicious(c: DataFrame, fraud_threshold: float = fixed.FRAUD_THRESHO
 
 def graph_risk_scores(t: DataFrame, edges: DataFrame, suspicious: DataFrame) -> DataFrame:
     """Per transaction: min(1, 0.1 + sum of suspicious-node rates among its two
-    endpoints (once when both are the same bank) + its edge's fraud rate)."""
+    endpoints (once when both are the same bank) + its edge's fraud rate). Banks and
+    bank pairs go to every task after a check of their number, so the payments are not
+    shuffled on a few bank codes."""
     s = suspicious.select(F.col("node").alias("_n"), F.col("fraud_rate").alias("_r"))
     e = edges.select(F.col("src").alias("_src"), F.col("dst").alias("_dst"),
                      F.col("fraud_rate").alias("_edge_rate"))
+    s, e = bounded_side(s), bounded_side(e)
     x = (t.withColumns({"_src": node("sender_bank"), "_dst": node("receiver_bank")})
          .join(s.withColumnRenamed("_n", "_src").withColumnRenamed("_r", "_rs"), "_src", "left")
          .join(s.withColumnRenamed("_n", "_dst").withColumnRenamed("_r", "_rd"), "_dst", "left")
@@ -209,9 +227,15 @@ def fraud_subgraph(t: DataFrame) -> DataFrame:
     """Payments whose sender OR receiver bank is fraud-related.
 
     Two left joins against the bank set give one flag per side (a semi join
-    cannot express OR); the bank set is a distinct set of bank codes.
+    cannot express OR); the bank set is computed once and goes to every task
+    after a check of its size.
     """
-    banks = fraud_related_banks(t)
+    checkpoint_dir(t.sparkSession)
+    return _subgraph(t, fraud_related_banks(t).checkpoint(eager=True))
+
+
+def _subgraph(t: DataFrame, banks: DataFrame) -> DataFrame:
+    banks = bounded_side(banks)
     return (t.join(banks.select(F.col("bank").alias("sender_bank"), F.lit(1).alias("_s")),
                    "sender_bank", "left")
             .join(banks.select(F.col("bank").alias("receiver_bank"), F.lit(1).alias("_r")),
@@ -223,15 +247,16 @@ def fraud_subgraph(t: DataFrame) -> DataFrame:
 def network_edges_last_flag(t: DataFrame) -> DataFrame:
     """One edge per bank pair carrying the fraud flag of its LAST payment (later
     rows overwrite earlier ones); "last" is event time, then transaction id."""
-    sub = fraud_subgraph(t)
-    banks = fraud_related_banks(t)
+    checkpoint_dir(t.sparkSession)
+    banks = fraud_related_banks(t).checkpoint(eager=True)
+    sub = _subgraph(t, banks)
+    banks = bounded_side(banks)
     e = sub.groupBy("sender_bank", "receiver_bank").agg(
         F.max_by("fraud_flag", F.struct("timestamp", "transaction_id")).alias("fraud_flag"))
     is_f = F.col("fraud_flag") == 1
     e = e.select("sender_bank", "receiver_bank", "fraud_flag",
-                 F.when(is_f, "red").otherwise("lightgray").alias("edge_color"),
-                 F.when(is_f, 2.5).otherwise(0.5).alias("edge_width"),
-                 F.when(is_f, 1.0).otherwise(0.3).alias("edge_alpha"))
+                 *[F.when(is_f, fixed.FRAUD_EDGE[k]).otherwise(fixed.PLAIN_EDGE[k])
+                   .alias(f"edge_{k}") for k in fixed.FRAUD_EDGE])
     flag = banks.select(F.col("bank"), F.lit("fraud_related").alias("_cls"))
     return (e.join(flag.withColumnRenamed("bank", "sender_bank")
                    .withColumnRenamed("_cls", "sender_class"), "sender_bank", "left")

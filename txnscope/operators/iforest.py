@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
-from .common import EXACT_QUANTILE_LIMIT, quantile_col
+from .quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -180,11 +180,10 @@ def fit_isolation_forest(df: DataFrame, feature_cols, key: str = "transaction_id
     model = IsolationForestModel(nodes, cols, psi)
     # one scoring pass over the training rows gives the offset (contamination
     # quantile) and the score range
-    exact = n <= EXACT_QUANTILE_LIMIT
-    row = (model.score_samples(data, "_s")
-           .agg(quantile_col(F.col("_s"), contamination, exact).alias("q"),
-                F.min("_s").alias("lo"), F.max("_s").alias("hi")).first())
-    model.offset = float(row["q"]) if row["q"] is not None else 0.0
-    model.train_min = float(row["lo"]) if row["lo"] is not None else 0.0
-    model.train_max = float(row["hi"]) if row["hi"] is not None else 0.0
+    found = exact_quantiles(model.score_samples(data, "_s"), {"s": F.col("_s")}, [contamination])
+    if found:
+        scores = found[None, "s"]
+        model.offset, model.train_min, model.train_max = scores.at[0], scores.low, scores.high
+    else:
+        model.offset = model.train_min = model.train_max = 0.0
     return model

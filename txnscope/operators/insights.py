@@ -6,14 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import exact_quantiles_ok, quantile_col, with_scalars
+from ..functions import fixed
+from ..functions.columns import ratio
+from .common import with_scalars
+from .quantiles import exact_quantiles
 
 
 def overview(t: DataFrame) -> DataFrame:
     """Total, fraud total and fraud percentage (rounded half-even to 4)."""
     return t.agg(F.count(F.lit(1)).alias("total_transactions"),
                  F.sum("fraud_flag").cast("bigint").alias("total_fraud_cases")).select(
-        "*", F.bround(F.col("total_fraud_cases") / F.col("total_transactions") * 100, 4)
+        "*", F.bround(ratio("total_fraud_cases", "total_transactions") * 100, 4)
         .alias("fraud_rate_percent"))
 
 
@@ -32,15 +35,14 @@ def risky_hours(t: DataFrame) -> DataFrame:
 
 def high_amount(t: DataFrame) -> DataFrame:
     """p50/p95/p99 of the amount and the fraud mean above p95 vs overall."""
-    a = F.col("amount_inr").cast("double")
-    q = t.agg(quantile_col(a, [0.5, 0.95, 0.99], exact_quantiles_ok(t)).alias("_q"),
-              F.avg(F.col("fraud_flag").cast("double")).alias("overall_fraud_rate"))
-    q = q.select(F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"),
-                 F.col("_q")[2].alias("p99"), "overall_fraud_rate")
-    above = (with_scalars(t.select("amount_inr", "fraud_flag"), q.select("p95"))
-             .where(F.col("amount_inr").cast("double") > F.col("p95"))
-             .agg(F.avg(F.col("fraud_flag").cast("double")).alias("high_amount_fraud_rate")))
-    out = with_scalars(q, above)
+    found = exact_quantiles(t, {"a": F.col("amount_inr")}, [0.5, 0.95, 0.99])
+    at = found[None, "a"].at if found else (None, None, None)
+    flag, above = F.col("fraud_flag").cast("double"), F.col("amount_inr").cast("double") > at[1] \
+        if at[1] is not None else F.lit(False)
+    out = t.agg(F.avg(flag).alias("overall_fraud_rate"),
+                F.avg(F.when(above, flag)).alias("high_amount_fraud_rate")).select(
+        *[F.lit(v).cast("double").alias(p) for p, v in zip(("p50", "p95", "p99"), at)],
+        "overall_fraud_rate", "high_amount_fraud_rate")
     return out.withColumn("elevated", F.coalesce(
         F.col("high_amount_fraud_rate") > F.col("overall_fraud_rate"), F.lit(False)))
 
@@ -60,18 +62,17 @@ def patterns(t: DataFrame) -> DataFrame:
     hours = risky_hours(t).agg(F.array_sort(F.collect_list("hour")).alias("hs"))
     hours = hours.where(F.size("hs") > 0).select(
         F.lit("risky_hours").alias("pattern"),
-        F.concat(F.lit("High fraud risk during hours: ["), F.array_join("hs", ", "), F.lit("]"))
+        F.concat(F.lit(fixed.RISKY_HOURS_MESSAGE), F.array_join("hs", ", "), F.lit("]"))
         .alias("message"))
     amt = high_amount(t).where("elevated").select(
         F.lit("high_amount").alias("pattern"),
-        F.format_string("High-value transactions (>₹%.0f) show elevated fraud risk",
-                        F.col("p95")).alias("message"))
-    st = risky_states(t).agg(F.collect_list(F.struct(F.col("fraud_mean"), F.col("sender_state")))
-                             .alias("_s"))
+        F.format_string(fixed.HIGH_AMOUNT_MESSAGE, F.col("p95")).alias("message"))
+    st = risky_states(t).agg(F.collect_list(F.struct((-F.col("fraud_mean")).alias("_m"),
+                                                     F.col("sender_state"))).alias("_s"))
     st = st.where(F.size("_s") > 0).select(
         F.lit("risky_states").alias("pattern"),
-        F.concat(F.lit("States with elevated fraud risk: "),
-                 F.array_join(F.transform(F.reverse(F.array_sort("_s")), lambda x: x["sender_state"]),
+        F.concat(F.lit(fixed.RISKY_STATES_MESSAGE),
+                 F.array_join(F.transform(F.array_sort("_s"), lambda x: x["sender_state"]),
                               ", ")).alias("message"))
     return hours.unionByName(amt).unionByName(st)
 
@@ -83,3 +84,16 @@ def model_summary(model) -> DataFrame:
     sus = model.suspicious.agg(F.count(F.lit(1)).alias("fraud_clusters_detected"))
     anom = model.anomaly_clusters.agg(F.count(F.lit(1)).alias("anomaly_clusters"))
     return with_scalars(with_scalars(sus, anom), sizes)
+
+
+def insights(t: DataFrame, model=None) -> DataFrame:
+    """Overview, pattern sentences and (with a fitted model) the model's counts as one
+    table of (section, name, value)."""
+    def tall(section: str, one: DataFrame) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
+                          for c in one.columns])
+        return one.select(F.lit(section).alias("section"), F.inline(pairs))
+    out = tall("overview", overview(t)).unionByName(patterns(t).select(
+        F.lit("patterns").alias("section"), F.col("pattern").alias("name"),
+        F.col("message").alias("value")))
+    return out if model is None else out.unionByName(tall("model", model_summary(model)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import clip
+from ..functions.columns import clip, ratio
 
 KEYS = ("sender_age_group", "sender_state", "device_type")
 
@@ -34,7 +34,7 @@ def user_profiles(df: DataFrame) -> DataFrame:
         F.countDistinct("merchant_category").alias("merchant_diversity"),
         F.sum("fraud_flag").cast("bigint").alias("fraud_count"),
         F.floor(span_us / F.lit(86_400_000_000)).cast("bigint").alias("active_days"))
-    fraud_rate = F.col("fraud_count") / F.col("txn_count")
+    fraud_rate = ratio("fraud_count", "txn_count")
     daily = F.when(F.col("active_days") == 0, F.lit(float("inf"))).otherwise(
         F.col("txn_count") / F.col("active_days"))
     daily_term = F.when(F.col("active_days") == 0, F.lit(1.0)).otherwise(clip(daily / 10, 0, 1))

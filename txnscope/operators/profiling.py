@@ -13,7 +13,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import exact_quantiles_ok, quantile_col, with_scalars
+from .common import bounded_side, with_scalars
+from .quantiles import exact_quantiles
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -66,27 +67,24 @@ def shape_report(df: DataFrame, sub: DataFrame | None = None) -> DataFrame:
     return rows
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None,
-                     exact: bool | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count/mean/std/min/25%/50%/75%/max per numeric column (``describe()``).
 
-    Quantiles are exact with linear interpolation (``percentile``), as pandas
-    computes them, up to 10 M rows, and the GK sketch beyond (bounded memory);
-    ``summary()`` is approximate and is not used.
+    Quantiles are exact with linear interpolation, as pandas computes them, at every
+    size (``quantiles.exact_quantiles``); ``summary()`` is approximate and is not used.
     """
     cols = columns or [c for c, t in df.dtypes if t in NUMERIC]
-    exact = exact_quantiles_ok(df) if exact is None else exact
+    found = exact_quantiles(df, {c: F.col(f"`{c}`") for c in cols}, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 quantile_col(x, [0.25, 0.5, 0.75], exact).alias(f"q{i}"),
                  F.max(x).alias(f"hi{i}")]
-    one = df.agg(*aggs).select(*[e for i in range(len(cols)) for e in (
-        F.col(f"c{i}"), F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}"),
-        F.col(f"q{i}")[0].alias(f"p25_{i}"), F.col(f"q{i}")[1].alias(f"p50_{i}"),
-        F.col(f"q{i}")[2].alias(f"p75_{i}"), F.col(f"hi{i}"))])
+    at = [found[None, c].at if (None, c) in found else (None, None, None) for c in cols]
+    one = df.agg(*aggs).select("*", *[
+        F.lit(v).cast("double").alias(f"{name}_{i}") for i, three in enumerate(at)
+        for name, v in zip(("p25", "p50", "p75"), three)])
     return _stack(one, cols, [[f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"p25_{i}", f"p50_{i}",
                                f"p75_{i}", f"hi{i}"] for i in range(len(cols))],
                   ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"])
@@ -168,23 +166,24 @@ def device_fraud_counts(df: DataFrame) -> DataFrame:
 
 
 def amount_boxstats_by_fraud(df: DataFrame, col: str = "amount_inr",
-                             by: str = "fraud_flag", exact: bool | None = None) -> DataFrame:
+                             by: str = "fraud_flag") -> DataFrame:
     """Box-plot statistics per group: quartiles, 1.5*IQR whiskers (most extreme
     points inside the fences) and the number of points outside them.
 
-    Pass 1: exact quartiles per group. Pass 2: the per-group stats (one row per
-    group value) are joined back to the rows to find whiskers and outliers.
+    Pass 1: exact quartiles per group. Pass 2 finds whiskers and outliers; the
+    per-group figures (one row per group value) go to every task as a checked
+    broadcast, so the rows are not shuffled on the few group values.
     """
     x = F.col(col).cast("double")
-    exact = exact_quantiles_ok(df) if exact is None else exact
-    q = (df.where(F.col(by).isNotNull()).groupBy(by)
-         .agg(quantile_col(x, [0.25, 0.5, 0.75], exact).alias("_q"))
-         .select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")))
+    found = exact_quantiles(df, {"x": x}, [0.25, 0.5, 0.75], by=by)
+    key = df.schema[by].dataType.simpleString()
+    q = df.sparkSession.createDataFrame(
+        [(g, *d.at) for (g, _), d in found.items()],
+        f"`{by}` {key}, q1 DOUBLE, median DOUBLE, q3 DOUBLE")
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"_lo_fence": F.col("q1") - 1.5 * F.col("iqr"),
                        "_hi_fence": F.col("q3") + 1.5 * F.col("iqr")})
-    joined = df.select(by, x.alias("_x")).where(F.col("_x").isNotNull()).join(q, by)
+    joined = df.select(by, x.alias("_x")).where(F.col("_x").isNotNull()).join(bounded_side(q), by)
     inside = (F.col("_x") >= F.col("_lo_fence")) & (F.col("_x") <= F.col("_hi_fence"))
     return (joined.groupBy(by, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, F.col("_x"))).alias("whisker_low"),

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..session import checkpoint_dir
 from .common import with_scalars
-from .ranking import global_row_number, global_running_sum
+from .ranking import global_running_sum
 
 
-EXACT_BAND_ROWS = 1_000_000
+#: Rows of a class around the cut that are numbered exactly (sets the sketch's accuracy).
+BAND_ROWS = 1_000_000
 
 
 def _split_order(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -26,37 +27,21 @@ def _split_order(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.withColumns({"_h": h, "_u": F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")})
 
 
-def _split_global(x: DataFrame, label: str, key: str, test_fraction: float) -> DataFrame:
-    """Exact split through the parallel global row number (one full shuffle)."""
-    ranked = global_row_number(x, [F.col(label), F.col("_h"), F.col(key)], "_grank")
-    sizes = (x.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy(label)) - F.col("_n"),
-                                              F.lit(0))))
-    frac = F.lit(Decimal(str(test_fraction))).cast("decimal(10,6)")
-    n_test = F.ceil(F.col("_n").cast("decimal(20,0)") * frac)
-    return (ranked.join(F.broadcast(sizes), label)
-            .withColumn("split", F.when(F.col("_grank") - F.col("_start") <= F.col("_n") - n_test,
-                                        "train").otherwise("test"))
-            .drop("_grank", "_n", "_start"))
-
-
 def stratified_split(df: DataFrame, label: str = "fraud_flag", key: str = "transaction_id",
                      test_fraction: float = fixed.TEST_FRACTION, seed: int = fixed.SEED,
-                     band_rows: int = EXACT_BAND_ROWS) -> DataFrame:
+                     band_rows: int = BAND_ROWS) -> DataFrame:
     """Adds ``split`` ('train'/'test') with EXACT per-class counts.
 
     Within each class rows are ordered by (md5(seed:key), key); the first
     ``n - ceil(test_fraction * n)`` (exact decimal arithmetic) are train.
     ``sampleBy`` would only give Bernoulli counts.
 
-    No full sort is needed. A class of at most ``band_rows`` rows is numbered
-    by a window over that class (bounded group). For a larger class, a GK
-    sketch (``percentile_approx``, rank error n/accuracy) brackets the cut
-    point; rows below the bracket are train, rows above are test, and only
-    the bracket (at most about ``band_rows`` rows) is numbered exactly, after
-    an exact count of the rows below it. If a bracket ever misses the cut
-    (outside the sketch's guarantee), the split falls back to the parallel
-    global row number. Rows with a NULL label keep a NULL split.
+    No full sort is needed. A GK sketch (``percentile_approx``, rank error
+    n/accuracy) brackets each class's cut point; rows below the bracket are
+    train, rows above are test, and only the bracket (at most about
+    ``band_rows`` rows) is numbered exactly, after an exact count of the rows
+    below it. The bracket is wider than the sketch's guaranteed error, and a
+    cut outside it is an error. Rows with a NULL label keep a NULL split.
     """
     unlabelled = df.where(F.col(label).isNull()).withColumn("split", F.lit(None).cast("string"))
     x = _split_order(df.where(F.col(label).isNotNull()), key, seed)
@@ -65,43 +50,35 @@ def stratified_split(df: DataFrame, label: str = "fraud_flag", key: str = "trans
     def n_train(n: int) -> int:
         return n - int((Decimal(n) * Decimal(str(test_fraction))).to_integral_value(rounding="ROUND_CEILING"))
 
-    big = {c: n for c, n in sizes.items() if n > band_rows}
-    brackets = {}
-    if big:
-        acc = int(max(10_000, min(2**31 - 1, 8 * max(big.values()) // band_rows + 1)))
-        # per class: percentages just below and above the cut rank k/n, widened by
-        # the sketch's rank error (1/acc) and one row; all classes share one array
-        pcts, slot = [], {}
-        for c, n in big.items():
-            k = n_train(n)
-            lo = max(0.0, (k - 1) / n - 2.0 / acc - 1.0 / n)
-            hi = min(1.0, k / n + 2.0 / acc + 1.0 / n)
-            slot[c] = (len(pcts), len(pcts) + 1)
-            pcts += [lo, hi]
-        rows = (x.where(F.col(label).isin(list(big)))
-                .groupBy(label).agg(F.percentile_approx("_u", pcts, acc).alias("_b")).collect())
-        brackets = {r[label]: (r["_b"][slot[r[label]][0]], r["_b"][slot[r[label]][1]])
-                    for r in rows}
-        lo_hi = F.create_map(*[e for c, (lo, hi) in brackets.items()
-                               for e in (F.lit(c), F.array(F.lit(lo), F.lit(hi)))])
-        x = x.withColumn("_br", lo_hi[F.col(label)])
-        checks = (x.where(F.col("_br").isNotNull()).groupBy(label)
-                  .agg(F.count_if(F.col("_u") < F.col("_br")[0]).alias("_below"),
-                       F.count_if(F.col("_u").between(F.col("_br")[0], F.col("_br")[1]))
-                       .alias("_band")).collect())
-        for r in checks:
-            k = n_train(big[r[label]])
-            if not (r["_below"] < k <= r["_below"] + r["_band"]) or r["_band"] > 4 * band_rows:
-                return (_split_global(x.drop("_br"), label, key, test_fraction)
-                        .drop("_h", "_u").unionByName(unlabelled))
-        below = {r[label]: r["_below"] for r in checks}
-    else:
-        x = x.withColumn("_br", F.lit(None).cast("array<bigint>"))
-        below = {}
+    if not sizes:
+        return x.drop("_h", "_u").withColumn("split", F.lit(None).cast("string")) \
+            .unionByName(unlabelled)
+    acc = int(max(10_000, min(2**31 - 1, 8 * max(sizes.values()) // band_rows + 1)))
+    # per class: percentages just below and above the cut rank k/n, widened by
+    # the sketch's rank error (1/acc) and one row; all classes share one array
+    pcts, slot = [], {}
+    for c, n in sizes.items():
+        k = n_train(n)
+        slot[c] = len(pcts)
+        pcts += [max(0.0, (k - 1) / n - 2.0 / acc - 1.0 / n),
+                 min(1.0, k / n + 2.0 / acc + 1.0 / n)]
+    rows = x.groupBy(label).agg(F.percentile_approx("_u", pcts, acc).alias("_b")).collect()
+    lo_hi = F.create_map(*[e for r in rows for e in (
+        F.lit(r[label]), F.array(F.lit(r["_b"][slot[r[label]]]),
+                                 F.lit(r["_b"][slot[r[label]] + 1])))])
+    x = x.withColumn("_br", lo_hi[F.col(label)])
+    below = {}
+    for r in (x.groupBy(label)
+              .agg(F.count_if(F.col("_u") < F.col("_br")[0]).alias("_below"),
+                   F.count_if(F.col("_u").between(F.col("_br")[0], F.col("_br")[1]))
+                   .alias("_band")).collect()):
+        k, below[r[label]] = n_train(sizes[r[label]]), r["_below"]
+        if k and not (r["_below"] < k <= r["_below"] + r["_band"]):
+            raise RuntimeError(f"the cut of class {r[label]} lies outside its bracket")
     # per class: rows before the numbered range, and train rows in total
     start = F.create_map(*[e for c in sizes for e in (F.lit(c), F.lit(below.get(c, 0)))])
     k_tr = F.create_map(*[e for c in sizes for e in (F.lit(c), F.lit(n_train(sizes[c])))])
-    numbered = (F.col("_br").isNull()) | F.col("_u").between(F.col("_br")[0], F.col("_br")[1])
+    numbered = F.col("_u").between(F.col("_br")[0], F.col("_br")[1])
     exact = (x.where(numbered)
              .withColumn("_r", F.row_number().over(
                  Window.partitionBy(label).orderBy("_u", "_h", key)))

@@ -134,3 +134,11 @@ SELECT window_start, window_end, transaction_count, total_value, avg_transaction
        CASE WHEN s < 95 THEN 'SUCCESS_RATE_LOW' WHEN f > 1 THEN 'FRAUD_RATE_HIGH'
             WHEN transaction_count < 1000 THEN 'VOLUME_LOW' ELSE 'HEALTHY' END AS system_status
 FROM agg, wm WHERE window_end <= wm.watermark"""
+
+# overview and patterns as (section, name, value)
+_PATTERN_CTES, _PATTERN_ROWS = INSIGHT_PATTERNS.split("\nSELECT 'risky_hours'", 1)
+INSIGHTS = (_PATTERN_CTES + ",\npat AS (SELECT 'risky_hours'" + _PATTERN_ROWS + "),\nov AS ("
+            + INSIGHT_OVERVIEW + ")\n" + "\nUNION ALL ".join(
+                f"SELECT 'overview' AS section, '{c}' AS name, CAST({c} AS VARCHAR) AS value FROM ov"
+                for c in ("total_transactions", "total_fraud_cases", "fraud_rate_percent"))
+            + "\nUNION ALL SELECT 'patterns', pattern, message FROM pat")

@@ -181,8 +181,8 @@ SELECT 'bank_' || sender_bank AS src, 'bank_' || receiver_bank AS dst, COUNT(*)
        ROUND(CAST(SUM(fraud_flag) AS DOUBLE) / COUNT(*), 6) AS fraud_rate
 FROM transactions GROUP BY 1, 2"""
 
-HIGH_FRAUD_EDGES = "e AS (" + BANK_EDGES + """)
-SELECT * FROM e WHERE fraud_rate > {threshold} AND weight > 10"""
+HIGH_FRAUD_EDGES = BANK_EDGES + """
+HAVING COUNT(*) > 10 AND CAST(SUM(fraud_flag) AS DOUBLE) / COUNT(*) > {threshold}"""
 
 GRAPH_SIZE = """
 e AS (SELECT DISTINCT sender_bank, receiver_bank FROM transactions)
@@ -243,8 +243,10 @@ SELECT transaction_id, n_neighbours, n_neighbours >= 5 AS is_core FROM nb"""
 # shortest-path DAG (every edge adds positive distance, so it terminates).
 # Needs WITH RECURSIVE (see catalog).
 _CENTRALITY_CTES = """
+day AS (SELECT * FROM transactions
+        WHERE "timestamp" >= {as_of} - INTERVAL 1 DAY AND "timestamp" < {as_of}),
 e0 AS (SELECT 'bank_' || sender_bank AS src, 'bank_' || receiver_bank AS dst, COUNT(*) AS weight,
-              CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count FROM transactions GROUP BY 1, 2),
+              CAST(SUM(fraud_flag) AS BIGINT) AS fraud_count FROM day GROUP BY 1, 2),
 nodes AS (SELECT src AS node FROM e0 UNION SELECT dst FROM e0),
 e AS (SELECT src AS u, dst AS v, CAST(weight AS DOUBLE) AS w FROM e0 WHERE src <> dst),
 d(src, dst, dist) USING KEY (src, dst) AS (
@@ -291,12 +293,17 @@ SELECT node, ROUND(betweenness_centrality, 9) AS betweenness_centrality,
        ROUND(node_fraud_rate, 9) AS node_fraud_rate
 FROM cent"""
 
-# registered with the lowered floors of the catalog (betweenness > -1,
-# closeness > 0.01, incident fraud rate > 0.005)
+# edge length 1 / count, in decimals so that sums do not depend on their order
+GRAPH_CENTRALITY_INVERSE = GRAPH_CENTRALITY.replace(
+    "CAST(weight AS DOUBLE) AS w", "CAST(1.0::DOUBLE / weight AS DECIMAL(38,18)) AS w").replace(
+    "CAST(0.0 AS DOUBLE) FROM nodes", "CAST(0 AS DECIMAL(38,18)) FROM nodes").replace(
+    "SUM(dist) AS tot", "CAST(SUM(dist) AS DOUBLE) AS tot")
+
+# registered with the day's floors of the catalog
 _SUSPICIOUS_CTE = """,
 sus AS (SELECT node, node_fraud_rate AS fraud_rate, betweenness_centrality, closeness_centrality,
                total_transactions
-        FROM cent WHERE betweenness_centrality > -1.0 AND closeness_centrality > 0.01
+        FROM cent WHERE betweenness_centrality > 0.05 AND closeness_centrality > 0.4
                     AND total_transactions > 0 AND node_fraud_rate > 0.005)"""
 
 SUSPICIOUS_NODES = _CENTRALITY_CTES + _SUSPICIOUS_CTE + """
@@ -310,7 +317,27 @@ SELECT t.transaction_id, t.sender_bank, t.receiver_bank,
                                  + CASE WHEN t.sender_bank = t.receiver_bank THEN 0.0
                                         ELSE COALESCE(s2.fraud_rate, 0.0) END))
                         + COALESCE(CAST(e0.fraud_count AS DOUBLE) / e0.weight, 0.0)), 9) AS graph_risk_score
-FROM transactions t
+FROM day t
 LEFT JOIN sus s1 ON s1.node = 'bank_' || t.sender_bank
 LEFT JOIN sus s2 ON s2.node = 'bank_' || t.receiver_bank
 LEFT JOIN e0 ON e0.src = 'bank_' || t.sender_bank AND e0.dst = 'bank_' || t.receiver_bank"""
+
+
+# payments that lose a value (every 7th amount, every 11th receiver state)
+_GAPS = """
+gaps AS (SELECT * REPLACE (
+  CASE WHEN CAST(substr(transaction_id, 4, 10) AS BIGINT) % 7 <> 0 THEN amount_inr END AS amount_inr,
+  CASE WHEN CAST(substr(transaction_id, 4, 10) AS BIGINT) % 11 <> 0 THEN receiver_state END AS receiver_state)
+  FROM transactions)"""
+_NO_NULL = " AND ".join(f'"{c}" IS NOT NULL' for c, _ in TXN_TYPES)
+
+DROP_NULLS_GAPS = _GAPS + "\nSELECT * FROM gaps WHERE " + _NO_NULL
+
+NULL_COUNTS_GAPS = _GAPS + "\n" + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, COUNT(*) - COUNT("{c}") AS null_count, '{stage}' AS stage
+FROM gaps WHERE {where}""" for stage, where in (("before", "TRUE"), ("after", _NO_NULL))
+    for c, _ in TXN_TYPES)
+
+IMPUTE_MEDIAN = _GAPS + """
+SELECT transaction_id, COALESCE(CAST(amount_inr AS DOUBLE),
+       (SELECT quantile_cont(CAST(amount_inr AS DOUBLE), 0.5) FROM gaps)) AS amount_inr FROM gaps"""

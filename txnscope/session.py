@@ -46,8 +46,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is a private scratch folder created.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may leave it
+    unset (tests): a private scratch folder is created then. Executors of a cluster
+    could not share such a folder, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="txnscope-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

@@ -45,12 +45,18 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     # through a one-character glob class ("events.parque[t]"), which the
     # source lists like any glob.
     path = table_path(sf_dir, "events")
-    if os.path.isfile(path):
+    if is_file(spark, path):
         path = path[:-1] + "[" + path[-1] + "]"
     stream = reader.parquet(path)
     return adapters.events_transactions(spark, sf_dir, events=stream)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a table path is one file, in whatever file system it names."""
+    files = spark.read.parquet(path).inputFiles()
+    return len(files) == 1 and files[0].rstrip("/").endswith(path.rsplit(":", 1)[-1].lstrip("/"))
+
+
 def fraud_score_stream(t: DataFrame) -> DataFrame:
     return score_transactions(t)
 
