@@ -12,9 +12,9 @@ colliding texts never emits all its pairs:
 
 1. every text meets the smallest text of each of its buckets, and in a few turns a
    drawn text of the buckets that are not one component yet; links join components;
-2. the pairs of a bucket that are still in different components all meet, under two
-   lossless conditions: lengths, and a histogram of word hashes whose distance is at
-   most the edit distance.
+2. the pairs of a bucket that are still in different components all meet, in blocks,
+   under two lossless conditions: lengths, and a histogram of word hashes whose distance
+   is at most the edit distance.
 
 So no link between different classes is lost that the sketches propose, whatever the
 size of a bucket; pairs within a component need no test.
@@ -45,8 +45,8 @@ SIMILARITY = 0.8
 BINS = 256
 #: Edits up to which the diagonals are followed one by one.
 NARROW = 16
-#: Rows of a contested bucket that one task compares with as many others.
-BLOCK_ROWS = 1000
+#: Texts of a contested bucket that one task compares with as many others.
+BLOCK_ROWS = 256
 #: Turns in which contested buckets meet a drawn text before all open pairs are tested;
 #: they change the work, not the classes.
 CENTER_TURNS = 3
@@ -267,28 +267,31 @@ def near_classes(docs: DataFrame) -> DataFrame:
             break
         links = links.unionByName(found)
         known = components(links)
-    links = links.unionByName(linked(open_pairs(contested(stars, words, known)), words))
+    links = links.unionByName(written(open_links(contested(stars, words, known), words),
+                                      "near-links"))
     named = texts.select("text_key", "id").join(components(links), "id", "left").select(
         "text_key", F.col("id").alias("text_id"), F.coalesce("component", "id").alias("class_id"))
     return rows_of_texts.select("doc_id", "text_key").join(named, "text_key")
 
 
 def candidate_words(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, n, bins, words): length, histogram and word hashes of the given texts, each
-    read from the row that names it, so copies of one text do not meet."""
+    """(id, n, bins, words, sketches): length, histogram, word hashes and sketches of the
+    given texts, each read from the row that names it, so copies of one text do not
+    meet."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _WordHashes()
         for b in batches:
             hashes = [word_hashes(t, known) for t in b["text"]]
             yield pd.DataFrame({"id": b["id"], "n": [len(h) for h in hashes],
                                 "bins": [histogram(h) for h in hashes],
-                                "words": [h.astype("<u4").tobytes() for h in hashes]})
+                                "words": [h.astype("<u4").tobytes() for h in hashes],
+                                "sketches": b["sketches"]})
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                         text_key(F.col("text")).alias("key"))
-    return (keyed.join(texts.select("id", "rep", "text_key"),
+    return (keyed.join(texts.select("id", "rep", "text_key", "sketches"),
                        (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-            .select("id", "text")
-            .mapInPandas(run, "id long, n int, bins array<int>, words binary"))
+            .select("id", "text", "sketches").mapInPandas(
+                run, "id long, n int, bins array<int>, words binary, sketches array<long>"))
 
 
 def contested(stars: DataFrame, words: DataFrame, known: DataFrame) -> DataFrame:
@@ -330,32 +333,52 @@ def center_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return _pairs(_side(rows, "a").join(_side(centers, "b"), "sketch").where(_possible()))
 
 
-def open_pairs(rows: DataFrame) -> DataFrame:
-    """Every pair of a bucket whose texts are in different components and may be within
-    the bound. Buckets are cut into blocks, so a task holds two blocks at most."""
+def open_links(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """Links among the pairs of contested buckets that are in different components.
+
+    Buckets are cut into blocks of ``BLOCK_ROWS`` texts, and a task holds two blocks. It
+    tests each pair of the two that may be within the bound, once: in the first bucket
+    the texts share, and only while no link it found has joined their components. Only
+    links leave the task, so what a bucket emits does not grow with its square."""
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         left, right = g[g["block"] == key[1]], g[g["block"] == key[2]]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         ids, c, n = (right[x].to_numpy() for x in ("id", "c", "n"))
-        bins = np.stack(right["bins"].to_numpy()) if len(right) else np.zeros((0, BINS), np.int32)
+        bins, sketches = np.stack(right["bins"].to_numpy()), np.stack(right["sketches"].to_numpy())
+        texts = [np.frombuffer(w, "<u4").tolist() for w in right["words"]]
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                x = up
+            return x
         found = []
-        for i, (a, ca, na, ba) in enumerate(zip(left["id"], left["c"], left["n"], left["bins"])):
+        for a, ca, na, ba, sa, wa in zip(left["id"], left["c"], left["n"], left["bins"],
+                                         left["sketches"], left["words"]):
             limit = np.floor((1.0 - SIMILARITY) * np.maximum(n, na) + 1e-9)
             at = np.flatnonzero((c != ca) & (np.abs(n - na) <= limit)
                                 & ((ids > a) | (key[1] != key[2])))
-            if len(at):
-                more = np.maximum(ba - bins[at], 0).sum(axis=1)
-                at = at[np.maximum(more, more - na + n[at]) <= limit[at]]
-                found.append(np.stack([np.maximum(ids[at], a), np.minimum(ids[at], a)], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"])
+            shared = sketches[at] == sa
+            at = at[sa[shared.argmax(axis=1)] == key[0]]
+            more = np.maximum(ba - bins[at], 0).sum(axis=1)
+            at = at[np.maximum(more, more - na + n[at]) <= limit[at]]
+            words_a = np.frombuffer(wa, "<u4").tolist() if len(at) else []
+            for i in at:
+                x, y = root(ca), root(c[i])
+                if x != y and within_distance(words_a, texts[i], int(limit[i])):
+                    parent[max(x, y)] = min(x, y)
+                    found.append((a, ids[i]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
     blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = (rows.withColumn("blocks", blocks)
+    dealt = (rows.join(words.select("id", "words", "sketches"), "id")
+             .withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-             .select("sketch", "id", "c", "n", "bins", "block", other)
+             .select("sketch", "id", "c", "n", "bins", "words", "sketches", "block", other)
              .withColumn("low", F.least("block", "other"))
              .withColumn("high", F.greatest("block", "other")))
-    return dealt.groupBy("sketch", "low", "high").applyInPandas(run, "a long, b long").distinct()
+    return dealt.groupBy("sketch", "low", "high").applyInPandas(run, "a long, b long")
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
