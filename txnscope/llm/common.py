@@ -18,7 +18,19 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 FOLDS = 5
 
 
+#: Rows that one Arrow batch hands to Python: texts are long, and a worker holds a few
+#: batches at a time.
+BATCH_ROWS = 2000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +41,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder once and read it back."""
+    bounded_batches(df.sparkSession)
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -57,6 +70,34 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[p
     return df.mapInPandas(fn, schema)
 
 
+# --- state of Python workers ----------------------------------------------------------------
+
+def _kept() -> dict:
+    import sys
+    import types
+    return sys.modules.setdefault("_task_state", types.ModuleType("_task_state")).__dict__
+
+
+def task_state(name: str, make):
+    """State that the tasks of one Python worker share (a worker serves many tasks)."""
+    kept = _kept()
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
+def release_task_state() -> None:
+    """Forget what earlier steps left in this worker, and hand free memory back."""
+    import gc
+
+    import pyarrow as pa
+    kept = _kept()
+    for name in [k for k in kept if not k.startswith("__")]:
+        del kept[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 # --- files written and read inside tasks -------------------------------------------------
 
 def open_fs(uri: str):

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, written
+from .common import read_table, release_task_state, written
 
 K = 5
 SKETCHES = 16
@@ -62,7 +62,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: str) -> int:
         import xxhash
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -127,6 +127,7 @@ def text_key(text) -> F.Column:
 def sketched(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, sketches) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_task_state()
         known = _WordHashes()
         for b in batches:
             yield pd.DataFrame({

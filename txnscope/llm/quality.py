@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample_ids, fold_of, read_table
+from .common import bounded_sample_ids, fold_of, read_table, release_task_state
 
 MOST_POSITIVES = 4000
 MOST_UNLABELLED = 8000
@@ -168,6 +168,7 @@ def keep_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) ->
     renamed = docs.toDF(*[f"c{i}" for i in range(len(columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_task_state()
         for b in batches:
             x = np.array([ratios(t) for t in b.column(at).to_pylist()]).reshape(-1, len(FEATURES))
             yield b.filter(pa.array(model.score(x) >= threshold))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (create_file, crc32_u32, open_file, pack_u16, read_table, shared_folder,
-                     task_file, unpack_u16, written)
+                     task_file, task_state, unpack_u16, written)
 
 VOCABULARY = 1 << 16
 PROB_BITS = 20
@@ -131,16 +131,6 @@ class WordEncoder:
         return ids, stop[split.offsets.to_numpy() - split.offsets[0].as_py()]
 
 
-def task_state(name: str, make):
-    """State that the tasks of one Python worker share (a worker serves many tasks)."""
-    import sys
-    import types
-    kept = sys.modules.setdefault("_task_state", types.ModuleType("_task_state")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
-
-
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, ids): every whole text, the end id appended, ids packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
