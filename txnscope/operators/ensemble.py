@@ -16,6 +16,7 @@ training core point within eps; 1.0 if that cluster is an anomaly cluster
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -52,6 +53,8 @@ class FraudModel:
     feature_stats: feat.FeatureStats = field(default=None)
     medians: DataFrame = field(default=None)
     iso_range: DataFrame = field(default=None)
+    # wall seconds of each fit (the three models run side by side)
+    seconds: dict = field(default_factory=dict)
 
     def features(self, t: DataFrame, stats="batch") -> DataFrame:
         """Scaled model features. ``stats="batch"`` recomputes the amount
@@ -103,6 +106,14 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     """
     spark = t.sparkSession
     checkpoint_dir(spark)
+    seconds: dict[str, float] = {}
+
+    def timed(name, fn, *args, **kwargs):
+        began = time.perf_counter()
+        out = fn(*args, **kwargs)
+        seconds[name] = round(time.perf_counter() - began, 3)
+        return out
+    began = time.perf_counter()
     t = t.checkpoint(eager=True)          # statistics, encoders and models all read it
     amount = feat.amount_stats(t).first()
     fstats = feat.FeatureStats(amount["_amt_mean"], amount["_amt_std"], amount["_amt_p95"])
@@ -112,6 +123,7 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
     x = feat.impute_median(base, FEATURES, medians)
     scaler = feat.fit_scaler(x, FEATURES).checkpoint(eager=True)
     xs = feat.standard_scale(x, FEATURES, scaler).checkpoint(eager=True)
+    seconds["features"] = round(time.perf_counter() - began, 3)
     # the three models are independent: submit them as concurrent Spark jobs
     # (driver threads), so one model's small stages do not leave cores idle
     def fit_forest():
@@ -128,22 +140,23 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
         return dbm, db.anomaly_clusters(rates).checkpoint(eager=True)
 
     with ThreadPoolExecutor(max_workers=3) as pool:
-        f_iso = pool.submit(iforest.fit_isolation_forest, xs, FEATURES, KEY, n_trees=n_trees)
-        f_rf = pool.submit(fit_forest)
-        f_db = pool.submit(fit_clusters)
+        f_iso = pool.submit(timed, "isolation_forest", iforest.fit_isolation_forest, xs, FEATURES,
+                            KEY, n_trees=n_trees)
+        f_rf = pool.submit(timed, "random_forest", fit_forest)
+        f_db = pool.submit(timed, "dbscan", fit_clusters)
         iso = f_iso.result()
         rf, report, auc = f_rf.result()
         dbm, anomalies = f_db.result()
     iso_range = spark.createDataFrame(
         [(iso.train_min - iso.offset, iso.train_max - iso.offset)], "_imin DOUBLE, _imax DOUBLE")
     if graph is None:
-        edges = g.bank_edges(t).checkpoint(eager=True)
-        table = g.centrality_table(edges)
+        edges = timed("bank_edges", lambda: g.bank_edges(t).checkpoint(eager=True))
+        table = timed("centrality", lambda: g.centrality_table(edges).checkpoint(eager=True))
     else:
         edges, table = graph
     suspicious = g.select_suspicious(table, **(graph_floors or {})).checkpoint(eager=True)
     return FraudModel(enc, scaler, iso, rf, dbm, anomalies, edges, suspicious, report, auc,
-                      fstats, medians, iso_range)
+                      fstats, medians, iso_range, seconds)
 
 
 def top_risky(scores: DataFrame, k: int = 10) -> DataFrame:

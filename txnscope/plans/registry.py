@@ -13,7 +13,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..sources import adapters
 from ..sources.tables import table_path
@@ -38,13 +37,17 @@ _WAREHOUSE: dict = {}
 
 
 def table_version(spark: SparkSession, sf_dir: str) -> tuple:
-    """Number and fingerprint of the source tables' files (path, length, time), from the
-    file listing alone: artefacts built from other files are not used again."""
-    paths = [table_path(sf_dir, t) for t in SOURCE_TABLES]
-    row = (spark.read.format("binaryFile").load(paths)
-           .agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime")))
-           .first())
-    return tuple(row)
+    """Bytes, number of files and time of each source table, asked of the file system
+    that Spark reads it from: artefacts built from other files are not used again."""
+    conf, paths = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    out = []
+    for t in SOURCE_TABLES:
+        path = paths.Path(table_path(sf_dir, t))
+        fs = path.getFileSystem(conf)
+        summary = fs.getContentSummary(path)
+        out += [summary.getLength(), summary.getFileCount(),
+                fs.getFileStatus(path).getModificationTime()]
+    return tuple(out)
 
 
 def artefact_key(spark: SparkSession, sf_dir: str) -> tuple:
