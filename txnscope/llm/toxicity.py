@@ -235,11 +235,11 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
             .orderBy(F.desc(evidence), "stem").limit(MOST_ENTRIES).collect())
     found = {r.stem: r for r in rows}
     lexicon, taken = Lexicon(), set()
-    for stem in sorted(found, key=len):
-        if any(stem[:k] in taken for k in range(SHORTEST_STEM, len(stem))):
+    # the best of nested stems: neither its beginnings nor its endings are entries too
+    for stem, r in found.items():
+        if any(stem.startswith(t) or t.startswith(stem) for t in taken):
             continue
         taken.add(stem)
-        r = found[stem]
         # the longest entry with the same documents: a whole word stays a whole word
         longest = max((s for s in found if s.startswith(stem)
                        and (found[s].t, found[s].n) == (r.t, r.n)), key=len)
