@@ -10,8 +10,9 @@ allows, is at most (1 - 0.8) of the longer text. Classes are connected component
 Exact copies are one text throughout, so a group of copies costs one text. A bucket of
 colliding texts never emits all its pairs:
 
-1. every text meets the smallest text of each of its buckets, and in a few turns a
-   drawn text of the buckets that are not one component yet; links join components;
+1. every text meets the smallest text of each of its buckets (and, if asked for, in a
+   few turns a drawn text of the buckets that are not one component yet); links join
+   components;
 2. the pairs of a bucket that are still in different components all meet, in blocks,
    under two lossless conditions: lengths, and a histogram of word hashes whose distance
    is at most the edit distance.
@@ -47,9 +48,10 @@ BINS = 256
 NARROW = 16
 #: Texts of a contested bucket that one task compares with as many others.
 BLOCK_ROWS = 256
-#: Turns in which contested buckets meet a drawn text before all open pairs are tested;
-#: they change the work, not the classes.
-CENTER_TURNS = 3
+#: Turns in which contested buckets meet a drawn text before all open pairs are tested.
+#: They change the work, not the classes: a turn costs a round of components, and pays
+#: only where buckets hold many components that one text joins.
+CENTER_TURNS = 0
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = (np.random.default_rng(10).integers(1, 1 << 62, SKETCHES, np.uint64)
                 * np.uint64(2) + np.uint64(1))
