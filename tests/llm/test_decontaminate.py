@@ -75,6 +75,29 @@ def test_fingerprints_within_the_radius_share_a_block():
                    for k in range(D.BLOCKS))
 
 
+def test_edited_passages_just_above_the_bound_are_found(spark):
+    """Items with words substituted until their similarity is 0.80 to 0.85."""
+    import random
+    r, items, docs, want = random.Random(11), [], [], set()
+    for k in range(150):
+        w = prose(1000 + k, 120).split()
+        whole, edited, last = shingles(w), list(w), None
+        for at in r.sample(range(len(w)), len(w)):
+            trial = edited[:at] + [f"x{at}"] + edited[at + 1:]
+            similar = sum((shingles(trial) & whole).values()) / sum(whole.values())
+            if similar >= D.SIMILARITY:
+                edited, last = trial, similar
+        if last < 0.85:
+            items.append((k, " ".join(w)))
+            docs.append((k, f"{prose(5000 + k, 40)} {' '.join(edited)} {prose(9000 + k, 40)}",
+                         "en", "s", 0))
+            want.add((k, k))
+    got = D.contaminated(spark.createDataFrame(docs, SCHEMA).repartition(8),
+                         spark.createDataFrame(items, BENCHMARK)).select("doc_id", "item_id")
+    found = {tuple(x) for x in got.collect()}
+    assert len(want) >= 130 and len(want - found) <= 1
+
+
 def test_odd_rows(spark, odd, empty):  # noqa: F811
     item = odd.where("doc_id = 1").first().text
     bench = spark.createDataFrame([(1, item), (2, None), (3, "")], BENCHMARK)
