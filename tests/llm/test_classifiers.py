@@ -1,4 +1,6 @@
 """Toxicity grammar and positive-unlabelled quality: held-out accuracy and cases."""
+import zlib
+
 import numpy as np
 import pytest
 
@@ -46,6 +48,20 @@ def test_clauses_are_found_once():
     assert list(T.clauses(text, triggers)) == [" you grub, you grub", "a grub"]
 
 
+def test_only_real_copies_count_once(spark):
+    common = min((f"q{k}" for k in range(5000)), key=lambda w: zlib.crc32(w.encode()))
+    long = prose(7, 400)
+    texts = [f"{common} {prose(100 + k, 30)}" for k in range(40)]      # share their smallest hash
+    texts += [texts[0], texts[0].upper(), long, f"{long} extra", None, ""]
+    rows = [(k, t, k % 2) for k, t in enumerate(texts[:40])]
+    rows += [(40 + k, t, 0) for k, t in enumerate(texts[40:])] + [(99, texts[0], 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sample = T.distinct_words(frame).join(frame.select("doc_id", "toxic"), "doc_id")
+    kept = {r.doc_id for r in T.without_copies(sample).collect()}
+    # the other label's copy stays, too
+    assert kept == set(range(40)) | {42, 44, 99}
+
+
 def test_lexicon_ignores_chance(spark):
     rows = [(1, ["villain", f"w{k}"]) for k in range(40)] + [(0, ["plain", f"v{k}"])
                                                              for k in range(400)]

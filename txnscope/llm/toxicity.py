@@ -9,9 +9,10 @@ clauses, not of isolated words.
 
 The lexicon's fixed words are few; its weighted entries (words, and stems that take any
 ending) are learned from a bounded sample of labelled training documents: an entry must
-be tied to the toxic label beyond chance among all entries tried. Copies in that sample
-count once. Scoring is one pass over whole texts without a shuffle: one compiled
-expression finds the clauses that hold an entry, and only those are parsed.
+be tied to the toxic label beyond chance among all entries tried. Copies and near copies
+in that sample (a verified Jaccard similarity of their words of 0.8) count once. Scoring is one pass
+over whole texts without a shuffle: one compiled expression finds the clauses that hold
+an entry, and only those are parsed.
 
 Defined cases: null and empty texts have no match and get the model's base score;
 repeated rows are scored each; null labels and labels of unknown documents are ignored;
@@ -36,6 +37,10 @@ MOST_ENTRIES = 2000
 SHORTEST_STEM = 4
 HELD_OUT_FOLD = 0
 THRESHOLD = 0.5
+COPY_SIMILARITY = 0.8            # of the word sets of near copies
+BANDS, BAND_ROWS = 16, 4         # 0.9998 of the pairs at that similarity share a band
+_MULTIPLIERS = (np.random.default_rng(5).integers(1, 1 << 62, BANDS * BAND_ROWS, np.uint64)
+                * np.uint64(2) + np.uint64(1))
 
 # fixed word lists of the grammar
 TARGETS = ("you your yours u ur he him she her they them their people everyone "
@@ -196,17 +201,40 @@ class Grammar:
 
 
 def distinct_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, sketch, words): a document's distinct words and a one-value min-wise
-    sketch by which copies and near copies of a sample count once."""
+    """(doc_id, words, bands): a document's distinct words, and codes of the bands of its
+    min-wise sketch, by which near copies meet."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zlib
+
+        def bands(words: list[str]) -> list[int]:
+            h = np.array([zlib.crc32(w.encode()) for w in words], np.uint64)
+            if not len(h):
+                return [0]
+            least = ((h[:, None] + np.uint64(1)) * _MULTIPLIERS >> np.uint64(20)).min(axis=0)
+            return [hash(tuple(x)) for x in least.reshape(BANDS, -1).tolist()]
         for b in batches:
             words = [sorted(set(WORD.findall((t or "").lower()))) for t in b["text"]]
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"].astype("Int64"), "words": words,
-                "sketch": [min((zlib.crc32(w.encode()) for w in ws), default=-1) for ws in words]})
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "words": words,
+                                "bands": [bands(ws) for ws in words]})
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, words array<string>, sketch long")
+        run, "doc_id long, words array<string>, bands array<long>")
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """The rows of (doc_id, toxic, words, bands) that are no near copy of a row of the same
+    label with a smaller id. Every row is held against the smallest id of each of its
+    bands only, so a group of copies makes no pairs."""
+    key = ["toxic", "band", "code"]
+    banded = sample.select("doc_id", "toxic", F.posexplode("bands").alias("band", "code"))
+    first = banded.groupBy(*key).agg(F.min("doc_id").alias("first"))
+    met = (banded.join(first, key).where("first < doc_id")
+           .select("doc_id", "toxic", "first").distinct())
+    shared, either = F.array_intersect("words", "others"), F.array_union("words", "others")
+    copies = (met.join(sample.select("doc_id", "toxic", "words"), ["doc_id", "toxic"])
+              .join(sample.select(F.col("doc_id").alias("first"), "toxic",
+                                  F.col("words").alias("others")), ["first", "toxic"])
+              .where(F.size(shared) >= COPY_SIMILARITY * F.size(either)))
+    return sample.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
@@ -259,8 +287,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Gram
         return Grammar(Lexicon())
     chosen = usable.where(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"])
     texts = docs.where(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"])
-    sample = written(distinct_words(texts).join(chosen, "doc_id")
-                     .dropDuplicates(["sketch", "toxic"]), "toxicity-sample")
+    labelled = written(distinct_words(texts).join(chosen, "doc_id"), "toxicity-labelled")
+    sample = written(without_copies(labelled), "toxicity-sample")
     grammar = Grammar(learn_lexicon(sample))
     label = {r.doc_id: r.toxic for r in sample.select("doc_id", "toxic").collect()}
     seen = parsed(docs.where(F.col("doc_id").isin(sorted(label))), grammar).collect()
