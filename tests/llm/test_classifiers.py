@@ -48,6 +48,14 @@ def test_clauses_are_found_once():
     assert list(T.clauses(text, triggers)) == [" you grub, you grub", "a grub"]
 
 
+def test_clauses_have_no_longest_length():
+    lexicon = T.Lexicon(words={"grub": 1.0})
+    text = "fine. she reported " + "then " * 300 + "grub"
+    assert list(T.clauses(text, lexicon.triggers())) == [text[5:]]
+    x = dict(zip(T.FEATURES, T.features(text, lexicon, lexicon.triggers())))
+    assert x["directed_reported"] > 0 and x["insult_plain"] == 0
+
+
 def test_only_real_copies_count_once(spark):
     common = min((f"q{k}" for k in range(5000)), key=lambda w: zlib.crc32(w.encode()))
     long = prose(7, 400)

@@ -51,7 +51,8 @@ REPORTS = ("said says say wrote writes claimed claims called calls reported quot
 THREATS = ("kill hurt destroy murder shoot stab beat punch burn hang strangle "
            "töten umbringen tuer frapper matar golpear")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-CLAUSE_END = re.compile(r"[.!?;:\n]")
+CLAUSE_ENDS = ".!?;:\n"
+CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 
 TARGET, NEGATION, REPORT, THREAT, INSULT, OTHER = range(6)
 KINDS = ["insult", "directed", "threat", "violent"]
@@ -140,10 +141,8 @@ def clauses(text: str, triggers: re.Pattern) -> Iterator[str]:
     for hit in triggers.finditer(text):
         if hit.start() < end:
             continue
-        begin = end
-        for stop in CLAUSE_END.finditer(text, max(end, hit.start() - 400), hit.start()):
-            begin = stop.end()
-        begin = max(begin, hit.start() - 400)
+        # the stretches searched do not overlap, so this stays linear
+        begin = max(end, *(text.rfind(x, end, hit.start()) + 1 for x in CLAUSE_ENDS))
         found = CLAUSE_END.search(text, hit.end())
         end = found.start() if found else len(text)
         yield text[begin:end]
