@@ -105,7 +105,7 @@ def stitched(blocks: DataFrame) -> DataFrame:
          .withColumn("n_seps", F.size("seps").cast("bigint"))
          .withColumn("start_in", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
          .withColumn("ended_in", F.coalesce(F.sum("n_seps").over(before), F.lit(0)))
-         .withColumn("open_at", F.col("start_in") + F.element_at("seps", -1) + 1)
+         .withColumn("open_at", F.col("start_in") + F.try_element_at("seps", F.lit(-1)) + 1)
          .withColumn("opened_in", F.max(F.when(F.col("n_seps") > 0, F.col("open_at"))).over(before)))
     # one row per group of blocks: its totals, scanned in stream order
     over = Window.orderBy("file", "group").rowsBetween(Window.unboundedPreceding, -1)
@@ -145,7 +145,7 @@ def scan_documents(spark: SparkSession, folder: str, end_id: int,
     total = blocks.agg(
         F.max(F.struct(F.col("start") + F.col("n_tokens"), "file")).alias("m"),
         F.max(F.col("ended") + F.size("seps")).alias("number"),
-        F.max(F.greatest("opened", F.col("start") + F.element_at("seps", -1) + 1)).alias("start"))
+        F.max(F.greatest("opened", F.col("start") + F.try_element_at("seps", F.lit(-1)) + 1)).alias("start"))
     tail = total.select(F.col("m.file").alias("file"), "number", "start",
                         F.col("m.col1").alias("end")).where("end > start")
     return (done.withColumn("terminated", F.lit(True))
