@@ -47,6 +47,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exact_columns(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names (the first of each), whatever other columns,
+    also with names that differ in case only, are there."""
+    apart = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return apart.select(*[F.col(f"c{df.columns.index(name)}").alias(name) for name in names])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, maxent, mixing, order_minhash, quality, rans, separators,
-               toxicity, warc, weighted_sampling)
+from . import (decontaminate, maxent, merkle, mixing, order_minhash, quality, rans,
+               separators, toxicity, warc, weighted_sampling)
+from .oracle_sql import merkle_sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         warc.op8_warc_transactions,
         quality.op9_pu_quality,
         order_minhash.op10_order_minhash,
+        merkle.op13_merkle_manifest,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_merkle_manifest": merkle_sql()}
