@@ -74,3 +74,43 @@ JOIN climb_on c ON c.doc = p.doc
      AND c.level = (SELECT max(level) FROM top_nodes)
 JOIN subroots t ON t.src = p.src
 CROSS JOIN the_root r"""
+
+
+def prefix_trie_sql() -> str:
+    turn = "sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))"
+    return f"""
+WITH
+turns AS (
+  SELECT conv_id, {turn} AS step, length(coalesce(text, ''))::BIGINT AS points,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr({turn}, 1, 32)) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'step': step, 'points': points}} ORDER BY place) AS path
+        FROM turns GROUP BY conv_id),
+cut AS (SELECT *, ({crc32_sql('conv_id::VARCHAR')} % 6)::BIGINT AS h FROM own),
+built AS (
+  SELECT c.conv_id,
+         list_concat(coalesce(b.path[:c.h], []), c.path[c.h + 1:]) AS path
+  FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+members AS (
+  SELECT conv_id, len(path) AS size, d AS depth, path[d].points AS points,
+         list_transform(path[:d], lambda s: s.step) AS steps
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT steps, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * max(points) END AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                         FILTER (size = depth), '')) AS ends_sha256
+  FROM members GROUP BY steps, depth),
+kids AS (SELECT steps[:-2] AS steps, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+  SELECT a.steps, sum(b.saved) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM nodes) b
+  JOIN nodes a ON a.steps = b.steps[:b.up]
+  LEFT JOIN kids k ON k.steps = b.steps
+  GROUP BY a.steps)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN below b ON b.steps = n.steps
+LEFT JOIN kids k ON k.steps = n.steps
+LEFT JOIN nodes p ON n.depth > 0 AND p.steps = n.steps[:-2]"""

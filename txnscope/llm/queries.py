@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, maxent, merkle, mixing, order_minhash, quality, rans,
-               separators, toxicity, warc, weighted_sampling)
-from .oracle_sql import merkle_sql
+from . import (decontaminate, maxent, merkle, mixing, order_minhash, prefix_trie,
+               quality, rans, separators, toxicity, warc, weighted_sampling)
+from .oracle_sql import merkle_sql, prefix_trie_sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,9 +23,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         warc.op8_warc_transactions,
         quality.op9_pu_quality,
         order_minhash.op10_order_minhash,
+        prefix_trie.op11_prefix_trie,
         merkle.op13_merkle_manifest,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_merkle_manifest": merkle_sql()}
+    return {"op11_prefix_trie": prefix_trie_sql(), "op13_merkle_manifest": merkle_sql()}
