@@ -114,3 +114,32 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
 FROM nodes n JOIN below b ON b.steps = n.steps
 LEFT JOIN kids k ON k.steps = n.steps
 LEFT JOIN nodes p ON n.depth > 0 AND p.steps = n.steps[:-2]"""
+
+
+def shingle_join_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (max(a.n) + max(b.n) - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reach r ON r.doc_id = s.doc_id
+GROUP BY s.doc_id, len(s.s)"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (decontaminate, maxent, merkle, mixing, order_minhash, prefix_trie,
-               quality, rans, separators, toxicity, warc, weighted_sampling)
-from .oracle_sql import merkle_sql, prefix_trie_sql
+               quality, rans, separators, shingle_join, toxicity, warc, weighted_sampling)
+from .oracle_sql import merkle_sql, prefix_trie_sql, shingle_join_sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,9 +24,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quality.op9_pu_quality,
         order_minhash.op10_order_minhash,
         prefix_trie.op11_prefix_trie,
+        shingle_join.op12_shingle_join,
         merkle.op13_merkle_manifest,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_prefix_trie": prefix_trie_sql(), "op13_merkle_manifest": merkle_sql()}
+    return {"op11_prefix_trie": prefix_trie_sql(),
+            "op12_shingle_join": shingle_join_sql(), "op13_merkle_manifest": merkle_sql()}
