@@ -83,7 +83,11 @@ def _brute_dbscan(x, eps, min_samples):
     return core, label, border
 
 
-def test_dbscan_matches_brute_force(spark):
+@pytest.mark.parametrize("max_tile, slice_", [(None, None), (20, 7), (1, 40)])
+def test_dbscan_matches_brute_force(spark, monkeypatch, max_tile, slice_):
+    if slice_:
+        monkeypatch.setattr(dbscan, "SLICE", slice_)
+        monkeypatch.setattr(dbscan, "CHUNK", 50)
     rng = np.random.default_rng(11)
     blobs = [rng.normal(loc=c, scale=0.25, size=(60, 4)) for c in ((0, 0, 0, 0), (2, 2, 0, 1))]
     x = np.vstack(blobs + [rng.uniform(-3, 5, size=(40, 4))])
@@ -93,12 +97,15 @@ def test_dbscan_matches_brute_force(spark):
     ids = [f"p{i:04d}" for i in range(len(x))]
     df = spark.createDataFrame([(k, *map(float, r)) for k, r in zip(ids, x)],
                                "transaction_id STRING, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
-    m = dbscan.fit_dbscan(df, ["a", "b", "c", "d"], eps=0.5, min_samples=5, grid_dims=2)
+    m = dbscan.fit_dbscan(df, ["a", "b", "c", "d"], eps=0.5, min_samples=5, max_tile=max_tile)
+    assert bool(m.spec.grid) == bool(max_tile)
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
     got = {r["_id"]: r for r in m.labels.collect()}
     core, label, border = _brute_dbscan(x, 0.5, 5)
     mapping = {}
     for i, k in enumerate(ids):
         assert got[k]["is_core"] == bool(core[i])
+        assert got[k]["n_neighbours"] == int((d2[i] <= 0.25).sum())
         if core[i]:
             mapping.setdefault(label[i], got[k]["cluster"])
             assert mapping[label[i]] == got[k]["cluster"]  # same partition up to relabelling
@@ -151,3 +158,30 @@ def test_ensemble_train_stats_equal_batch_stats_on_training_data(spark):
         assert abs(a[k]["fraud_score"] - b[k]["fraud_score"]) < 1e-9
         assert a[k]["risk_category"] == b[k]["risk_category"]
         assert 0 <= a[k]["fraud_score"] <= 1.0
+
+
+def test_dbscan_assign_takes_the_nearest_core_point(spark):
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(loc=c, scale=0.3, size=(40, 3)) for c in ((0, 0, 0), (3, 3, 3))])
+    df = spark.createDataFrame([(f"p{i:03d}", *map(float, r)) for i, r in enumerate(x)],
+                               "transaction_id STRING, a DOUBLE, b DOUBLE, c DOUBLE")
+    m = dbscan.fit_dbscan(df, ["a", "b", "c"], eps=0.5, min_samples=5, max_tile=15)
+    core = m.core_points.toPandas()
+    y = np.vstack([rng.uniform(-1, 4, size=(60, 3)), x[:5]])
+    new = spark.createDataFrame([(f"q{i:03d}", *map(float, r)) for i, r in enumerate(y)]
+                                + [("q999", None, 1.0, 1.0)], df.schema)
+    got = {r["transaction_id"]: r["cluster"] for r in m.assign(new).collect()}
+    assert got.pop("q999") == -1 and len(got) == len(y)
+    for i, row in enumerate(y):
+        d2 = ((core[["a", "b", "c"]].to_numpy() - row) ** 2).sum(1)
+        want = core["cluster"].iloc[int(d2.argmin())] if d2.min() <= 0.25 else -1
+        assert got[f"q{i:03d}"] == want
+
+
+def test_dbscan_without_core_points_or_rows(spark):
+    df = spark.createDataFrame([("a", 0.0), ("b", 5.0), ("c", None)], "transaction_id STRING, x DOUBLE")
+    m = dbscan.fit_dbscan(df, ["x"], eps=0.5, min_samples=2)
+    assert {(r["_id"], r["cluster"], r["n_neighbours"]) for r in m.labels.collect()} == {
+        ("a", -1, 1), ("b", -1, 1), ("c", -1, 0)}
+    assert m.assign(df).where("cluster <> -1").count() == 0
+    assert dbscan.fit_dbscan(df.limit(0), ["x"]).labels.count() == 0

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -65,3 +66,26 @@ def test_exact_quantiles_match_numpy(spark, values, groups):
             d = got[k, name]
             assert (d.n, d.low, d.high) == (len(own), min(own), max(own))
             assert np.allclose(d.at, np.quantile(own, wanted), atol=1e-9)
+
+
+@pytest.mark.parametrize("few", [3, 5_000])
+def test_quantiles_of_ties_and_extremes(spark, monkeypatch, few):
+    """Brackets that end in ties, hold few values, or must be narrowed or widened."""
+    from txnscope.operators import quantiles
+    monkeypatch.setattr(quantiles, "FEW", few)
+    rng = np.random.default_rng(few)
+    frames = {"ties": np.repeat([0.0, 1.0], 3000), "mixed": np.concatenate(
+        [np.full(2000, 5.0), rng.normal(5, 1e-3, 3000), rng.exponential(1e6, 1000)]),
+        "flat": np.full(6000, -2.5), "one": np.concatenate([[1e9], np.zeros(5999)])}
+    df = spark.createDataFrame([tuple(float(v[i]) for v in frames.values()) for i in range(6000)],
+                               ", ".join(f"{c} DOUBLE" for c in frames)).withColumn(
+        "k", (F.monotonically_increasing_id() % 2).cast("int")).checkpoint()
+    wanted = [0.0, 0.25, 0.5, 0.75, 0.95, 0.9999, 1.0]
+    got = quantiles.exact_quantiles(df, {c: F.col(c) for c in frames}, wanted)
+    for c, v in frames.items():
+        np.testing.assert_allclose(got[None, c].at, np.quantile(v, wanted), rtol=1e-12)
+    rows = df.toPandas()
+    got = quantiles.exact_quantiles(df, {c: F.col(c) for c in frames}, wanted, by="k")
+    for k, g in rows.groupby("k"):
+        for c in frames:
+            np.testing.assert_allclose(got[k, c].at, np.quantile(g[c], wanted), rtol=1e-12)

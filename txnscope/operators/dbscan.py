@@ -1,95 +1,102 @@
-"""DBSCAN as Spark joins (no all-pairs comparison).
-
-1. **Blocking.** A feature whose distinct values are all more than ``eps``
-   apart (flags and coarse codes after scaling) must be EQUAL for two points
-   to be neighbours; such features become equi-join keys.
-2. **Grid.** Up to ``grid_dims`` of the remaining features (widest spread
-   first) are cut into cells of side ``eps``; a neighbour lies in one of the
-   3^m adjacent cells. One side explodes its adjacent cells, the other joins
-   on (block keys, cell): candidate pairs only, then the exact Euclidean test
-   over ALL features.
-3. **Core points** have at least ``min_samples`` neighbours (self included).
-4. **Clusters** are connected components of the core-core neighbour graph.
-   Neighbours share their blocking values, so no component crosses a block:
-   blocks of bounded size are solved in one ``applyInPandas`` pass
-   (union-find), larger ones by distributed min-label propagation with
-   pointer jumping, checkpointed, until no label changes.
-5. **Border points** take the smallest cluster label among their core
-   neighbours; the rest is noise (-1). Clusters are numbered 0.. in the order
-   of their smallest core key.
-
-Every step is a join or an aggregation over candidate pairs; nothing is
-collected except the per-feature distinct-value lists of low-cardinality
-features (at most ``max_discrete`` values each), which decide the blocking.
+"""DBSCAN in tiles, on cells whose points are all neighbours.
+
+1. **Points.** Equal feature vectors are one point with a weight, so a pile of copies
+   costs one point; neighbour counts sum weights.
+2. **Blocks.** A feature whose distinct values all lie more than ``eps`` apart (flags and
+   coarse codes after scaling) must be equal for two points to be neighbours.
+3. **Tiles.** Blocks larger than ``MAX_TILE`` points are cut along further features into
+   tiles of side 2 eps, as many features as it takes; a point is also handed to the
+   tiles within eps of it. A tile that is still larger is dealt in slices, and a task
+   holds two slices: no task grows with the data.
+4. **Cells.** Inside a task the points fall into cells of side eps / sqrt(d), so the
+   points of a cell are all neighbours. Cells are compared by their boxes: two cells
+   are far apart, whole neighbours (the weight of one counts for all points of the
+   other), or, only if neither is certain, tested point by point.
+5. **Clusters.** A second pass over the tiles tests core cells against core cells, one
+   existence test per neighbouring pair, joins them inside the task, and hands out one
+   link per cell to its local root. So what is written grows with the points, not with
+   the pairs; components of those links are the clusters.
+6. **Border points** take the smallest cluster among their core neighbours; the rest is
+   noise (-1). Clusters are numbered 0.. in the order of their smallest core key.
+
+Points with a missing feature have no neighbour and are noise.
 """
 
 from __future__ import annotations
 
-import itertools
+import math
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import checkpoint_dir
-from .ranking import global_row_number
+from .common import bounded_side
+from .ranking import global_running_sum
+
+PLAN_SAMPLE_ROWS = 1_000_000
+#: Points of a tile above which it is cut further, and of a slice.
+MAX_TILE = 20_000
+SLICE = 3_000
+#: Distances computed at once.
+CHUNK = 2_000_000
 
 
 @dataclass
-class BlockingSpec:
+class TileSpec:
     features: list
     block: list
     grid: list
     eps: float
 
-    def cells(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"_cell_{c}": F.floor(F.col(c) / self.eps) for c in self.grid})
-
-    def neighbour_cells(self, df: DataFrame, half: bool = False) -> DataFrame:
-        """Explode each point to its 3^m adjacent cells, or with ``half`` to its
-        own cell and the (3^m - 1) / 2 lexicographically positive neighbours
-        (each unordered pair of adjacent cells is then met once). ``_own``
-        marks the point's own cell."""
-        if not self.grid:
-            return df.withColumn("_own", F.lit(True))
-        zero = (0,) * len(self.grid)
-        offs = [o for o in itertools.product((-1, 0, 1), repeat=len(self.grid))
-                if not half or o >= zero]
-        arr = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offs])
-        out = df.withColumn("_off", F.explode(arr))
-        own = F.lit(True)
-        for i in range(len(self.grid)):
-            own = own & (F.col("_off")[i] == 0)
-        return out.withColumns({f"_cell_{c}": F.col(f"_cell_{c}") + F.col("_off")[i]
-                                for i, c in enumerate(self.grid)} | {"_own": own}).drop("_off")
-
-    def join_keys(self) -> list:
-        return list(self.block) + [f"_cell_{c}" for c in self.grid]
-
-
-PLAN_SAMPLE_ROWS = 1_000_000
-
-
-def plan_blocking(df: DataFrame, features, eps: float, grid_dims: int = 3,
-                  max_discrete: int = 64) -> BlockingSpec:
-    """Choose equality-blocking features and grid features from the data.
-
-    Blocking: one pass computes an approximate distinct count per feature
-    (HLL++ is exact in its sparse range, far above ``max_discrete``); the
-    distinct values of the low-cardinality features (at most ``max_discrete``
-    each) are collected to find their smallest gap.
-
-    Grid: greedy. Each round adds the feature that minimises the expected
-    number of candidate pairs, sum over (block, cells) groups of count^2,
-    measured on a hash sample of at most ``PLAN_SAMPLE_ROWS`` rows with one
-    exploded aggregation per round. This accounts for correlated features
-    (a second amount feature adds nothing once one is in the grid). The
-    choice only affects speed, never the result.
+    @property
+    def free(self) -> list:
+        """The features in which neighbours may differ."""
+        return [c for c in self.features if c not in self.block]
+
+    @property
+    def side(self) -> float:
+        return 2.0 * self.eps
+
+    def tiled(self, points: DataFrame, halo: bool) -> DataFrame:
+        """``points`` with ``_tile`` and ``_own``; with ``halo`` also a row for each other
+        tile within eps (a little more, so that rounding loses none)."""
+        out = points.withColumn("_own", F.lit(True))
+        reach, parts = self.eps * (1 + 1e-9), [F.col(c).cast("string") for c in self.block]
+        for i, c in enumerate(self.grid):
+            at = F.floor(F.col(c) / self.side)
+            if halo:
+                places = F.array(*[F.struct(F.lit(own).alias("own"), place.alias("at"))
+                                   for own, place in (
+                    (True, at), (False, F.when(F.floor((F.col(c) - reach) / self.side) < at, at - 1)),
+                    (False, F.when(F.floor((F.col(c) + reach) / self.side) > at, at + 1)))])
+                out = (out.withColumn("_p", F.explode(F.filter(places, lambda p: p["at"].isNotNull())))
+                       .withColumns({"_own": F.col("_own") & F.col("_p.own"), f"_t{i}": F.col("_p.at")})
+                       .drop("_p"))
+            else:
+                out = out.withColumn(f"_t{i}", at)
+            parts.append(F.col(f"_t{i}").cast("string"))
+        tile = F.concat_ws(",", *parts) if parts else F.lit("")
+        return out.withColumn("_tile", tile).drop(*[f"_t{i}" for i in range(len(self.grid))])
+
+
+def plan_tiles(df: DataFrame, features, eps: float, grid_dims: int | None = None,
+               max_discrete: int = 64, max_tile: int | None = None) -> TileSpec:
+    """Choose blocking features and the features that cut blocks into tiles.
+
+    Blocking: one pass computes an approximate distinct count per feature (exact in its
+    sparse range, far above ``max_discrete``); the values of the features with few of
+    them are collected to find their smallest gap. Tiles: on a hash sample of at most
+    ``PLAN_SAMPLE_ROWS`` points, features are added, each time the one that leaves the
+    fewest pairs in common tiles, until the largest tile is small enough. The choice only
+    affects speed, never the result.
     """
-    feats = list(features)
+    feats, max_tile = list(features), max_tile or MAX_TILE
     one = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.approx_count_distinct(c).alias(f"n_{i}") for i, c in enumerate(feats)]).first()
     low = [c for i, c in enumerate(feats) if (one[f"n_{i}"] or 0) <= max_discrete]
@@ -102,64 +109,249 @@ def plan_blocking(df: DataFrame, features, eps: float, grid_dims: int = 3,
             gaps = [b - a for a, b in zip(v, v[1:])]
             if not gaps or min(gaps) > eps:
                 block.append(c)
-    rest = [c for c in feats if c not in block]
+    spec = TileSpec(feats, block, [], eps)
     frac = min(1.0, PLAN_SAMPLE_ROWS / max(one["_n"], 1))
     sample = df if frac >= 1.0 else df.where(
         (F.xxhash64("_id").bitwiseAND(F.lit(0xFFFFFF)) / float(0x1000000)) < frac)
-    chosen: list = []
-    for _ in range(min(grid_dims, len(rest))):
-        cand = [c for c in rest if c not in chosen]
-        base = [F.col(c) for c in block] + [F.floor(F.col(c) / eps) for c in chosen]
-        arr = F.array(*[F.struct(F.lit(i).alias("f"), F.floor(F.col(c) / eps).alias("cell"))
-                        for i, c in enumerate(cand)])
-        per = (sample.select(F.hash(*base).alias("_g") if base else F.lit(0).alias("_g"),
-                             F.inline(arr))
-               .groupBy("f", "_g", "cell").agg(F.count(F.lit(1)).alias("m"))
-               .groupBy("f").agg(F.sum(F.col("m") * F.col("m")).alias("pairs"))
-               .orderBy("pairs", "f").first())
-        chosen.append(cand[per["f"]])
-    return BlockingSpec(feats, block, chosen, eps)
-
-
-def _block_hash(spec: BlockingSpec) -> F.Column:
-    return (F.xxhash64(*[F.col(c) for c in spec.block]) if spec.block
-            else F.lit(0).cast("bigint")).alias("_blk")
-
-
-def neighbour_pairs(points: DataFrame, spec: BlockingSpec, other: DataFrame | None = None) -> DataFrame:
-    """(a, b, _blk, d2) for every b within eps of a.
-
-    Self-join (``other`` is None): every ordered pair, self pairs included.
-    Each unordered pair of candidate points is tested once -- a point meets
-    its own cell (ids a < b) and half of its neighbour cells -- and the hits
-    are mirrored, which halves the candidate work of the full 3^m explode.
-    With ``other``: pairs (a in points, b in other), all neighbour cells.
-    ``points``/``other`` carry ``_id`` and the feature columns.
-    """
-    half = other is None
-    a = spec.neighbour_cells(spec.cells(points), half=half)
-    b = spec.cells(other if other is not None else points)
-    a = a.select(F.col("_id").alias("a"), *spec.join_keys(), _block_hash(spec), "_own",
-                 *[F.col(c).alias(f"_a_{c}") for c in spec.features])
-    b = b.select(F.col("_id").alias("b"), *spec.join_keys(),
-                 *[F.col(c).alias(f"_b_{c}") for c in spec.features])
-    d2 = sum(((F.col(f"_a_{c}") - F.col(f"_b_{c}")) ** 2 for c in spec.features), F.lit(0.0))
-    # both sides grow with the data: sort-merge (spillable, AQE splits skewed
-    # cells) rather than a broadcast chosen from a compressed-size estimate
-    hits = a.join(b.hint("merge"), spec.join_keys())
-    if not half:
-        return (hits.select("a", "b", "_blk", d2.alias("d2"))
-                .where(F.col("d2") <= spec.eps * spec.eps))
-    once = (hits.where(~F.col("_own") | (F.col("a") < F.col("b")))
-            .select("a", "b", "_blk", d2.alias("d2"))
-            .where(F.col("d2") <= spec.eps * spec.eps))
-    # both directions from the same rows (one join, no recomputation)
-    both = once.select(F.inline(F.array(
-        F.struct(F.col("a").alias("a"), F.col("b").alias("b"), "_blk", "d2"),
-        F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "_blk", "d2"))))
-    selfs = points.select(F.col("_id").alias("a"), F.col("_id").alias("b"), _block_hash(spec),
-                          F.lit(0.0).alias("d2"))
-    return both.unionByName(selfs)
+
+    def most(grid):
+        tiles = TileSpec(feats, block, grid, eps).tiled(sample, False)
+        return (tiles.groupBy("_tile").count().agg(F.max("count")).first()[0] or 0) / frac
+    rest = spec.free
+    while rest and len(spec.grid) < (len(spec.free) if grid_dims is None else grid_dims):
+        if most(spec.grid) <= max_tile:
+            break
+        base = [F.col(c) for c in block] + [F.floor(F.col(c) / spec.side) for c in spec.grid]
+        arr = F.array(*[F.struct(F.lit(i).alias("f"), F.floor(F.col(c) / spec.side).alias("cell"))
+                        for i, c in enumerate(rest)])
+        best = (sample.select(F.hash(*base).alias("_g") if base else F.lit(0).alias("_g"),
+                              F.inline(arr))
+                .groupBy("f", "_g", "cell").agg(F.count(F.lit(1)).alias("m"))
+                .groupBy("f").agg(F.sum(F.col("m") * F.col("m")).alias("pairs"))
+                .orderBy("pairs", "f").first())
+        spec.grid.append(rest.pop(best["f"]))
+    return spec
+
+
+# --- inside a task: cells -----------------------------------------------------------------
+
+def separating(x: np.ndarray, eps: float) -> np.ndarray:
+    """Features in the order of the share of rows they leave within eps of a row."""
+    left = []
+    for v in np.sort(x, axis=0).T:
+        left.append((np.searchsorted(v, v + eps) - np.searchsorted(v, v - eps)).sum())
+    return np.argsort(left, kind="stable") if len(x) else np.arange(x.shape[1])
+
+
+class Cells:
+    """Points (rows of ``x``) grouped into cells of side eps / sqrt(d), with the box and the
+    weight of each cell. Cells are ordered along the feature that separates them best."""
+
+    def __init__(self, x: np.ndarray, eps: float, weight: np.ndarray):
+        self.x, self.weight = x, weight
+        n, d = x.shape
+        at = (np.floor(x * (math.sqrt(d) / eps)).astype(np.int64) if d
+              else np.zeros((n, 1), np.int64))
+        cell = np.unique(at, axis=0, return_inverse=True)[1] if n else np.zeros(0, np.int64)
+        order = np.argsort(cell.ravel(), kind="stable")
+        first = np.flatnonzero(np.diff(cell.ravel()[order], prepend=-1))
+        lo, hi = (f.reduceat(x[order], first, axis=0) if n else x for f in (np.minimum, np.maximum))
+        self.by = separating(lo, eps)
+        rank = np.argsort(lo[:, self.by[0]], kind="stable") if d else np.arange(len(first))
+        size = np.diff(np.append(first, n))
+        self.lo, self.hi, self.size = lo[rank], hi[rank], size[rank]
+        self.points = [order[first[c]:first[c] + size[c]] for c in rank]
+        self.total = np.array([weight[p].sum() for p in self.points], np.int64)
+        self.of = np.empty(n, np.int64)                      # cell of each point
+        for c, p in enumerate(self.points):
+            self.of[p] = c
+
+    def __len__(self):
+        return len(self.size)
+
+
+class LonePoints(Cells):
+    """Every point a cell of its own, in the given order."""
+
+    def __init__(self, x: np.ndarray):
+        ones = np.ones(len(x), np.int64)
+        self.x, self.weight, self.size, self.total = x, ones, ones, ones
+        self.by, self.lo, self.hi = np.arange(x.shape[1]), x, x
+        self.points, self.of = np.arange(len(x))[:, None], np.arange(len(x))
+
+
+def _squares(parts: list[np.ndarray]) -> np.ndarray:
+    """Sum of squares in the order of the features."""
+    out = 0.0
+    for p in parts:
+        out = out + p * p
+    return out
+
+
+def near_cells(left: Cells, right: Cells, eps: float):
+    """(left cell, right cell, whole) of all pairs of cells whose boxes are within eps;
+    ``whole``: so are all their points."""
+    d = left.x.shape[1]
+    if not len(left) or not len(right):
+        return
+    if not d:
+        yield np.zeros(1, np.int64), np.zeros(1, np.int64), np.ones(1, bool)
+        return
+    k, limit = right.by[0], eps * eps
+    reach, loose = eps * (1 + 1e-9), limit * (1 + 1e-9)
+    widest = (right.hi[:, k] - right.lo[:, k]).max()
+
+    def gap(i, j, c):
+        return np.maximum(np.maximum(right.lo[j, c] - left.hi[i, c], left.lo[i, c] - right.hi[j, c]), 0.0)
+    for chosen in np.array_split(np.argsort(left.lo[:, k], kind="stable"),
+                                 max(1, len(left) // 64)):
+        a = np.searchsorted(right.lo[:, k], left.lo[chosen, k].min() - reach - widest)
+        b = np.searchsorted(right.lo[:, k], left.hi[chosen, k].max() + reach, side="right")
+        for start in range(a, b, max(1, CHUNK // len(chosen))):
+            j = np.arange(start, min(b, start + max(1, CHUNK // len(chosen))))
+            # the best features first, on all pairs; the others on those that are left
+            i, j = chosen[:, None], j[None, :]
+            some = sum(gap(i, j, c) ** 2 for c in right.by[:2])
+            at = np.nonzero(some <= loose)
+            some, i, j = some[at], chosen[at[0]], at[1] + start
+            for c in right.by[2:]:
+                some = some + gap(i, j, c) ** 2
+                keep = some <= loose
+                some, i, j = some[keep], i[keep], j[keep]
+            keep = _squares([gap(i, j, c) for c in range(d)]) <= limit
+            i, j = i[keep], j[keep]
+            far = [np.maximum(right.hi[j, c] - left.lo[i, c], left.hi[i, c] - right.lo[j, c])
+                   for c in range(d)]
+            yield i, j, _squares(far) <= limit
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _squares([a[:, i][:, None] - b[:, i][None, :] for i in range(a.shape[1])])
+
+
+def neighbour_weights(left: Cells, right: Cells, eps: float) -> np.ndarray:
+    """For each left point, the weight of the right points within eps."""
+    whole, out = np.zeros(len(left), np.int64), np.zeros(len(left.x), np.int64)
+    for i, j, sure in near_cells(left, right, eps):
+        np.add.at(whole, i[sure], right.total[j[sure]])
+        i, j = i[~sure], j[~sure]                         # these are tested point by point
+        for c in np.unique(i):
+            mine = left.points[c]
+            theirs = np.concatenate([right.points[o] for o in j[i == c]])
+            for part in np.array_split(mine, max(1, len(mine) * len(theirs) // CHUNK)):
+                hit = _distances(left.x[part], right.x[theirs]) <= eps * eps
+                out[part] += hit @ right.weight[theirs]
+    return out + whole[left.of]
+
+
+def _touch(left: Cells, right: Cells, c: int, o: int, eps: float) -> bool:
+    mine, theirs = left.points[c], right.points[o]
+    return any((_distances(left.x[part], right.x[theirs]) <= eps * eps).any()
+               for part in np.array_split(mine, max(1, len(mine) * len(theirs) // CHUNK)))
+
+
+def touching_cells(left: Cells, right: Cells, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of cells with a point each within eps: one existence test per pair."""
+    a, b = [], []
+    for i, j, sure in near_cells(left, right, eps):
+        open_ = [k for k in np.flatnonzero(~sure) if _touch(left, right, i[k], j[k], eps)]
+        keep = np.concatenate([np.flatnonzero(sure), np.array(open_, np.int64)])
+        a.append(i[keep])
+        b.append(j[keep])
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest node connected to each node, by minimum labels and pointer jumping."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+# --- tiles as groups ----------------------------------------------------------------------
+
+def _dealt(left: DataFrame, right: DataFrame | None, spec: TileSpec) -> DataFrame:
+    """Rows per task: ``_tile``, two slices ``_i`` and ``_j``, and which side of the
+    comparison the row is on. Without ``right`` the points are compared with themselves."""
+    if right is None:
+        rows = spec.tiled(left, True).withColumns({"_left": F.col("_own"), "_right": F.lit(True)})
+    else:
+        rows = (spec.tiled(left, False).withColumns({"_left": F.lit(True), "_right": F.lit(False)})
+                .unionByName(spec.tiled(right, True).withColumns(
+                    {"_left": F.lit(False), "_right": F.lit(True)}), allowMissingColumns=True))
+    sizes = rows.groupBy("_tile").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("_s"))
+    sizes = bounded_side(sizes.checkpoint(eager=True))
+    mine = F.pmod(F.xxhash64("_id"), F.col("_s").cast("bigint")).cast("int")
+    k = F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_k")
+    sides = F.array(F.struct(F.col("_a").alias("_i"), F.col("_k").alias("_j"), F.col("_left").alias("_l"),
+                             (F.col("_right") & (F.col("_k") == F.col("_a"))).alias("_r")),
+                    F.struct(F.col("_k").alias("_i"), F.col("_a").alias("_j"), F.lit(False).alias("_l"),
+                             (F.col("_right") & (F.col("_k") != F.col("_a"))).alias("_r")))
+    return (rows.join(sizes, "_tile").withColumn("_a", mine).select("*", k)
+            .withColumn("_side", F.explode(F.filter(sides, lambda s: s["_l"] | s["_r"])))
+            .drop("_left", "_right", "_own", "_s", "_a", "_k", *spec.block)
+            .select("*", "_side.*").drop("_side"))
+
+
+def _compared(left: DataFrame, right: DataFrame | None, spec: TileSpec, fn, schema: str) -> DataFrame:
+    """``fn(left rows, right rows)`` of every task."""
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        return fn(g[g["_l"]], g[g["_r"]])
+    # few bytes but much work: several tasks per core, however small they are
+    spark = left.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+            4 * spark.sparkContext.defaultParallelism)
+    return (_dealt(left, right, spec).repartition(n, "_tile", "_i", "_j")
+            .groupBy("_tile", "_i", "_j").applyInPandas(run, schema))
+
+
+def _cells(rows: pd.DataFrame, spec: TileSpec) -> Cells:
+    weight = rows["_w"].to_numpy(np.int64) if "_w" in rows else np.ones(len(rows), np.int64)
+    return Cells(rows[spec.free].to_numpy(np.float64), spec.eps, weight)
+
+
+def neighbour_counts(points: DataFrame, spec: TileSpec) -> DataFrame:
+    """(_id, _nb): rows within eps of each point, itself included."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        n = neighbour_weights(_cells(left, spec), _cells(right, spec), spec.eps)
+        return pd.DataFrame({"_id": left["_id"].array, "_nb": n})
+    return (_compared(points, None, spec, run, "_id string, _nb long")
+            .groupBy("_id").agg(F.sum("_nb").alias("_nb")))
+
+
+def cell_links(points: DataFrame, spec: TileSpec) -> DataFrame:
+    """(border, a, b) of points with ``_cell`` (the name of their core cell; null: not a
+    core point): core cells with the root of their local component, and non-core points
+    (border) with the local components next to them."""
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right[right["_cell"].notna()]
+        solid = left["_cell"].notna()
+        inner, outer = left[solid], left[~solid]
+        cells = _cells(right, spec)
+        names, code = np.unique(np.concatenate([right["_cell"], inner["_cell"]]).astype(str),
+                                return_inverse=True)
+        right_code = np.array([code[p[0]] for p in cells.points], np.int64)
+        mine = _cells(inner, spec)
+        mine_code = np.array([code[len(right) + p[0]] for p in mine.points], np.int64)
+        i, j = touching_cells(mine, cells, spec.eps)
+        root = local_roots(len(names), mine_code[i], right_code[j])
+        linked = np.flatnonzero(root != np.arange(len(names)))
+        point, j = touching_cells(LonePoints(outer[spec.free].to_numpy(np.float64)), cells, spec.eps)
+        near = np.unique(np.stack([point, root[right_code[j]]]), axis=1)
+        ids = outer["_id"].to_numpy()
+        return pd.DataFrame({
+            "border": np.repeat([False, True], [len(linked), near.shape[1]]),
+            "a": np.concatenate([names[linked].astype(object), ids[near[0]]]),
+            "b": np.concatenate([names[root[linked]], names[near[1]]]).astype(object)})
+    return _compared(points, None, spec, run, "border boolean, a string, b string").distinct()
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: int = 3) -> DataFrame:
@@ -196,75 +388,90 @@ def connected_components(edges: DataFrame, nodes: DataFrame, checkpoint_every: i
             return labels
 
 
+# --- model ----------------------------------------------------------------------------------
+
+def _complete(columns) -> F.Column:
+    """No feature is missing or not a number."""
+    return reduce(and_, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns])
+
+
 @dataclass
 class DbscanModel:
-    spec: BlockingSpec
+    spec: TileSpec
     labels: DataFrame        # (_id, cluster, is_core, n_neighbours) per training row
     core_points: DataFrame   # (_id, features..., cluster) of core points
 
     def assign(self, df: DataFrame, key: str = "transaction_id") -> DataFrame:
         """Cluster of the nearest training core point within eps (else -1)."""
-        feats = [F.col(c).cast("double").alias(c) for c in self.spec.features]
+        spec = self.spec
+        feats = [F.col(c).cast("double").alias(c) for c in spec.features]
         # equal feature vectors are placed once
-        pts = df.groupBy(*feats).agg(F.min(F.col(key).cast("string")).alias("_id"))
-        core = self.core_points.select("_id", *self.spec.features)
-        pairs = neighbour_pairs(pts, self.spec, core)
-        cl = self.core_points.select(F.col("_id").alias("b"), "cluster")
-        best = (pairs.join(cl, "b").groupBy("a")
-                .agg(F.min_by("cluster", F.struct("d2", "b")).alias("cluster")))
-        placed = pts.join(best.withColumnRenamed("a", "_id"), "_id").select(
-            "cluster", *[F.col(c).alias(f"_v_{c}") for c in self.spec.features])
-        same = [F.col(c).cast("double").eqNullSafe(F.col(f"_v_{c}")) for c in self.spec.features]
+        pts = (df.groupBy(*feats).agg(F.min(F.col(key).cast("string")).alias("_id"))
+               .where(_complete(spec.features)))
+
+        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            right = right.sort_values("_id")
+            x, y = left[spec.free].to_numpy(np.float64), right[spec.free].to_numpy(np.float64)
+            at, low = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+            if len(y):
+                for part in np.array_split(np.arange(len(x)), max(1, len(x) * len(y) // CHUNK)):
+                    d2 = _distances(x[part], y) if y.shape[1] else np.zeros((len(part), len(y)))
+                    at[part] = d2.argmin(axis=1)           # of equals the smallest id
+                    low[part] = d2[np.arange(len(part)), at[part]]
+            hit = low <= spec.eps * spec.eps
+            return pd.DataFrame({"_id": left["_id"].to_numpy()[hit], "d2": low[hit],
+                                 "core": right["_id"].to_numpy()[at[hit]],
+                                 "cluster": right["cluster"].to_numpy()[at[hit]].astype("int32")})
+        found = _compared(pts, self.core_points, spec, run,
+                          "_id string, d2 double, core string, cluster int")
+        best = found.groupBy("_id").agg(F.min_by("cluster", F.struct("d2", "core")).alias("cluster"))
+        placed = pts.join(best, "_id").select(
+            "cluster", *[F.col(c).alias(f"_v_{c}") for c in spec.features])
+        same = [F.col(c).cast("double").eqNullSafe(F.col(f"_v_{c}")) for c in spec.features]
         return (df.join(placed, reduce(and_, same), "left")
-                .drop(*[f"_v_{c}" for c in self.spec.features]).fillna({"cluster": -1}))
+                .drop(*[f"_v_{c}" for c in spec.features]).fillna({"cluster": -1}))
 
 
 def fit_dbscan(df: DataFrame, feature_cols, key: str = "transaction_id",
                eps: float = fixed.DBSCAN_EPS, min_samples: int = fixed.DBSCAN_MIN_SAMPLES,
-               grid_dims: int = 3) -> DbscanModel:
-    """DBSCAN over the rows of ``df`` (see module docstring).
-
-    Identical feature vectors are first collapsed into one weighted point
-    (weight = number of rows, id = smallest row id): a pile-up of duplicates,
-    e.g. a third of the table on one vector, then costs one point instead of a
-    quadratic number of pairs. Neighbour counts sum the weights, so the result
-    is exactly that of DBSCAN on the rows.
-    """
+               grid_dims: int | None = None, max_tile: int | None = None) -> DbscanModel:
+    """DBSCAN over the rows of ``df`` (see module docstring): exactly that of the rows."""
     feats = list(feature_cols)
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession)
     rows = df.select(F.col(key).cast("string").alias("_id"),
                      *[F.col(c).cast("double").alias(c) for c in feats])
-    pts = (rows.groupBy(*feats).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w"))
-           .checkpoint(eager=True))
-    spec = plan_blocking(pts, feats, eps, grid_dims)
-    pairs = neighbour_pairs(pts, spec).select("a", "b").checkpoint(eager=True)
-    weights = pts.select(F.col("_id").alias("b"), "_w")
-    counts = pairs.join(weights, "b").groupBy(F.col("a").alias("_id")).agg(
-        F.sum("_w").alias("_nb"))
-    core = counts.where(F.col("_nb") >= min_samples).select(F.col("_id").alias("node"))
-    core = core.checkpoint(eager=True)
-    core_edges = (pairs.where(F.col("a") != F.col("b"))
-                  .join(core.withColumnRenamed("node", "a"), "a")
-                  .join(core.withColumnRenamed("node", "b"), "b")
-                  .select(F.col("a").alias("src"), F.col("b").alias("dst"))
-                  .checkpoint(eager=True))
-    comp = connected_components(core_edges, core)
-    numbered = global_row_number(comp.select("label").distinct(), [F.col("label")], "_cno")
-    core_cl = (comp.join(numbered, "label")
-               .select(F.col("node").alias("_id"), (F.col("_cno") - 1).alias("cluster")))
-    border = (pairs.join(core_cl.withColumnRenamed("_id", "b"), "b")
-              .join(core.withColumnRenamed("node", "a"), "a", "left_anti")
+    pts = (rows.where(_complete(feats)).groupBy(*feats)
+           .agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w")).checkpoint(eager=True))
+    spec = plan_tiles(pts, feats, eps, grid_dims, max_tile=max_tile)
+    counted = pts.join(neighbour_counts(pts, spec), "_id").checkpoint(eager=True)
+    # a core cell is named by its smallest core point
+    is_core = F.col("_nb") >= min_samples
+    at = [F.col(c) for c in spec.block] + [F.floor(F.col(c) * (math.sqrt(len(spec.free)) / eps))
+                                           for c in spec.free]
+    core = counted.where(is_core).withColumn("_at", F.struct(*at))
+    names = core.groupBy("_at").agg(F.min("_id").alias("_cell"))
+    core = core.join(names, "_at").select("_id", "_cell").checkpoint(eager=True)
+    links = cell_links(counted.join(core, "_id", "left"), spec).checkpoint(eager=True)
+    edges = links.where("NOT border").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    edges = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    comp = connected_components(edges, core.select(F.col("_cell").alias("node")).distinct())
+    numbered = global_running_sum(comp.select("label").distinct(), [F.col("label")],
+                                  F.lit(1).cast("bigint"), "_cno")
+    clusters = comp.join(numbered, "label").select(
+        F.col("node").alias("_cell"), (F.col("_cno") - 1).cast("int").alias("cluster"))
+    clusters = clusters.checkpoint(eager=True)
+    core_cl = core.join(clusters, "_cell").select("_id", "cluster")
+    border = (links.where("border").join(clusters, F.col("b") == F.col("_cell"))
               .groupBy(F.col("a").alias("_id")).agg(F.min("cluster").alias("cluster")))
     assigned = core_cl.withColumn("is_core", F.lit(True)).unionByName(
         border.withColumn("is_core", F.lit(False)))
-    vec_labels = (pts.join(assigned, "_id", "left").join(counts, "_id", "left")
-                  .select(*feats, F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"),
-                          F.coalesce("is_core", F.lit(False)).alias("is_core"),
-                          F.coalesce("_nb", F.lit(0)).cast("bigint").alias("n_neighbours")))
-    labels = (rows.join(vec_labels, feats).select("_id", "cluster", "is_core", "n_neighbours")
+    vec_labels = counted.join(assigned, "_id", "left").select(*feats, "cluster", "is_core", "_nb")
+    labels = (rows.join(vec_labels, feats, "left")
+              .select("_id", F.coalesce("cluster", F.lit(-1)).alias("cluster"),
+                      F.coalesce("is_core", F.lit(False)).alias("is_core"),
+                      F.coalesce("_nb", F.lit(0)).cast("bigint").alias("n_neighbours"))
               .checkpoint(eager=True))
-    core_points = pts.join(core_cl, "_id").drop("_w").checkpoint(eager=True)
+    core_points = pts.drop("_w").join(core_cl, "_id").checkpoint(eager=True)
     return DbscanModel(spec, labels, core_points)
 
 

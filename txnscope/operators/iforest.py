@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed
+from ..session import checkpoint_dir
 from .quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
@@ -180,7 +181,9 @@ def fit_isolation_forest(df: DataFrame, feature_cols, key: str = "transaction_id
     model = IsolationForestModel(nodes, cols, psi)
     # one scoring pass over the training rows gives the offset (contamination
     # quantile) and the score range
-    found = exact_quantiles(model.score_samples(data, "_s"), {"s": F.col("_s")}, [contamination])
+    checkpoint_dir(df.sparkSession)
+    scores = model.score_samples(data, "_s").select("_s").checkpoint(eager=True)
+    found = exact_quantiles(scores, {"s": F.col("_s")}, [contamination])
     if found:
         scores = found[None, "s"]
         model.offset, model.train_min, model.train_max = scores.at[0], scores.low, scores.high

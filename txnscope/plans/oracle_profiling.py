@@ -238,6 +238,42 @@ nb AS (SELECT a.transaction_id, COUNT(*) AS n_neighbours FROM z a JOIN z b ON ("
     f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _F) + """) <= 1.0 * 1.0 GROUP BY a.transaction_id)
 SELECT transaction_id, n_neighbours, n_neighbours >= 5 AS is_core FROM nb"""
 
+# Clusters: components of the core points by keyed recursion (a point's row is replaced
+# only by a smaller label), numbered by their smallest key; border points take the
+# smallest cluster next to them. Needs WITH RECURSIVE (see catalog).
+_CLUSTERS = _Z + """,
+z AS (SELECT transaction_id, fraud_flag, """ + ", ".join(f"({c} - mu_{c}) / sd_{c} AS {c}" for c in _F) + """
+      FROM imp JOIN transactions USING (transaction_id), sc),
+near AS MATERIALIZED (SELECT a.transaction_id AS x, b.transaction_id AS y FROM z a JOIN z b ON (""" + " + ".join(
+    f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _F) + """) <= 1.0 * 1.0),
+core AS MATERIALIZED (SELECT x AS id FROM near GROUP BY x HAVING COUNT(*) >= 5),
+core_pairs AS MATERIALIZED (SELECT x, y FROM near WHERE x IN (SELECT id FROM core)
+                            AND y IN (SELECT id FROM core)),
+lab(id, label) USING KEY (id) AS (
+  SELECT id, id FROM core
+  UNION
+  (SELECT p.y, min(l.label) FROM lab l JOIN core_pairs p ON p.x = l.id
+   JOIN recurring.lab AS r ON r.id = p.y
+   GROUP BY p.y, r.label HAVING min(l.label) < r.label)),
+numbered AS (SELECT label, CAST(ROW_NUMBER() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster
+             FROM (SELECT DISTINCT label FROM lab)),
+inner_points AS (SELECT lab.id, cluster FROM lab JOIN numbered USING (label)),
+border AS (SELECT near.x AS id, MIN(cluster) AS cluster FROM near JOIN inner_points i ON i.id = near.y
+           WHERE near.x NOT IN (SELECT id FROM core) GROUP BY near.x),
+clusters AS (
+  SELECT z.transaction_id, z.fraud_flag, COALESCE(i.cluster, b.cluster, -1) AS cluster,
+         i.id IS NOT NULL AS is_core
+  FROM z LEFT JOIN inner_points i ON i.id = z.transaction_id
+  LEFT JOIN border b ON b.id = z.transaction_id),
+rates AS (SELECT cluster, AVG(CAST(fraud_flag AS DOUBLE)) AS fraud_rate, COUNT(*) AS size
+          FROM clusters WHERE cluster <> -1 GROUP BY cluster)"""
+DBSCAN_CLUSTERS = _CLUSTERS + """
+SELECT transaction_id, cluster, is_core FROM clusters"""
+CLUSTER_FRAUD_RATES = _CLUSTERS + """
+SELECT cluster, ROUND(fraud_rate, 9) AS fraud_rate, size FROM rates"""
+ANOMALY_CLUSTERS = _CLUSTERS + """
+SELECT cluster, ROUND(fraud_rate, 9) AS fraud_rate, size FROM rates WHERE fraud_rate > 0.05"""
+
 # Centralities: shortest distances by keyed recursion (a pair's row is replaced
 # only by a shorter distance), shortest-path counts by enumerating the
 # shortest-path DAG (every edge adds positive distance, so it terminates).
