@@ -140,3 +140,55 @@ def test_sql_centrality_oracle_on_multi_path_graph():
     for v in bet:
         assert abs(got[v][1] - round(bet[v], 9)) < 1e-12, v
         assert abs(got[v][2] - round(clo[v], 9)) < 1e-12, v
+
+
+def test_all_pivots_equal_the_exact_centralities(spark):
+    import random
+    r = random.Random(4)
+    triples = [(f"n{a}", f"n{b}", r.randint(1, 4), 0) for a, b in
+               {(r.randrange(14), r.randrange(14)) for _ in range(40)}]
+    edges = _edges(spark, triples)
+    n = g.graph_nodes(edges).count()
+    bet, clo = _brute(triples)
+    for pivots in (n, n + 5):
+        for row in g.centralities(edges, pivots=pivots).collect():
+            assert abs(row["betweenness_centrality"] - bet[row["node"]]) < 1e-12
+            assert abs(row["closeness_centrality"] - clo[row["node"]]) < 1e-12
+    assert g.pivot_error(n, n) == 0.0
+
+
+def test_wide_graph_takes_pivots_within_the_stated_error(spark, monkeypatch):
+    """5,000 banks: two linked hubs with their leaves, whose centralities are known."""
+    monkeypatch.setattr(g, "PIVOTS", 96)
+    a, b = 3000, 1998
+    both = [("hub1", "hub2")] + [("hub1", f"a{i}") for i in range(a)] + [
+        ("hub2", f"b{i}") for i in range(b)]
+    edges = spark.createDataFrame([(s, t, 1, 0) for x, y in both for s, t in ((x, y), (y, x))],
+                                  "src STRING, dst STRING, weight BIGINT, fraud_count BIGINT")
+    n = a + b + 2
+    got = {r["node"]: r for r in g.centralities(edges).collect()}
+    bound = g.pivot_error(n, 96)
+    assert len(got) == n == 5000 and 0 < bound < 0.3
+    whole = (n - 1) * (n - 2)
+    exact = {"hub1": (a * (a - 1) + 2 * a * (b + 1)) / whole, "hub2": (b * (b - 1) + 2 * b * (a + 1)) / whole}
+    for v, row in got.items():
+        assert abs(row["betweenness_centrality"] - exact.get(v, 0.0)) <= bound, v
+    close = (n - 1) / (a + 1 + 2 * b)                       # hub1: leaves and hub2 at 1, others at 2
+    assert abs(got["hub1"]["closeness_centrality"] - close) < 0.1
+
+
+def test_rounds_join_only_improved_pairs(spark, monkeypatch):
+    """On a line of k banks round i extends only the pairs that are i edges apart."""
+    k, rows = 8, []
+    edges = _edges(spark, [(f"v{i}", f"v{i + 1}", 1, 0) for i in range(k)])
+    from pyspark.sql.classic.dataframe import DataFrame
+    plain = DataFrame.checkpoint
+
+    def counted(self, eager=True):
+        out = plain(self, eager)
+        if self.columns == ["src", "dst", "dist"]:
+            rows.append(out.count())
+        return out
+    monkeypatch.setattr(DataFrame, "checkpoint", counted)
+    assert g.distances(edges).count() == (k + 1) * (k + 2) // 2
+    assert rows[1::2] == list(range(k, -1, -1))

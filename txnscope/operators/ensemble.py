@@ -3,7 +3,12 @@
 ``fit(t)`` trains every component on one transaction table and returns a
 ``FraudModel``; ``model.score(t)`` returns
 (transaction_id, fraud_score, risk_category) plus the component scores.
-A model exists only after ``fit``, so scoring before training is impossible.
+A model exists only after ``fit`` or ``load``, so scoring before training is impossible.
+
+A model is made of parts, each with its own ``fit``, ``save`` and ``load``: features
+(encoders and statistics), isolation forest, random forest, clusters, bank graph.
+``FraudModel.save`` writes all of them to a folder and ``FraudModel.load`` reads them in
+any later session; ``stored_part`` fits and writes one part where the folder lacks it.
 
 Blend (first match of the cut is right-closed, so a score of exactly 0 or
 above 1 has no category):
@@ -20,6 +25,9 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import pandas as pd
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,81 +39,282 @@ from . import features as feat
 from . import graph as g
 from . import iforest, supervised
 from .common import bounded_side, with_scalars
+from .model_store import ModelStore
 
 KEY = "transaction_id"
 FEATURES = list(fixed.FEATURE_COLUMNS)
 CARRY = [KEY, "fraud_flag", "sender_bank", "receiver_bank", "amount_inr"]
 
 
+# --- parts ----------------------------------------------------------------------------------
+
 @dataclass
-class FraudModel:
-    encoders: object
+class Features:
+    """Encoders and training-time statistics of the model inputs."""
+    encoders: StringIndexerModel
+    stats: feat.FeatureStats
+    medians: DataFrame
     scaler: DataFrame
-    iso: iforest.IsolationForestModel
-    rf: object
-    dbscan: db.DbscanModel
-    anomaly_clusters: DataFrame
-    edges: DataFrame
-    suspicious: DataFrame
-    report: DataFrame = field(default=None)
-    auc: DataFrame = field(default=None)
-    # training-time statistics for stats="train" (decision D8)
-    feature_stats: feat.FeatureStats = field(default=None)
-    medians: DataFrame = field(default=None)
-    iso_range: DataFrame = field(default=None)
-    # wall seconds of each fit (the three models run side by side)
-    seconds: dict = field(default_factory=dict)
 
-    def features(self, t: DataFrame, stats="batch") -> DataFrame:
+    @classmethod
+    def fit(cls, t: DataFrame) -> Features:
+        amount = feat.amount_stats(t).first()
+        stats = feat.FeatureStats(amount["_amt_mean"], amount["_amt_std"], amount["_amt_p95"])
+        f, encoders = feat.prepare_features(t, stats=stats)
+        base = f.select(*CARRY, *FEATURES)
+        medians = feat.median_values(base, FEATURES).checkpoint(eager=True)
+        scaler = feat.fit_scaler(feat.impute_median(base, FEATURES, medians), FEATURES)
+        return cls(encoders, stats, medians, scaler.checkpoint(eager=True))
+
+    def scaled(self, t: DataFrame, stats: str = "batch") -> DataFrame:
         """Scaled model features. ``stats="batch"`` recomputes the amount
         statistics and medians on ``t`` (as the original scoring does);
         ``stats="train"`` uses the fitted ones (stable for small batches and
         usable on a stream)."""
         train = stats == "train"
-        f, _ = feat.prepare_features(t, self.encoders, self.feature_stats if train else "batch")
-        x = feat.impute_median(f.select(*CARRY, *FEATURES), FEATURES,
-                               self.medians if train else None)
+        f, _ = feat.prepare_features(t, self.encoders, self.stats if train else "batch")
+        x = feat.impute_median(f.select(*CARRY, *FEATURES), FEATURES, self.medians if train else None)
         return feat.standard_scale(x, FEATURES, self.scaler)
 
+    def save(self, store: ModelStore) -> None:
+        store.write_ml("features", "encoders", self.encoders)
+        store.write_values("features", "stats", vars(self.stats))
+        store.write_table("features", "medians", self.medians)
+        store.write_table("features", "scaler", self.scaler)
+
+    @classmethod
+    def load(cls, store: ModelStore) -> Features:
+        return cls(store.ml("features", "encoders", StringIndexerModel),
+                   feat.FeatureStats(**store.values("features", "stats")),
+                   store.table("features", "medians"), store.table("features", "scaler"))
+
+
+@dataclass
+class Isolation:
+    model: iforest.IsolationForestModel
+
+    @classmethod
+    def fit(cls, xs: DataFrame, n_trees: int) -> Isolation:
+        return cls(iforest.fit_isolation_forest(xs, FEATURES, KEY, n_trees=n_trees))
+
+    def decision_range(self, spark) -> DataFrame:
+        m = self.model
+        return spark.createDataFrame([(m.train_min - m.offset, m.train_max - m.offset)],
+                                     "_imin DOUBLE, _imax DOUBLE")
+
+    def save(self, store: ModelStore) -> None:
+        m = self.model
+        store.write_table("isolation", "nodes", store.spark.createDataFrame(m.nodes, iforest.NODE_SCHEMA))
+        store.write_values("isolation", "settings", {
+            "feature_cols": list(m.feature_cols), "psi": m.psi, "offset": m.offset,
+            "train_min": m.train_min, "train_max": m.train_max})
+
+    @classmethod
+    def load(cls, store: ModelStore) -> Isolation:
+        nodes: pd.DataFrame = store.table("isolation", "nodes").toPandas()   # bounded by the trees
+        return cls(iforest.IsolationForestModel(nodes, **store.values("isolation", "settings")))
+
+
+@dataclass
+class Forest:
+    model: RandomForestClassificationModel
+    report: DataFrame
+    auc: DataFrame
+
+    @classmethod
+    def fit(cls, xs: DataFrame, n_trees: int) -> Forest:
+        data = feat.assemble(supervised.stratified_split(xs).checkpoint(eager=True))
+        rf = supervised.fit_random_forest(data.where(F.col("split") == "train"), n_trees=n_trees)
+        test = supervised.rf_scores(rf, data.where(F.col("split") == "test")).checkpoint(eager=True)
+        return cls(rf, supervised.classification_report(test, "fraud_flag", "rf_prediction"),
+                   supervised.roc_auc(test, "rf_probability", "fraud_flag"))
+
+    def save(self, store: ModelStore) -> None:
+        store.write_ml("forest", "model", self.model)
+        store.write_table("forest", "report", self.report)
+        store.write_table("forest", "auc", self.auc)
+
+    @classmethod
+    def load(cls, store: ModelStore) -> Forest:
+        return cls(store.ml("forest", "model", RandomForestClassificationModel),
+                   store.table("forest", "report"), store.table("forest", "auc"))
+
+
+@dataclass
+class Clusters:
+    model: db.DbscanModel
+    rates: DataFrame
+
+    @classmethod
+    def fit(cls, xs: DataFrame, eps: float) -> Clusters:
+        model = db.fit_dbscan(xs, FEATURES, KEY, eps=eps)
+        return cls(model, db.cluster_fraud_rates(model.labels, xs, KEY).checkpoint(eager=True))
+
+    @property
+    def anomalies(self) -> DataFrame:
+        return db.anomaly_clusters(self.rates)
+
+    def save(self, store: ModelStore) -> None:
+        store.write_values("clusters", "spec", vars(self.model.spec))
+        store.write_table("clusters", "labels", self.model.labels)
+        store.write_table("clusters", "core_points", self.model.core_points)
+        store.write_table("clusters", "rates", self.rates)
+
+    @classmethod
+    def load(cls, store: ModelStore) -> Clusters:
+        return cls(db.DbscanModel(db.TileSpec(**store.values("clusters", "spec")),
+                                  store.table("clusters", "labels"),
+                                  store.table("clusters", "core_points")),
+                   store.table("clusters", "rates"))
+
+
+@dataclass
+class BankGraph:
+    edges: DataFrame
+    centrality: DataFrame
+    suspicious: DataFrame
+
+    @classmethod
+    def fit(cls, t: DataFrame, floors: dict | None = None, distance: str = "weight",
+            **options) -> BankGraph:
+        edges = g.bank_edges(t).checkpoint(eager=True)
+        table = g.centrality_table(edges, distance, **options).checkpoint(eager=True)
+        return cls(edges, table, g.select_suspicious(table, **(floors or {})))
+
+    def save(self, store: ModelStore, part: str = "graph") -> None:
+        for name in ("edges", "centrality", "suspicious"):
+            store.write_table(part, name, getattr(self, name))
+
+    @classmethod
+    def load(cls, store: ModelStore, part: str = "graph") -> BankGraph:
+        return cls(*[store.table(part, name) for name in ("edges", "centrality", "suspicious")])
+
+
+PARTS = {"features": Features, "isolation": Isolation, "forest": Forest, "clusters": Clusters,
+         "graph": BankGraph}
+
+
+def fit_part(name: str, t: DataFrame, xs, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREES,
+             dbscan_eps: float = fixed.DBSCAN_EPS, graph_floors: dict | None = None):
+    """One part, from the payments or their scaled features (``xs()``)."""
+    if name == "features":
+        return Features.fit(t)
+    if name == "graph":
+        return BankGraph.fit(t, graph_floors)
+    argument = {"isolation": n_trees, "forest": rf_trees, "clusters": dbscan_eps}[name]
+    return PARTS[name].fit(xs(), argument)
+
+
+def stored_part(store: ModelStore, name: str, payments, **settings):
+    """A part of the model in ``store``; fitted on ``payments()`` and written there first
+    where the store lacks it."""
+    if not store.has(name):
+        checkpoint_dir(store.spark)
+
+        def scaled():
+            prep = stored_part(store, "features", payments, **settings)
+            return prep.scaled(payments(), "train").checkpoint(eager=True)
+        fit_part(name, payments(), scaled, **settings).save(store)
+        store.finish(name)
+    store.check(name)
+    return PARTS[name].load(store)
+
+
+# --- the model ------------------------------------------------------------------------------
+
+def blend(x: DataFrame, decision_range: DataFrame) -> DataFrame:
+    """``fraud_score`` and ``risk_category`` from the component scores: iso_decision (low:
+    anomalous; scaled by ``decision_range``), rf_probability, dbscan_score,
+    graph_risk_score."""
+    x = with_scalars(x, decision_range).withColumn(
+        "iso_score", 1 - F.try_divide(F.col("iso_decision") - F.col("_imin"),
+                                      F.col("_imax") - F.col("_imin"))).drop("_imin", "_imax")
+    w = fixed.ENSEMBLE_WEIGHTS
+    ens = (F.col("iso_score") * w["iso"] + F.col("rf_probability") * w["rf"]
+           + F.col("dbscan_score") * w["dbscan"])
+    final = ens * (1 - fixed.GRAPH_BLEND) + F.col("graph_risk_score") * fixed.GRAPH_BLEND
+    return x.withColumns({"fraud_score": final, "risk_category": cut_right_closed(
+        final, fixed.RISK_BINS, fixed.RISK_LABELS)})
+
+
+def batch_range(x: DataFrame) -> DataFrame:
+    return x.agg(F.min("iso_decision").alias("_imin"), F.max("iso_decision").alias("_imax"))
+
+
+def with_dbscan_score(x: DataFrame, clusters: Clusters) -> DataFrame:
+    """``cluster`` of the nearest core point and ``dbscan_score``: 1.0 in an anomaly
+    cluster, else 0.1."""
+    anomalous = clusters.anomalies.select("cluster", F.lit(1.0).alias("_anom"))
+    return (clusters.model.assign(x, KEY).join(bounded_side(anomalous), "cluster", "left")
+            .withColumn("dbscan_score", F.coalesce("_anom", F.lit(0.1))).drop("_anom"))
+
+
+@dataclass
+class FraudModel:
+    prep: Features
+    isolation: Isolation
+    forest: Forest
+    clusters: Clusters
+    graph: BankGraph
+    # wall seconds of each fit (the models run side by side)
+    seconds: dict = field(default_factory=dict)
+
+    @property
+    def parts(self) -> dict:
+        return {"features": self.prep, "isolation": self.isolation, "forest": self.forest,
+                "clusters": self.clusters, "graph": self.graph}
+
+    @property
+    def edges(self) -> DataFrame:
+        return self.graph.edges
+
+    @property
+    def suspicious(self) -> DataFrame:
+        return self.graph.suspicious
+
+    @property
+    def anomaly_clusters(self) -> DataFrame:
+        return self.clusters.anomalies
+
+    def save(self, spark, path: str) -> None:
+        store = ModelStore(spark, path)
+        for name, part in self.parts.items():
+            part.save(store)
+            store.finish(name)
+
+    @classmethod
+    def load(cls, spark, path: str) -> FraudModel:
+        store = ModelStore(spark, path)
+        for name in PARTS:
+            store.check(name)
+        return cls(*[kind.load(store) for kind in PARTS.values()])
+
+    def features(self, t: DataFrame, stats="batch") -> DataFrame:
+        return self.prep.scaled(t, stats)
+
     def score(self, t: DataFrame, stats="batch") -> DataFrame:
-        x = self.features(t, stats)
-        x = self.iso.decision_function(x, "iso_decision")
+        x = self.isolation.model.decision_function(self.features(t, stats), "iso_decision")
         if stats == "train":
-            mm = self.iso_range
+            scale = self.isolation.decision_range(t.sparkSession)
         else:
             # checkpointed: the batch min/max and the blend both read the
             # forest scores, which would otherwise be computed twice in Python
             x = x.checkpoint(eager=True)
-            mm = x.agg(F.min("iso_decision").alias("_imin"), F.max("iso_decision").alias("_imax"))
-        x = with_scalars(x, mm).withColumn(
-            "iso_score", 1 - F.try_divide(F.col("iso_decision") - F.col("_imin"),
-                                          F.col("_imax") - F.col("_imin"))).drop("_imin", "_imax")
-        x = supervised.rf_scores(self.rf, feat.assemble(x)).drop("features", "rf_prediction")
-        x = self.dbscan.assign(x, KEY)
-        anomalous = self.anomaly_clusters.select("cluster", F.lit(1.0).alias("_anom"))
-        x = (x.join(bounded_side(anomalous), "cluster", "left")
-             .withColumn("dbscan_score", F.coalesce("_anom", F.lit(0.1))).drop("_anom"))
-        x = g.graph_risk_scores(x, self.edges, self.suspicious)
-        w = fixed.ENSEMBLE_WEIGHTS
-        ens = (F.col("iso_score") * w["iso"] + F.col("rf_probability") * w["rf"]
-               + F.col("dbscan_score") * w["dbscan"])
-        final = ens * (1 - fixed.GRAPH_BLEND) + F.col("graph_risk_score") * fixed.GRAPH_BLEND
-        return x.select(KEY, "amount_inr", final.alias("fraud_score"),
-                        cut_right_closed(final, fixed.RISK_BINS, fixed.RISK_LABELS)
-                        .alias("risk_category"),
-                        "iso_score", "rf_probability", "dbscan_score", "graph_risk_score",
-                        "cluster")
+            scale = batch_range(x)
+        x = supervised.rf_scores(self.forest.model, feat.assemble(x)).drop("features", "rf_prediction")
+        x = with_dbscan_score(x, self.clusters)
+        x = blend(g.graph_risk_scores(x, self.edges, self.suspicious), scale)
+        return x.select(KEY, "amount_inr", "fraud_score", "risk_category", "iso_score",
+                        "rf_probability", "dbscan_score", "graph_risk_score", "cluster")
 
 
 def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREES,
-        dbscan_eps: float = fixed.DBSCAN_EPS, graph_floors: dict | None = None,
-        graph: tuple | None = None) -> FraudModel:
-    """Train every component on ``t`` (transaction ids must be unique).
-
-    ``graph`` may pass an already built (edges, centrality table) of ``t``.
-    """
-    spark = t.sparkSession
-    checkpoint_dir(spark)
+        dbscan_eps: float = fixed.DBSCAN_EPS, graph_floors: dict | None = None) -> FraudModel:
+    """Train every part on ``t`` (transaction ids must be unique). The parts that need
+    only the features are submitted as concurrent Spark jobs (driver threads), so one
+    model's small stages do not leave cores idle."""
+    checkpoint_dir(t.sparkSession)
+    settings = dict(n_trees=n_trees, rf_trees=rf_trees, dbscan_eps=dbscan_eps, graph_floors=graph_floors)
     seconds: dict[str, float] = {}
 
     def timed(name, fn, *args, **kwargs):
@@ -113,50 +322,13 @@ def fit(t: DataFrame, n_trees: int = fixed.N_TREES, rf_trees: int = fixed.N_TREE
         out = fn(*args, **kwargs)
         seconds[name] = round(time.perf_counter() - began, 3)
         return out
-    began = time.perf_counter()
     t = t.checkpoint(eager=True)          # statistics, encoders and models all read it
-    amount = feat.amount_stats(t).first()
-    fstats = feat.FeatureStats(amount["_amt_mean"], amount["_amt_std"], amount["_amt_p95"])
-    f, enc = feat.prepare_features(t, stats=fstats)
-    base = f.select(*CARRY, *FEATURES)
-    medians = feat.median_values(base, FEATURES).checkpoint(eager=True)
-    x = feat.impute_median(base, FEATURES, medians)
-    scaler = feat.fit_scaler(x, FEATURES).checkpoint(eager=True)
-    xs = feat.standard_scale(x, FEATURES, scaler).checkpoint(eager=True)
-    seconds["features"] = round(time.perf_counter() - began, 3)
-    # the three models are independent: submit them as concurrent Spark jobs
-    # (driver threads), so one model's small stages do not leave cores idle
-    def fit_forest():
-        split = supervised.stratified_split(xs).checkpoint(eager=True)
-        data = feat.assemble(split)
-        rf = supervised.fit_random_forest(data.where(F.col("split") == "train"), n_trees=rf_trees)
-        test = supervised.rf_scores(rf, data.where(F.col("split") == "test")).checkpoint(eager=True)
-        return (rf, supervised.classification_report(test, "fraud_flag", "rf_prediction"),
-                supervised.roc_auc(test, "rf_probability", "fraud_flag"))
-
-    def fit_clusters():
-        dbm = db.fit_dbscan(xs, FEATURES, KEY, eps=dbscan_eps)
-        rates = db.cluster_fraud_rates(dbm.labels, xs, KEY)
-        return dbm, db.anomaly_clusters(rates).checkpoint(eager=True)
-
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        f_iso = pool.submit(timed, "isolation_forest", iforest.fit_isolation_forest, xs, FEATURES,
-                            KEY, n_trees=n_trees)
-        f_rf = pool.submit(timed, "random_forest", fit_forest)
-        f_db = pool.submit(timed, "dbscan", fit_clusters)
-        iso = f_iso.result()
-        rf, report, auc = f_rf.result()
-        dbm, anomalies = f_db.result()
-    iso_range = spark.createDataFrame(
-        [(iso.train_min - iso.offset, iso.train_max - iso.offset)], "_imin DOUBLE, _imax DOUBLE")
-    if graph is None:
-        edges = timed("bank_edges", lambda: g.bank_edges(t).checkpoint(eager=True))
-        table = timed("centrality", lambda: g.centrality_table(edges).checkpoint(eager=True))
-    else:
-        edges, table = graph
-    suspicious = g.select_suspicious(table, **(graph_floors or {})).checkpoint(eager=True)
-    return FraudModel(enc, scaler, iso, rf, dbm, anomalies, edges, suspicious, report, auc,
-                      fstats, medians, iso_range, seconds)
+    prep = timed("features", Features.fit, t)
+    xs = prep.scaled(t, "train").checkpoint(eager=True)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = [pool.submit(timed, name, fit_part, name, t, lambda: xs, **settings)
+                for name in ("isolation", "forest", "clusters", "graph")]
+        return FraudModel(prep, *[j.result() for j in jobs], seconds)
 
 
 def top_risky(scores: DataFrame, k: int = 10) -> DataFrame:

@@ -7,21 +7,23 @@ scan itself is one ``groupBy`` with partial aggregation.
 
 Centralities follow the weighted definitions used by the original (the edge
 weight = transaction count, used as a *distance*, decision D9):
-  * all-pairs shortest distances AND the number of shortest paths are computed
-    by iterated relaxation joins (Bellman-Ford in the (min, +) / path-count
-    semiring) until nothing changes; lineage is cut by a reliable checkpoint
-    every few rounds;
-  * betweenness(v) = sum over s != v != t of sigma_sv * sigma_vt / sigma_st
-    where d(s,v) + d(v,t) = d(s,t), normalised by 1/((n-1)(n-2));
+  * shortest distances come from delta relaxation: a round joins only the pairs that the
+    last one improved with the edges;
+  * path counts follow along the shortest-path edges, in the order of the paths' lengths,
+    and betweenness(v) = sum over s != v != t of sigma_sv * sigma_vt / sigma_st is handed
+    back along the same edges, normalised by 1/((n-1)(n-2));
   * closeness(u) uses incoming distances: r/sum(d) * r/(n-1) where r is the
-    number of nodes that reach u (Wasserman-Faust scaling).
+    number of nodes that reach u (Wasserman-Faust scaling);
+  * in wide graphs sampled sources (pivots) stand for all, with a stated error.
 Distances are decimals, so sums do not depend on their order and the equality
 tests are exact, also for ``distance="inverse"`` (1 / weight).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -63,8 +65,8 @@ def graph_size(edges: DataFrame) -> DataFrame:
 
 
 DISTANCE_TYPE = "decimal(38,18)"
-#: The all-pairs tables grow with the square of the banks, betweenness with the cube.
-MOST_BANKS = 2000
+#: Banks up to which every bank is a source; beyond, ``PIVOTS`` sampled ones are.
+EXACT_BANKS, PIVOTS = 2000, 512
 
 
 def edge_length(distance: str) -> F.Column:
@@ -74,85 +76,138 @@ def edge_length(distance: str) -> F.Column:
     return length.cast(DISTANCE_TYPE)
 
 
-def shortest_paths(edges: DataFrame, distance: str = "weight",
-                   checkpoint_every: int = 4) -> DataFrame:
-    """All-pairs shortest distances and shortest-path counts.
+def _links(edges: DataFrame, distance: str) -> DataFrame:
+    return edges.select(F.col("src").alias("u"), F.col("dst").alias("v"),
+                        edge_length(distance).alias("w")).where(F.col("src") != F.col("dst"))
 
-    Returns (src, dst, dist, sigma) for every reachable pair, including
-    (v, v, 0, 1). ``distance`` names the edge column used as length (must be
-    positive), or is ``inverse``. Each round recomputes, for every pair, the best
-    path whose last edge is u->dst from the previous round's table; it stops when a
-    round changes nothing, which takes at most as many rounds as there are nodes.
-    """
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v"),
-                     edge_length(distance).alias("w")).where(F.col("src") != F.col("dst"))
+
+def pivot_sources(edges: DataFrame, pivots: int | None = None, seed: int = fixed.SEED) -> DataFrame:
+    """The source banks: all of them, or the ``pivots`` of the smallest seeded hash."""
+    nodes = graph_nodes(edges)
+    if pivots is None:
+        pivots = None if nodes.limit(EXACT_BANKS + 1).count() <= EXACT_BANKS else PIVOTS
+    if pivots is None:
+        return nodes
+    return nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(pivots)
+
+
+def pivot_error(n: int, pivots: int, confidence: float = 0.95) -> float:
+    """Error of all ``n`` normalised betweenness values at once that sampled sources do
+    not exceed with that confidence (Hoeffding's bound over a mean of ``pivots`` shares
+    in [0, 1], over all banks); 0 where every bank is a source."""
+    return 0.0 if pivots >= n else math.sqrt(math.log(2 * n / (1 - confidence)) / (2 * (pivots - 1)))
+
+
+def distances(edges: DataFrame, distance: str = "weight", sources: DataFrame | None = None) -> DataFrame:
+    """(src, dst, dist) of every bank a source reaches, (v, v, 0) included. ``distance``
+    names the edge column used as length (must be positive), or is ``inverse``.
+
+    Delta relaxation: a round extends only the pairs that the last round improved, and
+    keeps the extensions that are shorter than what is known; it ends when none is."""
+    checkpoint_dir(edges.sparkSession)
+    links = _links(edges, distance).checkpoint(eager=True)
+    sources = graph_nodes(edges) if sources is None else sources
+    known = sources.select(F.col("node").alias("src"), F.col("node").alias("dst"),
+                           F.lit(0).cast(DISTANCE_TYPE).alias("dist")).checkpoint(eager=True)
+    delta = known
+    while True:
+        longer = (delta.withColumnRenamed("dst", "u").join(links, "u")
+                  .groupBy("src", F.col("v").alias("dst"))
+                  .agg(F.min((F.col("dist") + F.col("w")).cast(DISTANCE_TYPE)).alias("new")))
+        better = (longer.join(known, ["src", "dst"], "left")
+                  .where(F.col("dist").isNull() | (F.col("new") < F.col("dist")))
+                  .select("src", "dst", F.col("new").alias("dist")).checkpoint(eager=True))
+        if not better.limit(1).count():
+            return known
+        known = (known.join(better, ["src", "dst"], "left_anti").unionByName(better)
+                 .checkpoint(eager=True))
+        delta = better
+
+
+def shortest_dag(dist: DataFrame, edges: DataFrame, distance: str = "weight") -> DataFrame:
+    """(src, u, v): the edges u -> v that lie on a shortest path from src."""
+    links = _links(edges, distance)
+    return (dist.withColumnRenamed("dst", "u").join(links, "u")
+            .select("src", "u", "v", (F.col("dist") + F.col("w")).cast(DISTANCE_TYPE).alias("dist"))
+            .join(dist.withColumnRenamed("dst", "v"), ["src", "v", "dist"], "left_semi")
+            .select("src", "u", "v").checkpoint(eager=True))
+
+
+def path_counts(dag: DataFrame, sources: DataFrame) -> DataFrame:
+    """(src, dst, sigma): number of shortest paths, summed over their number of edges. A
+    round extends the paths of exactly k edges, so it joins the pairs such paths end at."""
+    count = "decimal(38,0)"
+    front = sources.select(F.col("node").alias("src"), F.col("node").alias("dst"),
+                           F.lit(1).cast(count).alias("sigma")).checkpoint(eager=True)
+    found = front
+    while True:
+        front = (front.withColumnRenamed("dst", "u").join(dag, ["src", "u"])
+                 .groupBy("src", F.col("v").alias("dst"))
+                 .agg(F.sum("sigma").cast(count).alias("sigma")).checkpoint(eager=True))
+        if not front.limit(1).count():
+            return found.withColumn("sigma", F.col("sigma").cast("double"))
+        found = (found.unionByName(front).groupBy("src", "dst")
+                 .agg(F.sum("sigma").cast(count).alias("sigma")).checkpoint(eager=True))
+
+
+def dependencies(dag: DataFrame, sigma: DataFrame) -> DataFrame:
+    """(src, node, share): the pairs (src, t) whose shortest paths pass through node,
+    each counted by the part of its paths that do. What lies behind an edge u -> v is
+    handed back to u in the proportion sigma(u) / sigma(v), a round per edge of the
+    longest path."""
+    ahead = sigma.select("src", F.col("dst").alias("v"), F.col("sigma").alias("sv"))
+    here = sigma.select("src", F.col("dst").alias("u"), F.col("sigma").alias("su"))
+    part = (dag.join(ahead, ["src", "v"]).join(here, ["src", "u"])
+            .select("src", "u", "v", (F.col("su") / F.col("sv")).alias("part")).checkpoint(eager=True))
+    front = sigma.where("src <> dst").select("src", F.col("dst").alias("v"), F.lit(1.0).alias("x"))
+    total = None
+    while True:
+        front = (part.join(front, ["src", "v"]).where("u <> src")
+                 .groupBy("src", F.col("u").alias("v")).agg(F.sum(F.col("part") * F.col("x")).alias("x"))
+                 .checkpoint(eager=True))
+        if not front.limit(1).count():
+            break
+        total = front if total is None else total.unionByName(front)
+    if total is None:
+        total = front
+    return total.groupBy("src", F.col("v").alias("node")).agg(F.sum("x").alias("share"))
+
+
+def shortest_paths(edges: DataFrame, distance: str = "weight") -> DataFrame:
+    """(src, dst, dist, sigma): shortest distances and numbers of shortest paths of all
+    pairs, (v, v, 0, 1) included."""
+    dist = distances(edges, distance)
+    return dist.join(path_counts(shortest_dag(dist, edges, distance), graph_nodes(edges)), ["src", "dst"])
+
+
+def centralities(edges: DataFrame, distance: str = "weight", pivots: int | None = None,
+                 seed: int = fixed.SEED) -> DataFrame:
+    """(node, betweenness_centrality, closeness_centrality).
+
+    Every bank is a source up to ``EXACT_BANKS`` banks. Beyond, or with ``pivots``, sampled
+    sources stand for all: a node's sums over the other sources are scaled by (n - 1) over
+    their number, which is exact when all banks are pivots; ``pivot_error`` bounds the
+    error. Closeness uses incoming distances (Wasserman-Faust scaling)."""
+    sources = pivot_sources(edges, pivots, seed).checkpoint(eager=True)
     nodes = graph_nodes(edges)
-    base = nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"),
-                        F.lit(0).cast(DISTANCE_TYPE).alias("dist"), F.lit(1).cast("decimal(38,0)").alias("sigma"))
-    cur = base.checkpoint(eager=True)
-    n_nodes = nodes.count()
-    if n_nodes > MOST_BANKS:
-        raise ValueError(f"{n_nodes} banks: all-pairs distances are bounded to {MOST_BANKS}")
-    for i in range(n_nodes + 2):
-        ext = (cur.join(e, cur.dst == e.u)
-               .select("src", F.col("v").alias("dst"), (F.col("dist") + F.col("w")).cast(DISTANCE_TYPE)
-                       .alias("dist"), "sigma"))
-        cand = base.unionByName(ext)
-        best = Window.partitionBy("src", "dst")
-        nxt = (cand.withColumn("_min", F.min("dist").over(best))
-               .where(F.col("dist") == F.col("_min"))
-               .groupBy("src", "dst").agg(F.min("dist").alias("dist"),
-                                          F.sum("sigma").alias("sigma")))
-        nxt = nxt.checkpoint(eager=True) if (i + 1) % checkpoint_every == 0 else nxt.cache()
-        old = cur.select("src", "dst", F.col("dist").alias("_d0"), F.col("sigma").alias("_s0"))
-        changed = (nxt.join(old, ["src", "dst"], "full_outer")
-                   .where(~F.col("dist").eqNullSafe(F.col("_d0"))
-                          | ~F.col("sigma").eqNullSafe(F.col("_s0")))
-                   .limit(1).count())
-        if i > 0:
-            cur.unpersist()
-        cur = nxt
-        if changed == 0:
-            return cur.withColumn("sigma", F.col("sigma").cast("double"))
-    raise RuntimeError("distances still changed after as many rounds as there are banks")
-
-
-def betweenness(paths: DataFrame, n_nodes: DataFrame | None = None) -> DataFrame:
-    """Normalised betweenness per node from the shortest-path table."""
-    p = paths.where(F.col("src") != F.col("dst"))
-    sv = p.select(F.col("src").alias("s"), F.col("dst").alias("v"),
-                  F.col("dist").alias("d_sv"), F.col("sigma").alias("sig_sv"))
-    vt = p.select(F.col("src").alias("v"), F.col("dst").alias("t"),
-                  F.col("dist").alias("d_vt"), F.col("sigma").alias("sig_vt"))
-    st = p.select(F.col("src").alias("s"), F.col("dst").alias("t"),
-                  F.col("dist").alias("d_st"), F.col("sigma").alias("sig_st"))
-    through = (sv.join(vt, "v").where(F.col("s") != F.col("t"))
-               .join(st, ["s", "t"])
-               .where((F.col("d_sv") < F.col("d_st"))
-                      & ((F.col("d_sv") + F.col("d_vt")).cast(DISTANCE_TYPE) == F.col("d_st")))
-               .groupBy("v").agg(F.sum(F.col("sig_sv") * F.col("sig_vt") / F.col("sig_st"))
-                                 .alias("_b")))
-    nodes = paths.select(F.col("src").alias("node")).distinct()
-    n = nodes.agg(F.count(F.lit(1)).alias("_n"))
-    scale = F.when(F.col("_n") > 2, 1.0 / ((F.col("_n") - 1) * (F.col("_n") - 2))).otherwise(
-        F.lit(None).cast("double"))
-    return (nodes.join(through.withColumnRenamed("v", "node"), "node", "left")
-            .transform(lambda df: with_scalars(df, n))
-            .select("node", F.coalesce(F.col("_b") * scale, F.lit(0.0)).alias("betweenness_centrality")))
-
-
-def closeness(paths: DataFrame) -> DataFrame:
-    """Closeness per node over incoming shortest distances (Wasserman-Faust)."""
-    inc = (paths.where(F.col("src") != F.col("dst")).groupBy(F.col("dst").alias("node"))
-           .agg(F.count(F.lit(1)).alias("_r"), F.sum("dist").cast("double").alias("_tot")))
-    nodes = paths.select(F.col("src").alias("node")).distinct()
-    n = nodes.agg(F.count(F.lit(1)).alias("_n"))
-    c = F.when((F.col("_tot") > 0) & (F.col("_n") > 1),
-               (F.col("_r") / F.col("_tot")) * (F.col("_r") / (F.col("_n") - 1))).otherwise(0.0)
-    return (with_scalars(nodes.join(inc, "node", "left"), n)
-            .select("node", F.coalesce(c, F.lit(0.0)).alias("closeness_centrality")))
+    n, k = nodes.count(), sources.count()
+    dist = distances(edges, distance, sources)
+    dag = shortest_dag(dist, edges, distance)
+    share = dependencies(dag, path_counts(dag, sources))
+    between = share.groupBy("node").agg(F.sum("share").alias("_b"))
+    inward = (dist.where("src <> dst").groupBy(F.col("dst").alias("node"))
+              .agg(F.count(F.lit(1)).alias("_r"), F.sum("dist").cast("double").alias("_tot")))
+    others = F.lit(k) - F.when(F.col("_is"), 1).otherwise(0)       # the other sources
+    scale = F.try_divide(F.lit(float(n - 1)), others)
+    reach = F.col("_r") * scale
+    close = F.when((F.col("_tot") > 0) & (F.lit(n) > 1),
+                   (F.col("_r") / F.col("_tot")) * (reach / F.lit(max(n - 1, 1)))).otherwise(0.0)
+    norm = 1.0 / ((n - 1) * (n - 2)) if n > 2 else None
+    return (nodes.join(between, "node", "left").join(inward, "node", "left")
+            .join(sources.select("node", F.lit(True).alias("_is")), "node", "left")
+            .select("node", F.coalesce(F.col("_b") * scale * F.lit(norm).cast("double"), F.lit(0.0))
+                    .alias("betweenness_centrality"),
+                    F.coalesce(close, F.lit(0.0)).alias("closeness_centrality")))
 
 
 def node_incident_stats(edges: DataFrame) -> DataFrame:
@@ -167,11 +222,9 @@ def node_incident_stats(edges: DataFrame) -> DataFrame:
                                      F.col("total_transactions").cast("double"))))
 
 
-def centrality_table(edges: DataFrame, distance: str = "weight") -> DataFrame:
+def centrality_table(edges: DataFrame, distance: str = "weight", pivots: int | None = None) -> DataFrame:
     """Per node: betweenness, closeness, incident fraud rate and volume."""
-    paths = shortest_paths(edges, distance)
-    return (betweenness(paths).join(closeness(paths), "node")
-            .join(node_incident_stats(edges), "node"))
+    return centralities(edges, distance, pivots).join(node_incident_stats(edges), "node")
 
 
 def suspicious_nodes(edges: DataFrame, fraud_threshold: float = fixed.FRAUD_THRESHOLD,
