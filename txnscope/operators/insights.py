@@ -77,18 +77,17 @@ def patterns(t: DataFrame) -> DataFrame:
     return hours.unionByName(amt).unionByName(st)
 
 
-def model_summary(model) -> DataFrame:
-    """Counts describing a fitted FraudModel."""
+def model_summary(graph, clusters) -> DataFrame:
+    """Counts describing the bank graph and the clusters of a fitted model."""
     from . import graph as g
-    sizes = g.graph_size(model.edges)
-    sus = model.suspicious.agg(F.count(F.lit(1)).alias("fraud_clusters_detected"))
-    anom = model.anomaly_clusters.agg(F.count(F.lit(1)).alias("anomaly_clusters"))
-    return with_scalars(with_scalars(sus, anom), sizes)
+    sus = graph.suspicious.agg(F.count(F.lit(1)).alias("fraud_clusters_detected"))
+    anom = clusters.anomalies.agg(F.count(F.lit(1)).alias("anomaly_clusters"))
+    return with_scalars(with_scalars(sus, anom), g.graph_size(graph.edges))
 
 
-def insights(t: DataFrame, model=None) -> DataFrame:
-    """Overview, pattern sentences and (with a fitted model) the model's counts as one
-    table of (section, name, value)."""
+def insights(t: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """Overview, pattern sentences and (with a fitted model's ``model_summary``) the
+    model's counts as one table of (section, name, value)."""
     def tall(section: str, one: DataFrame) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                           for c in one.columns])
@@ -96,4 +95,4 @@ def insights(t: DataFrame, model=None) -> DataFrame:
     out = tall("overview", overview(t)).unionByName(patterns(t).select(
         F.lit("patterns").alias("section"), F.col("pattern").alias("name"),
         F.col("message").alias("value")))
-    return out if model is None else out.unionByName(tall("model", model_summary(model)))
+    return out if summary is None else out.unionByName(tall("model", summary))

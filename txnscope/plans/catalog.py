@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -15,8 +17,9 @@ from . import oracle_dashboards as od
 from . import oracle_models as om
 from . import oracle_profiling as op
 from ..functions.columns import in_lookback
-from ..session import checkpoint_dir
-from .registry import (FIXTURE_AS_OF, Registered, artefact_key, frame_query, load_transactions,
+from ..operators.model_store import ModelStore
+from ..session import checkpoint_dir, shared_root
+from .registry import (FIXTURE_AS_OF, Registered, frame_query, load_transactions, table_version,
                        txn_query, with_transactions)
 
 
@@ -120,9 +123,6 @@ def _incident(t):
         "node_fraud_rate", F.round("node_fraud_rate", 6))
 
 
-_GRAPHS: dict = {}
-
-
 def _last_day(spark, sf_dir):
     """The payments of the 24 hours before the report time."""
     as_of = FIXTURE_AS_OF["events"]
@@ -130,35 +130,39 @@ def _last_day(spark, sf_dir):
     return t.where(in_lookback(as_of, days=1))
 
 
-def bank_graph(spark, sf_dir, distance="weight"):
-    """(edges, centrality table) of the last day's payments, built once per session,
-    version of the tables and distance (checkpointed), as the graph is built once and
-    then used for both cluster detection and risk scoring."""
-    key = (*artefact_key(spark, sf_dir), distance)
-    if key not in _GRAPHS:
-        checkpoint_dir(spark)
-        edges = g.bank_edges(_last_day(spark, sf_dir)).checkpoint(eager=True)
-        _GRAPHS[key] = (edges, g.centrality_table(edges, distance).checkpoint(eager=True))
-    return _GRAPHS[key]
+def model_store(spark, sf_dir) -> ModelStore:
+    """The folder of what is fitted on these tables, in this version and with these
+    settings; any session that shares the folder reads it."""
+    key = repr((sf_dir, table_version(spark, sf_dir), sorted(ENSEMBLE_ARGS.items())))
+    return ModelStore(spark, f"{shared_root(spark)}/models/{hashlib.sha256(key.encode()).hexdigest()[:24]}")
+
+
+def bank_graph(spark, sf_dir, distance="weight") -> ensemble.BankGraph:
+    """Edges and centralities of the last day's payments, built once and then used for both
+    cluster detection and risk scoring."""
+    store, name = model_store(spark, sf_dir), f"day_graph_{distance}"
+    if not store.has(name):
+        ensemble.BankGraph.fit(_last_day(spark, sf_dir), DAY_FLOORS, distance).save(store, name)
+        store.finish(name)
+    return ensemble.BankGraph.load(store, name)
 
 
 def _centrality(spark, sf_dir):
-    return round_doubles(bank_graph(spark, sf_dir)[1], 9)
+    return round_doubles(bank_graph(spark, sf_dir).centrality, 9)
 
 
 def _centrality_inverse(spark, sf_dir):
-    return round_doubles(bank_graph(spark, sf_dir, "inverse")[1], 9)
+    return round_doubles(bank_graph(spark, sf_dir, "inverse").centrality, 9)
 
 
 def _suspicious(spark, sf_dir):
-    return round_doubles(g.select_suspicious(bank_graph(spark, sf_dir)[1], **DAY_FLOORS), 9)
+    return round_doubles(g.select_suspicious(bank_graph(spark, sf_dir).centrality, **DAY_FLOORS), 9)
 
 
 def _graph_risk(spark, sf_dir):
-    edges, table = bank_graph(spark, sf_dir)
-    sus = g.select_suspicious(table, **DAY_FLOORS)
+    day = bank_graph(spark, sf_dir)
     t = _last_day(spark, sf_dir)
-    return g.graph_risk_scores(t, edges, sus).select(
+    return g.graph_risk_scores(t, day.edges, day.suspicious).select(
         "transaction_id", "sender_bank", "receiver_bank", F.round("graph_risk_score", 9)
         .alias("graph_risk_score"))
 
@@ -303,71 +307,103 @@ def _rule_auc(t):
 # sf0.01 fixture has no core point at all, survey 7.5) and the lowered graph
 # floors; every default stays a parameter of ``ensemble.fit``.
 ENSEMBLE_ARGS = dict(dbscan_eps=1.0, graph_floors=ENSEMBLE_FLOORS)
-_MODELS: dict = {}
-
+def model_part(spark, sf_dir, name):
+    """One part of the ensemble, fitted and written where the store lacks it."""
+    return ensemble.stored_part(model_store(spark, sf_dir), name,
+                                lambda: load_transactions(spark, sf_dir, "events"), **ENSEMBLE_ARGS)
 
-def fitted_model(spark, sf_dir):
-    """Fit once per session and version of the tables; later queries reuse the model."""
-    key = artefact_key(spark, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = ensemble.fit(load_transactions(spark, sf_dir, "events"), **ENSEMBLE_ARGS)
-    return _MODELS[key]
 
-
-_SCORES: dict = {}
+def fitted_model(spark, sf_dir) -> ensemble.FraudModel:
+    """The whole ensemble; its parts are fitted side by side where none is stored."""
+    store = model_store(spark, sf_dir)
+    if not any(store.has(name) for name in ensemble.PARTS):
+        model = ensemble.fit(load_transactions(spark, sf_dir, "events"), **ENSEMBLE_ARGS)
+        model.save(spark, store.path)
+        return model
+    return ensemble.FraudModel(*[model_part(spark, sf_dir, name) for name in ensemble.PARTS])
 
 
 def scored(spark, sf_dir):
-    """The score table of the fitted model, written once to the shared
-    checkpoint folder (a scoring job's output table); later reads reuse it."""
-    key = artefact_key(spark, sf_dir)
-    if key not in _SCORES:
+    """The score table of the model, the output table of a scoring job."""
+    store = model_store(spark, sf_dir)
+    if not store.has("scores"):
+        checkpoint_dir(spark)
         m = fitted_model(spark, sf_dir)
-        _SCORES[key] = m.score(load_transactions(spark, sf_dir, "events")).checkpoint(eager=True)
-    return _SCORES[key]
+        store.write_table("scores", "scores", m.score(load_transactions(spark, sf_dir, "events")))
+        store.finish("scores")
+    return store.table("scores", "scores")
 
 
-def _model_query(name, fn):
+def _part_query(name, part, fn, sql=None):
+    """``fn(part, spark, sf_dir)`` of a stored part of the model."""
     def build(spark, sf_dir):
-        return fn(fitted_model(spark, sf_dir), load_transactions(spark, sf_dir, "events"))
-    return Registered(name, build, None)
+        return fn(model_part(spark, sf_dir, part), spark, sf_dir)
+    return Registered(name, build, sql)
 
 
-def _iso_scores(m, t):
-    x = m.features(t)
-    return round_doubles(m.iso.decision_function(x).select("transaction_id", "iso_decision"), 9)
+def _iso_scores(iso, spark, sf_dir):
+    x = model_part(spark, sf_dir, "features").scaled(load_transactions(spark, sf_dir, "events"))
+    return round_doubles(iso.model.decision_function(x).select("transaction_id", "iso_decision"), 9)
 
 
-def _dbscan_labels(m, t):
-    return m.dbscan.labels.select(F.col("_id").alias("transaction_id"), "cluster", "is_core")
+def _dbscan_labels(c, spark, sf_dir):
+    return c.model.labels.select(F.col("_id").alias("transaction_id"), "cluster", "is_core")
 
 
-def _core_points(spark, sf_dir):
-    m = fitted_model(spark, sf_dir)
-    return m.dbscan.labels.select(F.col("_id").alias("transaction_id"), "n_neighbours", "is_core")
+def _core_points(c, spark, sf_dir):
+    return c.model.labels.select(F.col("_id").alias("transaction_id"), "n_neighbours", "is_core")
 
 
-def _cluster_rates(m, t):
-    from ..operators import dbscan
-    x = m.features(t)
-    return round_doubles(dbscan.cluster_fraud_rates(m.dbscan.labels, x), 9)
+def _model_summary(spark, sf_dir):
+    return insights.model_summary(model_part(spark, sf_dir, "graph"), model_part(spark, sf_dir, "clusters"))
 
 
-def _scores_query(spark, sf_dir):
-    return round_doubles(scored(spark, sf_dir), 9)
+def _insights_with_model(spark, sf_dir):
+    return insights.insights(load_transactions(spark, sf_dir, "events"), _model_summary(spark, sf_dir))
 
 
-def _sink_query(spark, sf_dir):
-    """Scores written as a parquet table partitioned by risk category in the
-    shared folder (the sink of a scoring job), read back."""
+def _blended(spark, sf_dir):
+    """The blend over component scores that need no random numbers: amounts stand for the
+    isolation forest and the rule score for the random forest; clusters and the last
+    day's bank graph are the fitted ones."""
+    t = load_transactions(spark, sf_dir, "events")
+    x = model_part(spark, sf_dir, "features").scaled(t, "train")
+    x = ensemble.with_dbscan_score(x, model_part(spark, sf_dir, "clusters"))
+    rules = score_transactions(t).select("transaction_id", (F.col("calculated_risk_score") / 4.0)
+                                         .alias("rf_probability"))
+    x = x.join(rules, "transaction_id").withColumn("iso_decision", -F.col("amount_inr").cast("double"))
+    day = bank_graph(spark, sf_dir)
+    x = ensemble.blend(g.graph_risk_scores(x, day.edges, day.suspicious), ensemble.batch_range(x))
+    return x.select("transaction_id", "amount_inr", "cluster", *[F.round(c, 9).alias(c) for c in (
+        "iso_score", "rf_probability", "dbscan_score", "graph_risk_score", "fraud_score")],
+        "risk_category")
+
+
+def _blended_sink(spark, sf_dir):
+    cols = ["transaction_id", "amount_inr", "fraud_score", "risk_category"]
+    return _written_by_category(_blended(spark, sf_dir).select(*cols))
+
+
+def _written_by_category(scores):
+    """Written as a parquet table partitioned by risk category in the shared folder (the
+    sink of a scoring job), read back."""
     import uuid
 
     from ..session import scratch_path
     from ..sources import intake
+    spark = scores.sparkSession
     path = scratch_path(spark, f"fraud-scores-{uuid.uuid4().hex[:10]}")
+    intake.write_sink(scores, path, partition_by=["risk_category"])
+    return spark.read.parquet(path).select(*scores.columns)
+
+
+def _scores_query(spark, sf_dir):
+    return round_doubles(scored(spark, sf_dir), 9)
+
+
+def _sink_query(spark, sf_dir):
     cols = ["transaction_id", "amount_inr", "fraud_score", "risk_category"]
-    intake.write_sink(scored(spark, sf_dir).select(*cols), path, partition_by=["risk_category"])
-    return round_doubles(spark.read.parquet(path).select(*cols), 9)
+    return round_doubles(_written_by_category(scored(spark, sf_dir).select(*cols)), 9)
 
 
 def _topk_query(spark, sf_dir):
@@ -380,18 +416,24 @@ def model_queries() -> list[Registered]:
         frame_query("class_weights", "events", _weights, om.CLASS_WEIGHTS),
         frame_query("classification_report", "events", _rule_report, om.RULE_REPORT),
         frame_query("roc_auc", "events", _rule_auc, om.RULE_AUC),
-        _model_query("random_forest_report", lambda m, t: round_doubles(m.report, 9)),
-        _model_query("random_forest_auc", lambda m, t: round_doubles(m.auc, 9)),
-        _model_query("isolation_forest_scores", _iso_scores),
-        _model_query("dbscan_clusters", _dbscan_labels),
-        Registered("dbscan_core_points", _core_points,
-                   with_transactions("events", op.DBSCAN_CORE_POINTS)),
-        _model_query("cluster_fraud_rates", _cluster_rates),
-        _model_query("anomaly_clusters", lambda m, t: round_doubles(m.anomaly_clusters, 9)),
+        _part_query("random_forest_report", "forest", lambda f, *_: round_doubles(f.report, 9)),
+        _part_query("random_forest_auc", "forest", lambda f, *_: round_doubles(f.auc, 9)),
+        _part_query("isolation_forest_scores", "isolation", _iso_scores),
+        _part_query("dbscan_clusters", "clusters", _dbscan_labels, _recursive(op.DBSCAN_CLUSTERS)),
+        _part_query("dbscan_core_points", "clusters", _core_points,
+                    with_transactions("events", op.DBSCAN_CORE_POINTS)),
+        _part_query("cluster_fraud_rates", "clusters", lambda c, *_: round_doubles(c.rates, 9),
+                    _recursive(op.CLUSTER_FRAUD_RATES)),
+        _part_query("anomaly_clusters", "clusters", lambda c, *_: round_doubles(c.anomalies, 9),
+                    _recursive(op.ANOMALY_CLUSTERS)),
+        Registered("blend_scores", _blended, _recursive(op.BLEND_SCORES)),
+        Registered("blend_topk", lambda spark, sf_dir: ensemble.top_risky(_blended(spark, sf_dir), 10),
+                   _recursive(op.BLEND_TOPK)),
+        Registered("blend_sink", _blended_sink, _recursive(op.BLEND_SINK)),
         Registered("fraud_scores", _scores_query, None),
         Registered("topk_risky_txns", _topk_query, None),
         Registered("risk_sink", _sink_query, None),
-        _model_query("insight_model_summary", lambda m, t: insights.model_summary(m)),
+        Registered("insight_model_summary", _model_summary, _recursive(op.MODEL_SUMMARY)),
     ]
 
 
@@ -406,7 +448,7 @@ def insight_queries() -> list[Registered]:
                     lambda t: round_doubles(insights.risky_states(t), 9), om.INSIGHT_RISKY_STATES),
         frame_query("insight_patterns", "events", insights.patterns, om.INSIGHT_PATTERNS),
         frame_query("insights", "events", insights.insights, om.INSIGHTS),
-        _model_query("insights_with_model", lambda m, t: insights.insights(t, m)),
+        Registered("insights_with_model", _insights_with_model, _recursive(om.INSIGHTS_WITH_MODEL)),
     ]
 
 
@@ -417,12 +459,21 @@ def _stream(name, fn):
     return build
 
 
+def _model_stream(spark, sf_dir):
+    """The stored model on a stream, with the statistics of its training."""
+    from ..streaming import monitors
+    model = fitted_model(spark, sf_dir)
+    return round_doubles(monitors.run_model_scores(monitors.events_stream(spark, sf_dir), model,
+                                                   "stream_model_score"), 9)
+
+
 def streaming_queries() -> list[Registered]:
     from ..streaming import monitors
     from .registry import with_transactions
     return [
         Registered("stream_fraud_score", _stream("stream_fraud_score", monitors.fraud_score_stream),
                    with_transactions("events", om.STREAM_FRAUD_SCORE)),
+        Registered("stream_model_score", _model_stream, None),
         Registered("stream_health", _stream("stream_health", monitors.health_stream),
                    with_transactions("events", om.STREAM_HEALTH)),
     ]

@@ -1,6 +1,7 @@
 """DuckDB SQL for the model-evaluation, insight and streaming operators."""
 
 from .oracle_dashboards import RISK_SCORE_EXPR
+from .oracle_profiling import MODEL_SUMMARY
 
 SPLIT_STRATIFIED = """
 r AS (SELECT transaction_id, fraud_flag,
@@ -142,3 +143,8 @@ INSIGHTS = (_PATTERN_CTES + ",\npat AS (SELECT 'risky_hours'" + _PATTERN_ROWS +
                 f"SELECT 'overview' AS section, '{c}' AS name, CAST({c} AS VARCHAR) AS value FROM ov"
                 for c in ("total_transactions", "total_fraud_cases", "fraud_rate_percent"))
             + "\nUNION ALL SELECT 'patterns', pattern, message FROM pat")
+
+# the same with the counts of the model
+INSIGHTS_WITH_MODEL = ("summary AS (WITH RECURSIVE " + MODEL_SUMMARY.strip() + "),\n" + INSIGHTS + "\nUNION ALL " + "\nUNION ALL ".join(
+    f"SELECT 'model' AS section, '{c}' AS name, CAST({c} AS VARCHAR) AS value FROM summary"
+    for c in ("fraud_clusters_detected", "anomaly_clusters", "graph_nodes", "graph_edges")))

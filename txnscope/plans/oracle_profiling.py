@@ -1,6 +1,7 @@
 """DuckDB SQL for profiling, features, profiles and graph operators."""
 
 from ..functions import fixed
+from .oracle_dashboards import RISK_SCORE_EXPR
 
 TXN_TYPES = [("transaction_id", "string"), ("timestamp", "timestamp_ntz"),
              ("transaction_type", "string"), ("merchant_category", "string"),
@@ -241,11 +242,12 @@ SELECT transaction_id, n_neighbours, n_neighbours >= 5 AS is_core FROM nb"""
 # Clusters: components of the core points by keyed recursion (a point's row is replaced
 # only by a smaller label), numbered by their smallest key; border points take the
 # smallest cluster next to them. Needs WITH RECURSIVE (see catalog).
+_D2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _F)
 _CLUSTERS = _Z + """,
 z AS (SELECT transaction_id, fraud_flag, """ + ", ".join(f"({c} - mu_{c}) / sd_{c} AS {c}" for c in _F) + """
       FROM imp JOIN transactions USING (transaction_id), sc),
-near AS MATERIALIZED (SELECT a.transaction_id AS x, b.transaction_id AS y FROM z a JOIN z b ON (""" + " + ".join(
-    f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _F) + """) <= 1.0 * 1.0),
+near AS MATERIALIZED (SELECT a.transaction_id AS x, b.transaction_id AS y, """ + _D2 + """ AS d2
+                      FROM z a JOIN z b ON (""" + _D2 + """) <= 1.0 * 1.0),
 core AS MATERIALIZED (SELECT x AS id FROM near GROUP BY x HAVING COUNT(*) >= 5),
 core_pairs AS MATERIALIZED (SELECT x, y FROM near WHERE x IN (SELECT id FROM core)
                             AND y IN (SELECT id FROM core)),
@@ -377,3 +379,57 @@ FROM gaps WHERE {where}""" for stage, where in (("before", "TRUE"), ("after", _N
 IMPUTE_MEDIAN = _GAPS + """
 SELECT transaction_id, COALESCE(CAST(amount_inr AS DOUBLE),
        (SELECT quantile_cont(CAST(amount_inr AS DOUBLE), 0.5) FROM gaps)) AS amount_inr FROM gaps"""
+
+
+# --- the blend: amounts in the place of the isolation forest, the rule score in that of
+# the random forest, the cluster of the nearest core point, the last day's bank graph
+_BLEND = _CLUSTERS + "," + _CENTRALITY_CTES + _SUSPICIOUS_CTE + """,
+assigned AS (SELECT n.x AS transaction_id, arg_min(i.cluster, (n.d2, n.y)) AS cluster
+             FROM near n JOIN inner_points i ON i.id = n.y GROUP BY n.x),
+scale AS (SELECT MIN(-CAST(amount_inr AS DOUBLE)) AS lo, MAX(-CAST(amount_inr AS DOUBLE)) AS hi
+          FROM transactions),
+parts AS (
+  SELECT t.transaction_id, t.amount_inr, COALESCE(a.cluster, -1) AS cluster,
+         1 - (-CAST(t.amount_inr AS DOUBLE) - scale.lo) / (scale.hi - scale.lo) AS iso_score,
+         """ + RISK_SCORE_EXPR + """ / 4.0 AS rf_probability,
+         CASE WHEN r.fraud_rate > 0.05 THEN 1.0 ELSE 0.1 END::DOUBLE AS dbscan_score,
+         LEAST(1.0, (0.1 + (COALESCE(s1.fraud_rate, 0.0)
+                            + CASE WHEN t.sender_bank = t.receiver_bank THEN 0.0
+                                   ELSE COALESCE(s2.fraud_rate, 0.0) END))
+                    + COALESCE(CAST(e0.fraud_count AS DOUBLE) / e0.weight, 0.0)) AS graph_risk_score
+  FROM transactions t CROSS JOIN scale
+  LEFT JOIN assigned a ON a.transaction_id = t.transaction_id
+  LEFT JOIN rates r ON r.cluster = a.cluster
+  LEFT JOIN sus s1 ON s1.node = 'bank_' || t.sender_bank
+  LEFT JOIN sus s2 ON s2.node = 'bank_' || t.receiver_bank
+  LEFT JOIN e0 ON e0.src = 'bank_' || t.sender_bank AND e0.dst = 'bank_' || t.receiver_bank),
+final AS (
+  SELECT *, (iso_score * 0.3::DOUBLE + rf_probability * 0.5::DOUBLE + dbscan_score * 0.2::DOUBLE) * 0.8::DOUBLE
+            + graph_risk_score * 0.2::DOUBLE AS score FROM parts),
+blended AS (
+  SELECT transaction_id, amount_inr, cluster, ROUND(iso_score, 9) AS iso_score,
+         ROUND(rf_probability, 9) AS rf_probability, ROUND(dbscan_score, 9) AS dbscan_score,
+         ROUND(graph_risk_score, 9) AS graph_risk_score, ROUND(score, 9) AS fraud_score,
+         CASE WHEN score > 0 AND score <= 0.2 THEN 'Low' WHEN score > 0.2 AND score <= 0.5 THEN 'Medium'
+              WHEN score > 0.5 AND score <= 0.8 THEN 'High' WHEN score > 0.8 AND score <= 1 THEN 'Critical'
+         END AS risk_category
+  FROM final)"""
+BLEND_SCORES = _BLEND + """
+SELECT * FROM blended"""
+BLEND_TOPK = _BLEND + """
+SELECT transaction_id, amount_inr, ROUND(fraud_score, 4) AS fraud_score, risk_category FROM (
+  SELECT * FROM blended ORDER BY ROUND(fraud_score, 4) DESC, transaction_id LIMIT 10)"""
+BLEND_SINK = _BLEND + """
+SELECT transaction_id, amount_inr, fraud_score, risk_category FROM blended"""
+
+# counts of the model: graph and centralities of all payments, with the ensemble's floors
+_ALL_TIMES = _CENTRALITY_CTES.replace("""
+        WHERE "timestamp" >= {as_of} - INTERVAL 1 DAY AND "timestamp" < {as_of}""", "")
+MODEL_SUMMARY_CTES = _CLUSTERS + "," + _ALL_TIMES + """,
+summary AS (
+  SELECT (SELECT COUNT(*) FROM cent WHERE betweenness_centrality > -1.0 AND closeness_centrality > 0.01
+          AND total_transactions > 0 AND node_fraud_rate > 0.005) AS fraud_clusters_detected,
+         (SELECT COUNT(*) FROM rates WHERE fraud_rate > 0.05) AS anomaly_clusters,
+         (SELECT COUNT(*) FROM nodes) AS graph_nodes, (SELECT COUNT(*) FROM e0) AS graph_edges)"""
+MODEL_SUMMARY = MODEL_SUMMARY_CTES + """
+SELECT * FROM summary"""

@@ -63,6 +63,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that outlives a session: what the cluster names in
+    ``spark.checkpoint.dir``, else (local tests) the session's own folder."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for a written intermediate table."""
     return os.path.join(checkpoint_dir(spark), "tables", name)

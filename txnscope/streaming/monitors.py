@@ -1,4 +1,4 @@
-"""Structured Streaming versions of the two "real-time" dashboards.
+"""Structured Streaming versions of the two "real-time" dashboards, and model scoring.
 
 The originals re-poll a ``NOW() - 1 hour`` predicate. Here the same logic runs
 incrementally:
@@ -12,6 +12,9 @@ incrementally:
   the number of banks and categories), because exact ``countDistinct`` is not
   supported on streams.
 
+* ``run_model_scores`` -- the fitted ensemble applied batch by batch, each batch written
+  to its own folder (a repeated batch replaces it).
+
 Sources are file streams of the ``events`` table joined to the static
 dimension tables (stream-static joins). Event time must be TIMESTAMP (not
 NTZ) for a watermark, so it is cast with the session zone pinned to UTC.
@@ -100,3 +103,24 @@ def run_to_parquet(stream: DataFrame, name: str, trigger_available_now: bool = T
     if q.exception():
         raise q.exception()
     return spark.read.schema(stream.schema).parquet(os.path.join(root, "out"))
+
+
+def run_model_scores(stream: DataFrame, model, name: str, root: str | None = None) -> DataFrame:
+    """Score a stream of payments with a fitted ensemble (its training statistics, so that a
+    row's score does not depend on its batch) and return the batch view of the scores.
+
+    A batch is written to a folder of its own that a repeated run of the batch replaces, so
+    a restart after a failure leaves each payment scored once."""
+    spark = stream.sparkSession
+    root = root or os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+    out = os.path.join(root, "out")
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        model.score(batch, stats="train").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    q = (stream.writeStream.foreachBatch(score).trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(root, "checkpoint")).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    schema = model.score(spark.createDataFrame([], stream.schema), stats="train").schema
+    return spark.read.schema(schema).parquet(f"{out}/batch=*")
