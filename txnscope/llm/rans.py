@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import global_running_sum
 from .common import (create_file, crc32_u32, open_file, pack_u16, read_table, shared_folder,
                      task_file, task_state, unpack_u16, written)
 
@@ -132,37 +133,46 @@ class WordEncoder:
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids): every whole text, the end id appended, ids packed."""
+    """(doc_id, n_tokens, ids, counts): every whole text, the end id appended, ids packed;
+    and a row per task with only ``counts``, how often each id occurred in it."""
+    schema = "doc_id long, n_tokens long, ids binary, counts binary"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = task_state(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
-        end = np.array([end_id], "<u2")
+        end, counts = np.array([end_id], "<u2"), np.zeros(VOCABULARY, np.int64)
         for b in batches:
             for lo in range(0, b.num_rows, ROWS_AT_ONCE):
                 part = b.slice(lo, ROWS_AT_ONCE)
                 ids, bounds = encoder.encode(pa.concat_arrays([part.column("text")]))
+                counts += np.bincount(ids, minlength=VOCABULARY)
+                counts[end_id] += part.num_rows
                 each = [np.concatenate([ids[x:y], end]) for x, y in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(x) for x in each], pa.int64()),
-                     pa.array([pack_u16(x) for x in each], pa.binary())],
-                    ["doc_id", "n_tokens", "ids"])
+                     pa.array([pack_u16(x) for x in each], pa.binary()),
+                     pa.nulls(len(each), pa.binary())], ["doc_id", "n_tokens", "ids", "counts"])
+        if counts.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([counts.astype("<i8").tobytes()], pa.binary())],
+                ["doc_id", "n_tokens", "ids", "counts"])
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInArrow(run, "doc_id long, n_tokens long, ids binary"))
+            .mapInArrow(run, schema))
 
 
 # --- frequency table ----------------------------------------------------------------------
 
 def token_counts(tokens: DataFrame) -> np.ndarray:
-    """Counts over all ids. Tasks emit one row per id they saw; the driver receives
-    at most one row per vocabulary id (65,536)."""
+    """Counts over all ids of a written ``tokenized`` table, from the rows its tasks left.
+    The driver receives at most one row per vocabulary id (65,536)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = np.zeros(VOCABULARY, np.int64)
         for b in batches:
-            if len(b):
-                ids = np.concatenate([unpack_u16(x) for x in b["ids"]])
-                n += np.bincount(ids, minlength=VOCABULARY)
+            for blob in b["counts"]:
+                n += np.frombuffer(blob, "<i8")
         seen = np.flatnonzero(n)
         yield pd.DataFrame({"id": seen.astype(np.int32), "n": n[seen]})
-    rows = (tokens.select("ids").mapInPandas(run, "id int, n long")
+    rows = (tokens.where("n_tokens IS NULL").select("counts").mapInPandas(run, "id int, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).collect())
     out = np.zeros(VOCABULARY, np.int64)
     for r in rows:
@@ -380,12 +390,9 @@ def write_shards(tokens: DataFrame, folder: str, table: np.ndarray,
 
 def read_documents(spark: SparkSession, manifest: DataFrame, table: np.ndarray) -> DataFrame:
     """Decode the shards of a manifest in parallel: shard, doc_id, start, n_tokens,
-    ids_crc32. Only the manifest (one row per shard) passes through the driver, to
-    number the first token of each shard."""
-    shards, start = [], 0
-    for r in manifest.orderBy("shard").collect():
-        shards.append((r.shard, r.path, start))
-        start += r.n_tokens
+    ids_crc32. The first token of each shard is a running sum over the manifest."""
+    placed = global_running_sum(manifest, [F.col("shard")], "n_tokens", "upto")
+    listed = placed.select("shard", "path", (F.col("upto") - F.col("n_tokens")).alias("first"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(table)
@@ -395,9 +402,9 @@ def read_documents(spark: SparkSession, manifest: DataFrame, table: np.ndarray)
                                     columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 yield rows.assign(doc_id=rows["doc_id"].astype("Int64"), shard=shard,
                                   start=rows["start"].astype("int64") + first)
-    schema = "shard int, path string, first long"
-    listed = (spark.createDataFrame(shards, schema).repartition(len(shards)) if shards
-              else spark.createDataFrame([], schema))
+    # one task per shard, as far as the scheduler can hold them
+    tasks = max(1, min(manifest.count(), 100_000))
+    listed = listed.repartitionByRange(tasks, "shard")
     return listed.mapInPandas(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")
 
@@ -408,7 +415,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2,
     tokens = written(tokenized(docs, tokenizer_path, end_id), "tokens")
     table = scaled_table(token_counts(tokens))
     folder = shared_folder(docs.sparkSession, "rans")
-    return write_shards(tokens, folder, table, tokens_per_shard), table
+    documents = tokens.where("n_tokens IS NOT NULL").select("doc_id", "n_tokens", "ids")
+    return write_shards(documents, folder, table, tokens_per_shard), table
 
 
 def encoded_and_read_back(docs: DataFrame) -> DataFrame:
