@@ -18,15 +18,17 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 FOLDS = 5
 
 
-#: Rows that one Arrow batch hands to Python: texts are long, and a worker holds a few
-#: batches at a time.
-BATCH_ROWS = 2000
+#: Rows and bytes that one Arrow batch hands to Python: texts are long, some very long, and
+#: a worker holds a few batches at a time.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded_batches(spark: SparkSession) -> None:
     if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    spark.conf.set(_BYTES_SETTING, str(BATCH_BYTES))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,9 +88,11 @@ def _kept() -> dict:
 
 
 def task_state(name: str, make):
-    """State that the tasks of one Python worker share (a worker serves many tasks)."""
+    """State that the tasks of one step share in a Python worker (a worker serves many
+    tasks, also of other steps: what those left is released first)."""
     kept = _kept()
     if name not in kept:
+        release_task_state()
         kept[name] = make()
     return kept[name]
 
@@ -103,6 +107,11 @@ def release_task_state() -> None:
         del kept[name]
     gc.collect()
     pa.default_memory_pool().release_unused()
+    try:
+        import ctypes
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:                      # another C library: it keeps its free pages
+        pass
 
 
 # --- files written and read inside tasks -------------------------------------------------
