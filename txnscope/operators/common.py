@@ -37,3 +37,35 @@ def bounded_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast when it has at most ``most`` rows. ``df`` should be
     small to count (checkpointed, or an aggregate over a checkpointed table)."""
     return F.broadcast(df) if df.count() <= most else df
+
+
+#: Pieces of an even share that a frequent key is cut into, so that they spread evenly.
+PIECES = 16
+
+
+def lookup_join(df: DataFrame, side: DataFrame, keys: list[str], most: int | None = None) -> DataFrame:
+    """``df`` left-joined with ``side`` (at most one row per key) on a few codes that may be
+    very frequent in ``df``.
+
+    A side of at most ``most`` rows goes to every task. A larger one is joined by shuffle,
+    and keys that hold more than a part of an even share of ``df`` are found first: their
+    rows are dealt over as many salts as such parts they hold, and their row of ``side`` is
+    copied to each. Such keys are fewer than ``PIECES`` a partition, so their table is
+    broadcast."""
+    if side.count() <= (BROADCAST_ROWS if most is None else most):
+        return df.join(F.broadcast(side), keys, "left")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    share = max(1, -(-df.count() // (partitions * PIECES)))
+    hot = counts.where(F.col("_n") > share).select(
+        *keys, F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+    one = F.coalesce("_salts", F.lit(1))
+    dealt = (df.join(F.broadcast(hot), keys, "left")
+             .withColumn("_salt", F.pmod(F.xxhash64(*df.columns), one.cast("bigint")).cast("int"))
+             .drop("_salts"))
+    copied = (side.join(F.broadcast(hot), keys, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("_salts"))
+    # as many tasks as shares, whatever the sizes in bytes
+    dealt = dealt.repartition(partitions, *keys, "_salt")
+    return dealt.join(copied.hint("merge"), [*keys, "_salt"], "left").drop("_salt")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import checkpoint_dir
-from .common import bounded_side, with_scalars
+from .common import bounded_side, lookup_join, with_scalars
 
 NODE_PREFIX = "bank_"
 
@@ -249,19 +249,19 @@ def select_suspicious(c: DataFrame, fraud_threshold: float = fixed.FRAUD_THRESHO
             .orderBy(F.desc("fraud_rate"), "node"))
 
 
-def graph_risk_scores(t: DataFrame, edges: DataFrame, suspicious: DataFrame) -> DataFrame:
+def graph_risk_scores(t: DataFrame, edges: DataFrame, suspicious: DataFrame,
+                      most: int | None = None) -> DataFrame:
     """Per transaction: min(1, 0.1 + sum of suspicious-node rates among its two
     endpoints (once when both are the same bank) + its edge's fraud rate). Banks and
-    bank pairs go to every task after a check of their number, so the payments are not
-    shuffled on a few bank codes."""
+    bank pairs go to every task up to a checked number of ``most``; beyond it the payments
+    of frequent banks are dealt over salts (``lookup_join``)."""
     s = suspicious.select(F.col("node").alias("_n"), F.col("fraud_rate").alias("_r"))
     e = edges.select(F.col("src").alias("_src"), F.col("dst").alias("_dst"),
                      F.col("fraud_rate").alias("_edge_rate"))
-    s, e = bounded_side(s), bounded_side(e)
-    x = (t.withColumns({"_src": node("sender_bank"), "_dst": node("receiver_bank")})
-         .join(s.withColumnRenamed("_n", "_src").withColumnRenamed("_r", "_rs"), "_src", "left")
-         .join(s.withColumnRenamed("_n", "_dst").withColumnRenamed("_r", "_rd"), "_dst", "left")
-         .join(e, ["_src", "_dst"], "left"))
+    x = t.withColumns({"_src": node("sender_bank"), "_dst": node("receiver_bank")})
+    x = lookup_join(x, s.withColumnRenamed("_n", "_src").withColumnRenamed("_r", "_rs"), ["_src"], most)
+    x = lookup_join(x, s.withColumnRenamed("_n", "_dst").withColumnRenamed("_r", "_rd"), ["_dst"], most)
+    x = lookup_join(x, e, ["_src", "_dst"], most)
     cluster = F.coalesce(F.col("_rs"), F.lit(0.0)) + F.when(
         F.col("_src") == F.col("_dst"), F.lit(0.0)).otherwise(F.coalesce(F.col("_rd"), F.lit(0.0)))
     score = F.least(F.lit(1.0), F.lit(0.1) + cluster + F.coalesce(F.col("_edge_rate"), F.lit(0.0)))
@@ -276,24 +276,22 @@ def fraud_related_banks(t: DataFrame) -> DataFrame:
             .union(f.select(F.col("receiver_bank").alias("bank"))).distinct())
 
 
-def fraud_subgraph(t: DataFrame) -> DataFrame:
+def fraud_subgraph(t: DataFrame, most: int | None = None) -> DataFrame:
     """Payments whose sender OR receiver bank is fraud-related.
 
     Two left joins against the bank set give one flag per side (a semi join
-    cannot express OR); the bank set is computed once and goes to every task
-    after a check of its size.
+    cannot express OR); the bank set is computed once and looked up by ``lookup_join``.
     """
     checkpoint_dir(t.sparkSession)
-    return _subgraph(t, fraud_related_banks(t).checkpoint(eager=True))
+    return _subgraph(t, fraud_related_banks(t).checkpoint(eager=True), most).select(*t.columns)
 
 
-def _subgraph(t: DataFrame, banks: DataFrame) -> DataFrame:
-    banks = bounded_side(banks)
-    return (t.join(banks.select(F.col("bank").alias("sender_bank"), F.lit(1).alias("_s")),
-                   "sender_bank", "left")
-            .join(banks.select(F.col("bank").alias("receiver_bank"), F.lit(1).alias("_r")),
-                  "receiver_bank", "left")
-            .where(F.col("_s").isNotNull() | F.col("_r").isNotNull())
+def _subgraph(t: DataFrame, banks: DataFrame, most: int | None = None) -> DataFrame:
+    x = lookup_join(t, banks.select(F.col("bank").alias("sender_bank"), F.lit(1).alias("_s")),
+                    ["sender_bank"], most)
+    x = lookup_join(x, banks.select(F.col("bank").alias("receiver_bank"), F.lit(1).alias("_r")),
+                    ["receiver_bank"], most)
+    return (x.where(F.col("_s").isNotNull() | F.col("_r").isNotNull())
             .drop("_s", "_r"))
 
 

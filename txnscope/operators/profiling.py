@@ -147,6 +147,47 @@ def amount_kde(df: DataFrame, col: str = "amount_inr", gridsize: int = 200, cut:
                     .alias("scaled_count")))
 
 
+#: Binned density: error allowed, as a share of the kernel's peak; most bins.
+KDE_TOLERANCE, KDE_MOST_BINS = 1e-5, 1 << 20
+
+
+def amount_kde_binned(df: DataFrame, col: str = "amount_inr", gridsize: int = 200,
+                      tolerance: float = KDE_TOLERANCE) -> DataFrame:
+    """The density of ``amount_kde`` from values dealt to an even fine grid, whose work does
+    not depend on the number of distinct values.
+
+    Each value gives its weight to the two grid points around it, in proportion (one
+    aggregation); then kernels of the grid points with weight are summed. Linear binning
+    at a step d errs by at most d^2 / 8 times the kernel's largest second derivative, that
+    is (d / bandwidth)^2 / 8 of the kernel's peak 1 / (bandwidth sqrt(2 pi)); the step is
+    chosen so that this stays below ``tolerance``."""
+    x = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"))
+    one = x.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"),
+                F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    if not one["n"] or not one["sd"]:
+        return (df.sparkSession.createDataFrame([], "grid_index INT, grid_x DOUBLE, density DOUBLE, "
+                                                "max_error DOUBLE"))
+    n, lo, hi = one["n"], one["lo"], one["hi"]
+    bw = n ** -0.2 * one["sd"]
+    steps = min(KDE_MOST_BINS, math.ceil((hi - lo) / (bw * math.sqrt(8 * tolerance))))
+    d = (hi - lo) / steps
+    place = F.least(F.floor((F.col("x") - lo) / d), F.lit(steps - 1))
+    part = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("x") - lo) / d - F.col("k")))
+    weights = (x.withColumn("k", place).groupBy("k")
+               .agg(F.sum(1.0 - part).alias("here"), F.sum(part).alias("next"))
+               .select(F.inline(F.array(F.struct("k", F.col("here").alias("w")),
+                                        F.struct((F.col("k") + 1).alias("k"), F.col("next").alias("w")))))
+               .groupBy("k").agg(F.sum("w").alias("w")))
+    at = F.lit(lo) + (hi - lo) * F.col("gi") / (gridsize - 1)
+    z = (at - (F.lit(lo) + F.col("k") * d)) / bw
+    peak = 1.0 / (bw * math.sqrt(2 * math.pi))
+    return (weights.select("k", "w", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi"))
+            .groupBy("gi").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
+            .select(F.col("gi").alias("grid_index"), at.alias("grid_x"),
+                    (F.col("s") * (peak / n)).alias("density"),
+                    F.lit((d / bw) ** 2 / 8 * peak).alias("max_error")))
+
+
 def fraud_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("fraud_flag").agg(F.count(F.lit(1)).alias("n_transactions"))
 

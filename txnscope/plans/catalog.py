@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -77,6 +79,52 @@ def _kde(t):
                     F.round("scaled_count", 6).alias("scaled_count"))
 
 
+def _kde_binned(t):
+    """The binned density beside the exact one: the report says where they agree within the
+    stated error and within 1e-4 of the largest density."""
+    t = _base(t)
+    exact = profiling.amount_kde(t).select("grid_index", F.col("density").alias("exact"))
+    both = profiling.amount_kde_binned(t).join(exact, "grid_index")
+    top = F.max("exact").over(Window.partitionBy())      # 200 grid points
+    off = F.abs(F.col("density") - F.col("exact"))
+    return both.select("grid_index", F.round("grid_x", 6).alias("grid_x"),
+                       F.round("exact", 12).alias("exact_density"),
+                       (off <= F.col("max_error") + 1e-15).alias("within_error"),
+                       (off <= 1e-4 * top).alias("within_tolerance"))
+
+
+LOOKBACKS = [7, 30, 90, 365]
+
+
+def _lookback_sketches(spark, sf_dir):
+    """Distinct payments and bank pairs of four look-backs from the stored sketches of
+    their days, beside the exact counts."""
+    from ..operators import sketches
+    from ..session import scratch_path
+    as_of = FIXTURE_AS_OF["lineitem"]
+    t = load_transactions(spark, sf_dir, "lineitem", lookback_days=max(LOOKBACKS), bounded=True)
+    values = {"payments": F.col("transaction_id"),
+              "bank_pairs": F.concat_ws("|", "sender_bank", "receiver_bank")}
+    out = None
+    for name, value in values.items():
+        path = scratch_path(spark, f"sketches-{name}-{uuid.uuid4().hex[:10]}")
+        sketches.store_days(sketches.daily_sketches(t, value, []), path)
+        found = sketches.lookback_counts(spark, path, as_of, LOOKBACKS, []).withColumn(
+            "counted", F.lit(name))
+        out = found if out is None else out.unionByName(found)
+    age = F.datediff(F.lit(as_of.date()), F.to_date("timestamp"))
+    spans = F.explode(F.filter(F.lit(LOOKBACKS).cast("array<int>"), lambda d: age <= d))
+    exact = (t.where(age >= 1).select(*[v.alias(n) for n, v in values.items()], spans.alias("lookback_days"))
+             .groupBy("lookback_days").agg(*[F.count_distinct(n).alias(n) for n in values])
+             .select("lookback_days", F.inline(F.array(*[
+                 F.struct(F.lit(n).alias("counted"), F.col(n).alias("exact_count")) for n in values]))))
+    bound = sketches.relative_error()
+    return out.join(exact, ["lookback_days", "counted"]).select(
+        "counted", "lookback_days", "days_read", "exact_count",
+        (F.abs(F.col("estimate") - F.col("exact_count")) <= F.ceil(F.col("exact_count") * bound))
+        .alias("within_error"))
+
+
 def _base(t):
     """The frame written once: statistics, encoders and the result all read it."""
     checkpoint_dir(t.sparkSession)
@@ -177,8 +225,6 @@ ENSEMBLE_FLOORS = dict(min_betweenness=-1.0, min_closeness=0.01, fraud_threshold
 
 
 def _csv_path(t):
-    import uuid
-
     from ..session import scratch_path
     from ..sources import intake
     return intake.export_csv(t, scratch_path(t.sparkSession, f"csv-{uuid.uuid4().hex[:10]}"))
@@ -239,6 +285,9 @@ def profiling_queries() -> list[Registered]:
         frame_query("temporal_features", "events", _temporal, op.TEMPORAL_FEATURES),
         frame_query("amount_histogram", "events", _histogram, op.AMOUNT_HISTOGRAM),
         frame_query("amount_kde", "events", _kde, op.AMOUNT_KDE),
+        frame_query("amount_kde_binned", "events", _kde_binned, op.AMOUNT_KDE_BINNED),
+        Registered("lookback_distinct_sketches", _lookback_sketches,
+                   with_transactions("lineitem", op.LOOKBACK_DISTINCT)),
         frame_query("fraud_counts", "events", profiling.fraud_counts, op.FRAUD_COUNTS),
         frame_query("hourly_counts", "events", profiling.hourly_counts, op.HOURLY_COUNTS),
         frame_query("hourly_fraud_counts", "events", profiling.hourly_fraud_counts,
@@ -387,8 +436,6 @@ def _blended_sink(spark, sf_dir):
 def _written_by_category(scores):
     """Written as a parquet table partitioned by risk category in the shared folder (the
     sink of a scoring job), read back."""
-    import uuid
-
     from ..session import scratch_path
     from ..sources import intake
     spark = scores.sparkSession
@@ -474,6 +521,8 @@ def streaming_queries() -> list[Registered]:
         Registered("stream_fraud_score", _stream("stream_fraud_score", monitors.fraud_score_stream),
                    with_transactions("events", om.STREAM_FRAUD_SCORE)),
         Registered("stream_model_score", _model_stream, None),
+        Registered("stream_health_periods", _stream("stream_health_periods", monitors.period_health_stream),
+                   with_transactions("events", om.STREAM_HEALTH_PERIODS)),
         Registered("stream_health", _stream("stream_health", monitors.health_stream),
                    with_transactions("events", om.STREAM_HEALTH)),
     ]

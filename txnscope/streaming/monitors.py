@@ -12,6 +12,8 @@ incrementally:
   the number of banks and categories), because exact ``countDistinct`` is not
   supported on streams.
 
+* ``period_health_stream`` -- the last hour and the last 24 hours in one stream, over
+  5-minute panes kept as state.
 * ``run_model_scores`` -- the fitted ensemble applied batch by batch, each batch written
   to its own folder (a repeated batch replaces it).
 
@@ -88,6 +90,59 @@ def health_stream(t: DataFrame, window: str = "1 hour", slide: str = "5 minutes"
         .alias("system_status"))
 
 
+#: Payments below which a period's volume is low.
+VOLUME_FLOORS = {"LAST_HOUR": 1000, "LAST_24_HOURS": 50000}
+
+
+def panes(t: DataFrame, pane: str = "5 minutes", watermark: str = "10 minutes") -> DataFrame:
+    """One row per closed pane of event time: counts, sums and the banks and categories
+    seen. Every payment is one row into this state."""
+    ev = t.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    return (ev.withWatermark("event_time", watermark).groupBy(F.window("event_time", pane).alias("pane"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_inr").alias("value"),
+                 count_if(F.col("transaction_status") == "SUCCESS").alias("ok"),
+                 count_if(F.col("fraud_flag") == 1).alias("fraud"),
+                 F.collect_set("sender_bank").alias("banks"),
+                 F.collect_set("merchant_category").alias("categories"))
+            .withColumn("pane_time", F.window_time("pane")).drop("pane"))
+
+
+def period_health_stream(t: DataFrame, pane: str = "5 minutes", slide: str = "15 minutes",
+                         watermark: str = "10 minutes") -> DataFrame:
+    """The health report of the last hour and of the last 24 hours, every ``slide``, as one
+    stream. Payments are reduced to panes first; a day's window merges its panes (at most
+    288 small rows), and the last hour is its last panes, so no payment is copied. A period
+    is reported once the watermark has passed its end, if it holds a payment."""
+    merged = (panes(t, pane, watermark).withColumn("w", F.window("pane_time", "24 hours", slide))
+              .groupBy("w"))
+    late = F.col("pane_time") >= F.col("w.end") - F.expr("INTERVAL 1 HOUR")
+    aggs = []
+    for tag, inside in (("h1", late), ("h24", F.lit(True))):
+        aggs += [F.sum(F.when(inside, F.col(c))).alias(f"{tag}_{c}") for c in ("n", "value", "ok", "fraud")]
+        aggs += [F.size(F.array_distinct(F.flatten(F.collect_list(F.when(inside, F.col(c))))))
+                 .alias(f"{tag}_{c}") for c in ("banks", "categories")]
+    rows = merged.agg(*aggs).select("w", F.inline(F.array(*[F.struct(
+        F.lit(period).alias("time_period"), F.lit(floor).alias("floor_n"),
+        *[F.col(f"{tag}_{c}").alias(c) for c in ("n", "value", "ok", "fraud", "banks", "categories")])
+        for tag, (period, floor) in zip(("h1", "h24"), VOLUME_FLOORS.items())])))
+    s, f = pct("ok", "n"), pct("fraud", "n")
+
+    def rounded(top, digits):
+        """top / n, rounded half up in whole numbers."""
+        scale = 10 ** digits
+        halves = top * (2 * scale) + F.col("n")
+        return (halves - halves % (2 * F.col("n"))) / (2 * F.col("n")) / float(scale)
+    return rows.where("n > 0").select(
+        F.col("w.end").cast("timestamp_ntz").alias("period_end"), "time_period",
+        F.col("n").alias("transaction_count"), F.col("value").alias("total_value"),
+        rounded(F.col("value"), 2).alias("avg_transaction_value"),
+        rounded(F.col("ok") * 100, 2).alias("success_rate"),
+        rounded(F.col("fraud") * 100, 4).alias("fraud_rate"),
+        F.col("banks").alias("active_banks"), F.col("categories").alias("active_merchant_categories"),
+        first_match([(s < 95, "SUCCESS_RATE_LOW"), (f > 1, "FRAUD_RATE_HIGH"),
+                     (F.col("n") < F.col("floor_n"), "VOLUME_LOW")], "HEALTHY").alias("system_status"))
+
+
 def run_to_parquet(stream: DataFrame, name: str, trigger_available_now: bool = True) -> DataFrame:
     """Run a streaming query into a parquet folder of the shared checkpoint
     area (available-now trigger: process everything present, then stop) and
