@@ -68,8 +68,8 @@ def test_records(spark, pages):
     assert len(captures) == total
     html = {r.page_id: r.html for r in pages.collect()}
     for c in captures:
-        assert c.request.record_type == "request" and c.metadata.record_type == "metadata"
-        fields = c.metadata.fields
+        assert [x.record_type for x in c.requests + c.metadata] == ["request", "metadata"]
+        fields = c.metadata[0].fields
         if c.main.record_type == "response" and "page-id" in fields:
             payload = bytes(c.main.block).partition(b"\r\n\r\n")[2]
             assert payload == (html[int(fields["page-id"])] or "").encode()
@@ -88,10 +88,11 @@ def test_chains_and_orphans(spark):
     records = spark.createDataFrame([
         row("a", "response", "b"), row("b", "request"), row("c", "metadata", "b"),
         row("d", "response"), row("e", "request", "d"), row("f", "metadata", "e"),
-        row("g", "metadata", "nowhere")], columns)
-    got = sorted(tuple(x and x.record_id for x in (r.main, r.request, r.metadata))
+        row("g", "metadata", "nowhere"), row("c2", "metadata", "b"), row("c0", "metadata", "a"),
+        row("b2", "request", "b")], columns)
+    got = sorted((r.main.record_id, *(tuple(x.record_id for x in of) for of in (r.requests, r.metadata)))
                  for r in W.assemble(records).collect() if r.main)
-    assert got == [("a", "b", "c"), ("d", "e", "f")]
+    assert got == [("a", ("b", "b2"), ("c", "c0", "c2")), ("d", ("e",), ("f",))]
     assert W.assemble(records).count() == 3
 
 

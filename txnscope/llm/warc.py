@@ -206,31 +206,36 @@ def read_records(manifest: DataFrame, with_blocks: bool = True) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: transaction, main (response or revisit), request,
-    metadata. A record belongs to the record it is concurrent to; a chain of two
-    (metadata of a request, or a response that names its request) is followed."""
+    """One nested row per capture: transaction, main (response or revisit), and all its
+    requests and metadata records as arrays in the order of their ids. A record belongs to
+    the record it is concurrent to; a chain of two (metadata of a request, or a response
+    that names its request) is followed. Of several main records of a capture the one with
+    the smallest id is main."""
     links = records.where("concurrent_to IS NOT NULL").select(
         F.col("record_id").alias("_of"), F.col("concurrent_to").alias("_next"))
     keyed = (records.join(links, F.col("concurrent_to") == F.col("_of"), "left")
              .withColumn("transaction", F.coalesce("_next", "concurrent_to", "record_id")))
     columns = [c for c in records.columns if c != "concurrent_to"]
 
-    def part(*kinds):
-        return F.first(F.when(F.col("record_type").isin(*kinds), F.struct(*columns)),
-                       ignorenulls=True)
+    def all_of(kind):
+        held = F.collect_list(F.when(F.col("record_type") == kind, F.struct(*columns)))
+        return F.array_sort(held, lambda x, y: F.when(x["record_id"] < y["record_id"], -1)
+                            .when(x["record_id"] > y["record_id"], 1).otherwise(0))
+    is_main = F.col("record_type").isin("response", "revisit")
     return keyed.groupBy("transaction").agg(
-        part("response", "revisit").alias("main"), part("request").alias("request"),
-        part("metadata").alias("metadata"))
+        F.min_by(F.when(is_main, F.struct(*columns)), F.when(is_main, F.col("record_id"))).alias("main"),
+        all_of("request").alias("requests"), all_of("metadata").alias("metadata"))
 
 
 def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(read_table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
     # written first: the join is then planned by the records' size, not the manifest's
     records = written(read_records(manifest, with_blocks=False), "warc-records")
+    fields = F.try_element_at("metadata", F.lit(1))["fields"]      # this writer's only one
     captures = written(assemble(records).select(
-        F.col("metadata.fields")["page-id"].cast("bigint").alias("page_id"),
-        F.coalesce(F.col("main.payload_bytes"),
-                   F.col("metadata.fields")["payload-bytes"].cast("bigint")).alias("payload_bytes"),
+        fields["page-id"].cast("bigint").alias("page_id"),
+        F.coalesce(F.col("main.payload_bytes"), fields["payload-bytes"].cast("bigint"))
+        .alias("payload_bytes"),
         F.col("main.payload_digest").alias("payload_digest"),
         F.col("main.record_type").alias("record_type"),
         F.col("main.record_id").alias("record_id"),
