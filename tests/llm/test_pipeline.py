@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as C
-from llm_cases import SF_SMALL, WORDS, prose
+from llm_cases import SF_SMALL, WORDS, empty, odd, prose  # noqa: F401
 from txnscope.llm.common import written
 
 
@@ -90,3 +90,21 @@ def test_entry_without_the_subpackage(monkeypatch):
     monkeypatch.setitem(sys.modules, "txnscope.llm", None)
     assert not any(q.startswith("op") and q[2].isdigit() for q in E.queries())
     assert "pipeline" not in E.queries() and "merchant_intelligence" in E.queries()
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_the_chain_on_odd_rows_and_on_none(spark, corpus, odd, empty, kind):  # noqa: F811
+    """Nulls in any column, empty and very long texts, ties, repeated rows, clashing columns;
+    and no rows at all."""
+    docs = written({"odd": odd, "empty": empty}[kind], "odd-docs")
+    before = docs.count()
+    for name, stage in C.STAGES:
+        out = written(stage(spark, docs, corpus), f"odd-{name}")
+        if name != "token_id_output":
+            assert out.columns == docs.columns
+            seen = {tuple(r) for r in docs.collect()}
+            assert all(tuple(r) in seen for r in out.collect())
+        else:
+            assert out.count() == docs.count()
+        docs = out
+    assert (docs.count() > 0) == (before > 0)
