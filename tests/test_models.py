@@ -185,3 +185,32 @@ def test_dbscan_without_core_points_or_rows(spark):
         ("a", -1, 1), ("b", -1, 1), ("c", -1, 0)}
     assert m.assign(df).where("cluster <> -1").count() == 0
     assert dbscan.fit_dbscan(df.limit(0), ["x"]).labels.count() == 0
+
+
+def test_dbscan_deals_each_pair_of_slices_once(spark, monkeypatch):
+    """A row goes to as many tasks as its tile has slices, under the tile's number."""
+    monkeypatch.setattr(dbscan, "SLICE", 10)
+    df = spark.createDataFrame([(f"p{i:03d}", float(i % 7), float(i % 11)) for i in range(77)],
+                               "_id STRING, a DOUBLE, b DOUBLE")
+    dealt = dbscan._dealt(df, None, dbscan.TileSpec(["a", "b"], [], [], 0.5))
+    assert dealt.count() == 77 * 8
+    assert not {"_tile", "_own"} & set(dealt.columns)
+
+
+def test_dbscan_cell_pairs_come_in_bounded_parts(monkeypatch):
+    """Pairs of points are compared in bulk, ``CHUNK`` at once, and none is lost."""
+    monkeypatch.setattr(dbscan, "CHUNK", 100)
+    monkeypatch.setattr(dbscan, "PAIRS", 30)
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(300, 3)), rng.normal(size=(200, 3)).round(1)
+    left = dbscan.Cells(x, 1.0, np.ones(300, np.int64))
+    right = dbscan.Cells(y, 1.0, np.arange(200))
+    hit = ((x[:, None] - y[None]) ** 2).sum(-1) <= 1.0
+    assert (dbscan.neighbour_weights(left, right, 1.0) == hit @ np.arange(200)).all()
+    i, j, _ = (np.concatenate(p) for p in zip(*dbscan.near_cells(left, right, 1.0)))
+    parts = list(dbscan.point_pairs(left, right, i, j))
+    assert max(len(p[0]) for p in parts) <= 100
+    assert sum(len(p[0]) for p in parts) == (left.size[i] * right.size[j]).sum()
+    pairs = {(int(a), int(b)) for u, v in dbscan.touching_cells(left, right, 1.0) for a, b in zip(u, v)}
+    cell = {k: np.repeat(np.arange(len(c)), c.size)[np.argsort(c.row)] for k, c in (("l", left), ("r", right))}
+    assert pairs == {(int(cell["l"][a]), int(cell["r"][b])) for a, b in zip(*np.nonzero(hit))}
