@@ -214,3 +214,27 @@ def test_dbscan_cell_pairs_come_in_bounded_parts(monkeypatch):
     pairs = {(int(a), int(b)) for u, v in dbscan.touching_cells(left, right, 1.0) for a, b in zip(u, v)}
     cell = {k: np.repeat(np.arange(len(c)), c.size)[np.argsort(c.row)] for k, c in (("l", left), ("r", right))}
     assert pairs == {(int(cell["l"][a]), int(cell["r"][b])) for a, b in zip(*np.nonzero(hit))}
+
+
+def test_isolation_trees_are_scored_as_full_trees(spark):
+    """All trees take the same steps for every row; the path lengths are those of a plain
+    descent, also for missing values (which go right)."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 3))
+    df = spark.createDataFrame([(f"i{k:03d}", *map(float, r)) for k, r in enumerate(x)],
+                               "transaction_id STRING, a DOUBLE, b DOUBLE, c DOUBLE")
+    m = iforest.fit_isolation_forest(df, ["a", "b", "c"], n_trees=7, max_samples=64)
+    for feature, threshold, length, depth in m._arrays():
+        assert len(feature) == len(threshold) == 2 ** depth - 1 and len(length) == 2 ** depth
+    odd = df.limit(20).unionByName(spark.createDataFrame([("n", None, 0.0, 9.0)], df.schema))
+    got = {r[0]: r[1] for r in m.score_samples(odd).select("transaction_id", "iso_score_samples").collect()}
+    trees = [g.set_index("node") for _, g in m.nodes.groupby("tree")]
+    for r in odd.toPandas().itertuples():
+        v, total = (r.a, r.b, r.c), 0.0
+        for t in trees:
+            n = t.loc[0]
+            while n.feature >= 0:
+                n = t.loc[n.left if v[int(n.feature)] <= n.threshold else n.right]
+            total += n.depth + float(iforest.average_path_length([n.n_samples])[0])
+        want = -2.0 ** (-(total / 7) / float(iforest.average_path_length([64])[0]))
+        assert abs(got[r.transaction_id] - want) < 1e-12
