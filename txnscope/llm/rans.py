@@ -42,8 +42,8 @@ LOW = np.uint64(1 << 31)
 LANES = 1024
 BLOCK_TOKENS = 256 * LANES
 TOKENS_PER_SHARD = 8_000_000
-CACHED_WORDS = 600_000
-ROWS_AT_ONCE = 2500
+CACHED_WORDS = 400_000
+ROWS_AT_ONCE = 500
 MAGIC, CIGAM = b"RANS1", b"1SNAR"
 
 
