@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,6 +60,37 @@ def test_shard_ranges(tmp_path):
         rans.ShardReader(str(tmp_path / "a.rans"), other)
 
 
+def test_spellings_of_a_stem_are_learned_once():
+    encoder, whole = rans.WordEncoder(PATH), []
+    encode_whole = encoder._encode_whole
+    encoder._encode_whole = lambda words: (whole.extend(words), encode_whole(words))
+    spelled = [w + tail for w in ("schützpf", "Schützpf", "SCHüTZPF", "onstor", "ONstor")
+               for tail in ("", ".", ",", "***")]
+    ids, bounds = encoder.encode(pa.array(spelled))
+    assert set(encoder.known) == {"", "schützpf", "onstor", ".", ",", "***"}
+    assert {".", ",", "***"} == {w for w in whole if w}
+    want = [e.ids for e in encoder.tokenizer.encode_batch(spelled, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+
+
+def test_encoder_matches_the_tokenizer_on_odd_words():
+    encoder = rans.WordEncoder(PATH, max_words=40)
+    letters = rans.WordEncoder.LETTERS
+    texts = [None, "", " ", "\n\t", *(f"a{c}b {c} {c.upper()}B{c}. {c}{c};" for c in letters),
+             "<|endoftext|> <|ENDOFTEXT|> x<|startoftext|>| end.<|endoftext|>",
+             "don't DON'T it's. 's 'S, a.b. a1 1a 12;34 ...! .a a. *", "İI ıi ΣΑΣ. straße ẞ",
+             "e\u0301 E\u0301. a\u0338= A.\u0301 \u212a\u212b ﬁ. Ǆ ǆ! \u00a0a\u00a0 b\u2003C.",
+             "日本語。 Привет, мир! 🙂. a🙂b. " + "x" * 3000 + "."]
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for step in (len(texts), 7, 1):
+        got = []
+        for lo in range(0, len(texts), step):
+            for kind in (pa.string(), pa.large_string()):
+                ids, bounds = encoder.encode(pa.array(texts[lo:lo + step], kind))
+            got += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == want
+
+
 def expected(rows):
     tokenizer = Tokenizer.from_file(PATH)
     coded = [(i, tokenizer.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in rows]

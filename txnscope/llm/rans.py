@@ -61,13 +61,15 @@ class WordEncoder:
     """Encodes whole texts with a tokenizer file that drops white space and lower-cases.
 
     No piece of such a tokenizer crosses white space, so each distinct word is encoded
-    once and then looked up. Of a new word, closing ASCII punctuation is split off (the
-    tokenizer never joins letters and punctuation) and ASCII capitals are lowered first,
-    so that fewer words are new; words of lower-case Latin letters alone are one piece
-    and go straight to the tokenizer's model. Recently used words stay known: when half
-    of ``max_words`` were added, the other half is forgotten."""
+    once and then looked up. ASCII capitals are lowered and closing ASCII punctuation is
+    split off (the tokenizer never joins letters and punctuation) where lower-case Latin
+    letters remain: such a stem is one piece and goes straight to the tokenizer's model,
+    and all its spellings share one entry. Any other word is encoded as it stands.
+    Recently used entries stay known: when half of ``max_words`` were added, the other
+    half is forgotten."""
 
     TAIL = ".,!?;:%$#&*|"
+    LETTERS = "".join(c for c in map(chr, range(0x180)) if c.isalpha() and c.islower())
 
     def __init__(self, path: str, max_words: int = CACHED_WORDS):
         import os
@@ -79,56 +81,54 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
 
     def _encode_whole(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[w] = array("H", e.ids).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        known, split, odd = self.known, [], set()
-        tokenize, letter = self.model.tokenize, self.letters.__getitem__
-        for w in words:
-            stem = w.rstrip(self.TAIL)
-            ascii_only = stem.isascii()
-            low = stem.lower() if ascii_only else stem
-            if not (low.isalpha() and low.islower() and (ascii_only or max(low) < "\u0180")):
-                odd.add(w)
-                continue
-            if low not in known:
-                piece = low if ascii_only else "".join(map(letter, low.encode()))
-                known[low] = array("H", [t.id for t in tokenize(piece)]).tobytes()
-            if low != w:
-                split.append((w, low, w[len(stem):]))
-        odd |= {tail for _, _, tail in split if tail and tail not in known}
-        odd = list(odd)
-        for lo in range(0, len(odd), 2000):
-            self._encode_whole(odd[lo:lo + 2000])
-        for w, stem, tail in split:
-            known[w] = known[stem] + known[tail] if tail else known[stem]
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]]. The split into words
-        and the numbering of distinct words are Arrow kernels, the assembly is numpy;
-        Python sees each distinct word of the batch once."""
-        split = pc.ascii_split_whitespace(texts.fill_null(""))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        for lo in range(0, len(words), 2000):
+            part = words[lo:lo + 2000]
+            coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            for w, e in zip(part, coded):
+                self.known[w] = array("H", e.ids).tobytes()
+
+    def _encode_stems(self, stems: list[str]) -> None:
+        known, tokenize, letter = self.known, self.model.tokenize, self.letters.__getitem__
+        for w in stems:
+            piece = w if w.isascii() else "".join(map(letter, w.encode()))
+            known[w] = array("H", [t.id for t in tokenize(piece)]).tobytes()
+
+    def _packed(self, words: pa.Array, encode) -> pa.Array:
+        """The ids of each word, packed; ``encode`` adds those not yet known. Python sees
+        each distinct word once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known, old = self.known, self.old
         new = []
-        for w in words:
+        for w in distinct:
             if w not in known:
                 if w in old:
                     known[w] = old[w]
                 else:
                     new.append(w)
-        self._learn(new)
-        parts = list(map(known.__getitem__, words))
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
-        flat, first = np.frombuffer(b"".join(parts), "<u2"), np.cumsum(size) - size
-        index = coded.indices.to_numpy()
-        n = size[index]
-        stop = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(first[index] - stop[:-1], n) + np.arange(stop[-1])]
-        if len(known) > self.half:
-            self.old, self.known = known, {"": b""}
+        encode(new)
+        found = pa.array(list(map(known.__getitem__, distinct)), pa.large_binary())
+        return found.take(coded.indices)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]]. The split into words,
+        stems and tails, their numbering and the assembly are Arrow kernels."""
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        low = pc.ascii_lower(words)
+        stems = pc.ascii_rtrim(low, self.TAIL)
+        plain = pc.match_substring_regex(stems, f"^[{self.LETTERS}]+$")
+        stems = pc.if_else(plain, stems, pa.scalar("", words.type))
+        rest = pc.if_else(plain, pc.utf8_ltrim(low, self.LETTERS), words)
+        packed = pc.binary_join_element_wise(
+            self._packed(stems, self._encode_stems), self._packed(rest, self._encode_whole),
+            pa.scalar(b"", pa.large_binary())).take(coded.indices)
+        if len(self.known) > self.half:
+            self.old, self.known = self.known, {"": b""}
+        _, ends, data = packed.buffers()
+        stop = np.frombuffer(ends, "<i8", len(packed) + 1, 8 * packed.offset) // 2
+        ids = np.frombuffer(data, "<u2", stop[-1]) if stop[-1] else np.zeros(0, "<u2")
         return ids, stop[split.offsets.to_numpy() - split.offsets[0].as_py()]
 
 
