@@ -216,6 +216,36 @@ def test_dbscan_cell_pairs_come_in_bounded_parts(monkeypatch):
     assert pairs == {(int(cell["l"][a]), int(cell["r"][b])) for a, b in zip(*np.nonzero(hit))}
 
 
+@pytest.mark.parametrize("dims, step", [(0, 0), (2, 0), (5, 0), (3, 0.5)])
+def test_dbscan_points_are_compared_leaf_by_leaf(monkeypatch, dims, step):
+    """Weights, joined cells and touching points are those of all pairs, also at a distance
+    of exactly eps, and only pairs near eps are tested again."""
+    monkeypatch.setattr(dbscan, "LEAF", 16)
+    monkeypatch.setattr(dbscan, "WIDE", 64)
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(400, dims)), rng.normal(size=(300, dims))
+    if step:
+        x, y = np.round(x / step) * step, np.round(y / step) * step
+    weight = rng.integers(1, 1 << 24, 300)             # sums beyond single precision
+    hit = ((x[:, None] - y[None]) ** 2).sum(-1) <= 1.0
+    left, right = dbscan.LonePoints(x), dbscan.LonePoints(y, weight)
+    assert (dbscan.neighbour_weights(left, right, 1.0) == hit @ weight).all()
+    pairs = {(int(a), int(b)) for u, v in dbscan.touching_cells(left, right, 1.0) for a, b in zip(u, v)}
+    assert pairs == {(int(a), int(b)) for a, b in zip(*np.nonzero(hit))}
+    near = ((x[:, None] - x[None]) ** 2).sum(-1) <= 0.0625
+    cell = rng.permutation(400)
+    i, j = np.nonzero(near)
+    got = dbscan.joined_cells(x, cell, x, cell, 400, 0.25)
+    assert (got == dbscan.joined_roots(np.arange(400), cell[i], cell[j])).all()
+
+
+def test_dbscan_leaves_keep_equal_values_together():
+    x = np.column_stack([np.repeat(np.arange(5.0), 40), np.tile(np.arange(4.0) / 9, 50)])
+    leaves = dbscan.Leaves(x, 16)
+    assert sorted(leaves.row) == list(range(200)) and leaves.size.sum() == 200
+    assert (leaves.hi == leaves.lo).all()              # 20 distinct points, 10 copies of each
+
+
 def test_isolation_trees_are_scored_as_full_trees(spark):
     """All trees take the same steps for every row; the path lengths are those of a plain
     descent, also for missing values (which go right)."""
