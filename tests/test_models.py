@@ -268,3 +268,21 @@ def test_isolation_trees_are_scored_as_full_trees(spark):
             total += n.depth + float(iforest.average_path_length([n.n_samples])[0])
         want = -2.0 ** (-(total / 7) / float(iforest.average_path_length([64])[0]))
         assert abs(got[r.transaction_id] - want) < 1e-12
+
+
+def test_rows_of_one_task_are_dealt_over_the_cores(spark, monkeypatch):
+    """A table in one task is dealt out once it is worth it, with all its rows; a small or
+    even one stays as it is."""
+    from txnscope.operators import common
+    monkeypatch.setattr(common, "LEAST_ROWS", 50)
+    monkeypatch.setattr(common, "MOST_ROWS", 10_000)
+    cores = spark.sparkContext.defaultParallelism
+
+    def tasks(df):
+        out = common.spread(df)
+        assert sorted(r[0] for r in out.collect()) == sorted(r[0] for r in df.collect())
+        return out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks(spark.range(0, 50 * cores, 1, 1)) == cores
+    assert tasks(spark.range(0, 50, 1, 1)) == 1
+    assert tasks(spark.range(0, 900, 1, 3)) == min(cores, 3) or cores > 3
+    assert tasks(spark.range(0)) == 0
